@@ -1,17 +1,19 @@
-"""Point/centroid column expressions for 2-D integer k-means (no UDF).
+"""Point/centroid helpers for 2-D integer k-means.
 
 Points are ``x, y`` bigint columns; centroids are small Python lists of
-``(cx, cy)`` ints (at most k, shipped as literals, so no join is needed).
-Squared distances are exact ``bigint``; under ANSI mode an overflow fails the
-job instead of wrapping.
+``(cx, cy)`` ints (at most k, shipped inside the task closure, so no join is
+needed). Squared distances are exact 64-bit integers; values that could
+overflow fail the job instead of wrapping.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The reference's domain list (positions 0..14) and spread.
 REFERENCE_DOMAINS = [
@@ -21,6 +23,11 @@ REFERENCE_DOMAINS = [
 ]
 REFERENCE_SPREAD = 50000
 
+# Distance matrix chunk (points x centroids) and the coordinate bound that
+# keeps squared distances exact in int64.
+NEAREST_CELLS = 1 << 21
+COORD_LIMIT = 1 << 30
+
 
 def encode_domain(tag: Column, domains: Sequence[str]) -> Column:
     """0-based position of ``tag`` in ``domains``; -1 if unknown; null if tag is null."""
@@ -32,17 +39,39 @@ def squared_distance(x: Column, y: Column, cx: Column, cy: Column) -> Column:
     return dx * dx + dy * dy
 
 
-def nearest(centroids: Sequence[tuple[int, int]], x: str = "x", y: str = "y") -> Column:
-    """struct(d2, cx, cy) of the nearest centroid; ties go to the smallest (cx, cy).
+def nearest_kernel(centroids: Sequence[tuple[int, int]], x: str = "x", y: str = "y"):
+    """mapInPandas kernel adding ``cx, cy, d2`` of the nearest centroid.
 
-    Built with ``least`` over one struct per centroid, so it stays inside
-    whole-stage codegen.
+    Centroids are sorted by (cx, cy) and ``argmin`` returns the first minimum,
+    so ties go to the smallest (cx, cy). Distances are exact int64; inputs
+    whose squared distances could overflow raise instead of wrapping.
     """
-    if not centroids:
+    cents = np.array(sorted({(int(cx), int(cy)) for cx, cy in centroids}), dtype=np.int64).reshape(-1, 2)
+    if cents.shape[0] == 0:
         raise ValueError("no centroids")
-    px, py = F.col(x), F.col(y)
-    cands = []
-    for cx, cy in centroids:
-        lx, ly = F.lit(int(cx)).cast("bigint"), F.lit(int(cy)).cast("bigint")
-        cands.append(F.struct(squared_distance(px, py, lx, ly).alias("d2"), lx.alias("cx"), ly.alias("cy")))
-    return cands[0] if len(cands) == 1 else F.least(*cands)
+    ccx, ccy = cents[:, 0], cents[:, 1]
+    rows = max(1, NEAREST_CELLS // cents.shape[0])
+
+    def run(batches):
+        for pdf in batches:
+            px = pdf[x].to_numpy(dtype=np.int64)
+            py = pdf[y].to_numpy(dtype=np.int64)
+            if px.size and max(np.abs(px).max(), np.abs(py).max(), np.abs(cents).max()) > COORD_LIMIT:
+                raise OverflowError("coordinates too large for exact int64 squared distances")
+            idx = np.empty(px.size, dtype=np.int64)
+            d2 = np.empty(px.size, dtype=np.int64)
+            for s in range(0, px.size, rows):
+                dx = px[s:s + rows, None] - ccx[None, :]
+                dy = py[s:s + rows, None] - ccy[None, :]
+                d = dx * dx + dy * dy
+                j = d.argmin(axis=1)
+                idx[s:s + rows] = j
+                d2[s:s + rows] = d[np.arange(j.size), j]
+            yield pdf.assign(cx=ccx[idx], cy=ccy[idx], d2=d2)
+
+    return run
+
+
+def nearest_schema(points_schema: T.StructType) -> T.StructType:
+    return T.StructType(list(points_schema.fields) + [
+        T.StructField("cx", T.LongType()), T.StructField("cy", T.LongType()), T.StructField("d2", T.LongType())])
