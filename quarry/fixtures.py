@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.sources.tables import read_parquet
 from quarry.sources.text import lines_of
 
 # The stop-word list used with the test corpora, and the domain
@@ -26,26 +27,27 @@ N_ITEMS = 500
 TARGET_USER = 21
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """Scan of one test table (only ``columns``), spread if under-split."""
+    return read_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet", columns)
 
 
 def corpus_a(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines (``doc_id, value``) of all documents."""
-    return lines_of(table(spark, sf_dir, "documents"), "text", keep=("doc_id",))
+    return lines_of(table(spark, sf_dir, "documents", "doc_id", "text"), "text", keep=("doc_id",))
 
 
 def corpus_b(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines (``doc_id, value``) of all conversation turns; doc_id = conv_id*1000+turn."""
-    conv = table(spark, sf_dir, "conversations").select(
+    conv = table(spark, sf_dir, "conversations", "conv_id", "turn", "text").select(
         (F.col("conv_id") * 1000 + F.col("turn")).alias("doc_id"), "text")
     return lines_of(conv, "text", keep=("doc_id",))
 
 
 def raw_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``user_id, item_id, pref`` (bigint), one row per line item, duplicates kept."""
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_quantity")
+    o = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey")
     return li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.col("o_custkey").cast("bigint").alias("user_id"),
         (F.col("l_partkey") % N_ITEMS).cast("bigint").alias("item_id"),
@@ -55,14 +57,14 @@ def raw_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``posting_type, id, parent_id, score, tag`` (questions then answers)."""
-    q = table(spark, sf_dir, "orders").select(
+    q = table(spark, sf_dir, "orders", "o_orderkey", "o_orderpriority").select(
         F.lit(1).cast("int").alias("posting_type"),
         F.col("o_orderkey").cast("bigint").alias("id"),
         F.lit(None).cast("bigint").alias("parent_id"),
         F.lit(0).cast("bigint").alias("score"),
         F.col("o_orderpriority").alias("tag"),
     )
-    a = table(spark, sf_dir, "lineitem").select(
+    a = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_extendedprice").select(
         F.lit(2).cast("int").alias("posting_type"),
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("bigint").alias("id"),
         F.col("l_orderkey").cast("bigint").alias("parent_id"),

@@ -6,13 +6,13 @@ lazy and returns a DataFrame; counts are ``bigint``.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.functions.tokenize import space_tokens, whitespace_tokens
+from quarry.functions.tokenize import WHITESPACE_PATTERN, space_tokens
 from quarry.operators.common import broadcast_if_small
 
 # Largest stop-word list that is broadcast after its count is checked.
@@ -29,13 +29,13 @@ def tokenize(lines: DataFrame, mode: str = "whitespace", lower: bool = False,
     ``lower`` lower-cases the token itself.
     """
     if mode == "whitespace":
-        arr = whitespace_tokens(F.col(col))
+        # split + explode, then drop the empty tokens a leading delimiter gives
+        df = lines.select(*keep, F.explode(F.split(F.col(col), WHITESPACE_PATTERN)).alias("word")) \
+            .where(F.col("word") != F.lit(""))
     elif mode == "space":
-        arr = space_tokens(F.col(col))
+        df = lines.select(*keep, F.explode(space_tokens(F.col(col))).alias("word"))
     else:
         raise ValueError(f"unknown tokenizer mode {mode!r}")
-    word = F.explode(arr)
-    df = lines.select(*keep, word.alias("word"))
     if lower:
         df = df.select(*keep, F.lower("word").alias("word"))
     return df
@@ -56,13 +56,21 @@ def stopword_table(spark: SparkSession, words: Iterable[str] | DataFrame, fold:
     return df.where(F.col("word").isNotNull()).distinct()
 
 
-def remove_stopwords(tokens: DataFrame, stopwords: DataFrame, match: str = "fold") -> DataFrame:
-    """Drop tokens found in ``stopwords`` (anti join; the token keeps its case).
+def remove_stopwords(tokens: DataFrame, stopwords: DataFrame | Sequence[str], match: str = "fold") -> DataFrame:
+    """Drop tokens found in ``stopwords`` (the token keeps its case).
 
     ``match="fold"``: the lower-cased token is tested against the lower-cased
     list. ``match="exact"``: the token is tested verbatim against the list as
-    given. The list is broadcast only after its size is checked.
+    given. A Python list becomes a set-membership predicate (no join); a
+    DataFrame (e.g. a stop-word file) is anti-joined, broadcast only after its
+    size is checked.
     """
+    if match not in ("fold", "exact"):
+        raise ValueError(f"unknown match mode {match!r}")
+    if not isinstance(stopwords, DataFrame):
+        if match == "fold":
+            return tokens.where(~F.lower(F.col("word")).isin(*[F.lower(F.lit(w)) for w in stopwords]))
+        return tokens.where(~F.col("word").isin(*[F.lit(w) for w in stopwords]))
     if match == "fold":
         stop = stopwords.select(F.lower("word").alias("_stop")).distinct()
         key = F.lower(F.col("word"))

@@ -11,6 +11,8 @@ One lazy plan: two scans, two partial+final aggregates, one join on the word
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 
 from quarry.operators import text as T
@@ -21,14 +23,14 @@ VARIANTS = {
 }
 
 
-def corpus_counts(lines: DataFrame, stopwords: DataFrame, variant: str = "cased") -> DataFrame:
+def corpus_counts(lines: DataFrame, stopwords: DataFrame | Sequence[str], variant: str = "cased") -> DataFrame:
     """``(word, n)`` of one corpus after tokenizing and stop-word removal."""
     v = VARIANTS[variant]
     tokens = T.tokenize(lines, mode=v["mode"], lower=v["lower"])
     return T.word_count(T.remove_stopwords(tokens, stopwords, match=v["match"]))
 
 
-def common_words_job(lines_a: DataFrame, lines_b: DataFrame, stopwords: DataFrame,
+def common_words_job(lines_a: DataFrame, lines_b: DataFrame, stopwords: DataFrame | Sequence[str],
                      variant: str = "cased", n: int | None = 15, strategy: str = "join") -> DataFrame:
     """``(word, n)``: the ``n`` most frequent common words (all of them if n is None)."""
     a = corpus_counts(lines_a, stopwords, variant)

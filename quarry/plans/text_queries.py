@@ -12,8 +12,9 @@ from quarry.session import scratch_path
 from quarry.sources import text as io
 
 
-def _stop(spark: SparkSession, fold: bool) -> DataFrame:
-    return T.stopword_table(spark, fx.STOPWORDS, fold=fold)
+def _stop(spark: SparkSession, fold: bool) -> list[str]:
+    """The literal stop-word list (matching folds it when ``fold``)."""
+    return list(fx.STOPWORDS)
 
 
 def tokens_whitespace(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,12 +27,20 @@ def tokens_space(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.word_count(T.tokenize(lines, "space", lower=True, keep=("doc_id",)), by=("doc_id",))
 
 
+def _stop_file(spark: SparkSession, fold: bool) -> DataFrame:
+    """The stop-word list written as a one-word-per-line file and loaded back
+    as a side dictionary (folded to lower case when ``fold``)."""
+    path = scratch_path(spark, "stopwords")
+    io.write_lines(T.stopword_table(spark, fx.STOPWORDS, fold=False).withColumnRenamed("word", "value"), path)
+    return T.stopword_table(spark, io.read_lines(spark, path), fold=fold)
+
+
 def stopwords_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return corpus_counts(fx.corpus_b(spark, sf_dir), _stop(spark, fold=True), "cased")
+    return corpus_counts(fx.corpus_b(spark, sf_dir), _stop_file(spark, fold=True), "cased")
 
 
 def stopwords_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return corpus_counts(fx.corpus_b(spark, sf_dir), _stop(spark, fold=False), "lower")
+    return corpus_counts(fx.corpus_b(spark, sf_dir), _stop_file(spark, fold=False), "lower")
 
 
 def word_count_a(spark: SparkSession, sf_dir: str) -> DataFrame:
