@@ -15,6 +15,9 @@ Scale notes
   users with itself (BLAS) and emits only the aggregated cells of that batch.
   Spark's partial aggregate then merges batches inside the task, and only
   per-task partial cells are shuffled.
+* Scores for all users: when a bounded fetch proves C small, it is broadcast
+  as a dense matrix and each Arrow batch of users is multiplied with it
+  (BLAS); otherwise the sparse join + aggregate product is used.
 * Scores for one user never build C: with w[v] = Σ_y R[v, y]·pref[u, y],
   score[i] = Σ_v R[v, i]·w[v] — two equi-joins and two aggregates, linear in
   the ratings.
@@ -27,6 +30,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,6 +38,9 @@ from quarry.operators.common import broadcast_if_small
 
 # Largest side of the one-user form that is broadcast (the user's own items).
 USER_ITEMS_BROADCAST_MAX_ROWS = 1_000_000
+# All-user scores: C is shipped as a dense matrix to every task only if a
+# bounded fetch proves it has at most this many items (2048² int64 = 32 MB).
+SCORE_MATRIX_MAX_ITEMS = 2048
 # Gathers (vectors) are cut into blocks of at most this many ids.
 DEFAULT_BLOCK = 1000
 # Kernel limits: dense path up to this many distinct items per Arrow batch,
@@ -198,12 +205,76 @@ def scores(r: DataFrame, cooc: DataFrame | None = None, user_id: int | None = No
                 .groupBy("item_id").agg(F.sum("_w").alias("score"))
                 .select("item_id", F.lit(user_id).cast("bigint").alias("user_id"), "score"))
     c = cooccurrence(r) if cooc is None else cooc
-    # AQE turns this into a broadcast join when C's measured size is small.
+    small = _small_matrix(c)
+    if small is not None:
+        return _matrix_scores(r, *small)
+    # C too large to ship: plain sparse product (AQE may still broadcast C).
     return (r.join(c, F.col("item_id") == F.col("item2"))
             .groupBy(F.col("item1").alias("item_id"), "user_id")
             .agg(F.sum(F.col("n") * F.col("pref")).alias("score")))
 
 
+def _small_matrix(c: DataFrame):
+    """(item ids, dense C) if a bounded fetch proves C has at most
+    SCORE_MATRIX_MAX_ITEMS items, else None (nothing beyond the bound is read)."""
+    cap = SCORE_MATRIX_MAX_ITEMS * SCORE_MATRIX_MAX_ITEMS
+    cells = c.select("item1", "item2", "n").limit(cap + 1).toPandas()
+    if len(cells) > cap:
+        return None
+    ids = np.unique(np.concatenate([cells["item1"].to_numpy(), cells["item2"].to_numpy()]))
+    if ids.size > SCORE_MATRIX_MAX_ITEMS:
+        return None
+    mat = np.zeros((ids.size, ids.size), dtype=np.int64)
+    mat[np.searchsorted(ids, cells["item1"].to_numpy()), np.searchsorted(ids, cells["item2"].to_numpy())] = \
+        cells["n"].to_numpy()
+    return ids, mat
+
+
+def _matrix_scores(r: DataFrame, ids: np.ndarray, mat: np.ndarray) -> DataFrame:
+    """score[u, :] = C · pref[u, :] per Arrow batch of users, C broadcast once.
+
+    Each user's ratings are gathered (bounded by the catalogue: at most one
+    row per item after dedupe). Sums are exact: float64 BLAS is used only
+    when max(C) · Σ|pref| of every user in the batch stays below 2**53,
+    int64 products otherwise (overflow raises).
+    """
+    spark = r.sparkSession
+    bc = spark.sparkContext.broadcast((ids, mat))
+    out_type = r.schema["pref"].dataType.simpleString()
+
+    def run(batches):
+        ids_, c = bc.value
+        cmax = int(c.max()) if c.size else 0
+        cf = c.astype(np.float64)
+        for rb in batches:
+            if rb.num_rows == 0:
+                continue
+            col = rb.column("r")
+            flat = col.flatten()
+            items = flat.field("item_id").to_numpy(zero_copy_only=False)
+            prefs = flat.field("pref").to_numpy(zero_copy_only=False)
+            users = col.value_parent_indices().to_numpy()
+            pos = np.minimum(np.searchsorted(ids_, items), max(ids_.size - 1, 0))
+            known = (ids_[pos] == items) if ids_.size else np.zeros(items.size, bool)
+            s = np.zeros((rb.num_rows, ids_.size), dtype=np.float64 if prefs.dtype.kind == "f" else np.int64)
+            np.add.at(s, (users[known], pos[known]), prefs[known])
+            bound = cmax * float(np.abs(s).sum(axis=1).max(initial=0))
+            if s.dtype.kind == "f" or bound < 2.0 ** 53:
+                sc = s.astype(np.float64) @ cf.T
+                if s.dtype.kind != "f":
+                    sc = np.rint(sc).astype(np.int64)
+            else:
+                with np.errstate(over="raise"):
+                    sc = s @ c.T
+            u, i = np.nonzero(sc)
+            uid = rb.column("user_id").to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_arrays([pa.array(ids_[i]), pa.array(uid[u]), pa.array(sc[u, i])],
+                                             names=["item_id", "user_id", "score"])
+
+    per_user = r.groupBy("user_id").agg(F.collect_list(F.struct("item_id", "pref")).alias("r"))
+    return per_user.mapInArrow(run, f"item_id bigint, user_id bigint, score {out_type}")
+
+
 def dense_scores(r: DataFrame, n_items: int = 500) -> DataFrame:
     """``(user_id, item_id, score)`` for every user and every item 0..n_items-1,
     with 0 where the user has no rating. Items outside the range are ignored.
