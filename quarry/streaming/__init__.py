@@ -1 +1,9 @@
+"""Streaming.
 
+The reference has no streaming operator (no watermarks, windows, state or
+late data); every job is a batch job over files. Nothing is built here on
+purpose: the batch operators in :mod:`quarry.operators` are plain DataFrame
+functions and can be applied unchanged to a ``readStream.text`` source where
+their operations are supported in streaming (tokenizing, stop-word removal,
+counting with complete/update output).
+"""
