@@ -19,7 +19,8 @@ Scale notes
   as a dense matrix and each Arrow batch of users is multiplied with it
   (BLAS); otherwise the sparse join + aggregate product is used.
 * Scores for one user never build C: with w[v] = Σ_y R[v, y]·pref[u, y],
-  score[i] = Σ_v R[v, i]·w[v] — two equi-joins and two aggregates, linear in
+  score[i] = Σ_v R[v, i]·w[v] — one pass over the ratings (a join with the
+  user's items, a window sum per rater, an aggregate per item), linear in
   the ratings.
 * Hot users or items are handled by partial aggregation (dedupe, counts,
   sums) and by AQE's skew-join splitting; gathers are cut into id blocks of
@@ -34,10 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.operators.common import broadcast_if_small
 
-# Largest side of the one-user form that is broadcast (the user's own items).
-USER_ITEMS_BROADCAST_MAX_ROWS = 1_000_000
 # All-user scores: C is shipped as a dense matrix to every task only if a
 # bounded fetch proves it has at most this many items (2048² int64 = 32 MB).
 SCORE_MATRIX_MAX_ITEMS = 2048
@@ -192,16 +190,22 @@ def scores(r: DataFrame, cooc: DataFrame | None = None, user_id: int | None = No
     scores have rows (zero cells add nothing to the product).
 
     With ``user_id`` the one-user form is used: C is never built; the user's
-    items (bounded by the catalogue, broadcast after a count check) weight
-    every co-rater, and the weights are summed per item.
+    items (bounded by the catalogue; AQE broadcasts them once measured small)
+    weight every co-rater, and the weights are summed per item.
     """
     if user_id is not None:
-        mine = broadcast_if_small(
-            r.where(F.col("user_id") == F.lit(user_id)).select(F.col("item_id").alias("_y"), F.col("pref").alias("_p")),
-            USER_ITEMS_BROADCAST_MAX_ROWS)
-        w = (r.join(mine, F.col("item_id") == F.col("_y"))
-             .groupBy(F.col("user_id").alias("_v")).agg(F.sum("_p").alias("_w")))
-        return (r.select("user_id", "item_id").join(w, F.col("user_id") == F.col("_v"))
+        # The user's own items: AQE measures this side after its aggregate and
+        # broadcasts it when small (no extra counting job); otherwise it stays
+        # a shuffle join.
+        mine = r.where(F.col("user_id") == F.lit(user_id)).select(F.col("item_id").alias("_y"),
+                                                                  F.col("pref").alias("_p"))
+        # One pass over the ratings: mark each rating with the user's pref for
+        # that item, sum the marks per rater (window over one user's distinct
+        # items) and add that weight to every item of the rater.
+        per_rater = Window.partitionBy("user_id")
+        weighted = (r.select("user_id", "item_id").join(mine, F.col("item_id") == F.col("_y"), "left")
+                    .select("item_id", F.sum("_p").over(per_rater).alias("_w")))
+        return (weighted.where(F.col("_w").isNotNull())
                 .groupBy("item_id").agg(F.sum("_w").alias("score"))
                 .select("item_id", F.lit(user_id).cast("bigint").alias("user_id"), "score"))
     c = cooccurrence(r) if cooc is None else cooc
