@@ -10,7 +10,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from decimal import Decimal
+
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,6 +42,30 @@ def squared_distance(x: Column, y: Column, cx: Column, cy: Column) -> Column:
     return dx * dx + dy * dy
 
 
+def _nearest_arrays(cents: np.ndarray, rows: int, px: np.ndarray, py: np.ndarray):
+    """(index of nearest centroid, squared distance) for each point."""
+    if px.size and max(np.abs(px).max(), np.abs(py).max(), np.abs(cents).max()) > COORD_LIMIT:
+        raise OverflowError("coordinates too large for exact int64 squared distances")
+    ccx, ccy = cents[:, 0], cents[:, 1]
+    idx = np.empty(px.size, dtype=np.int64)
+    d2 = np.empty(px.size, dtype=np.int64)
+    for s in range(0, px.size, rows):
+        dx = px[s:s + rows, None] - ccx[None, :]
+        dy = py[s:s + rows, None] - ccy[None, :]
+        d = dx * dx + dy * dy
+        j = d.argmin(axis=1)
+        idx[s:s + rows] = j
+        d2[s:s + rows] = d[np.arange(j.size), j]
+    return idx, d2
+
+
+def _sorted_centroids(centroids: Sequence[tuple[int, int]]) -> np.ndarray:
+    cents = np.array(sorted({(int(cx), int(cy)) for cx, cy in centroids}), dtype=np.int64).reshape(-1, 2)
+    if cents.shape[0] == 0:
+        raise ValueError("no centroids")
+    return cents
+
+
 def nearest_kernel(centroids: Sequence[tuple[int, int]], x: str = "x", y: str = "y"):
     """mapInPandas kernel adding ``cx, cy, d2`` of the nearest centroid.
 
@@ -46,32 +73,88 @@ def nearest_kernel(centroids: Sequence[tuple[int, int]], x: str = "x", y: str =
     so ties go to the smallest (cx, cy). Distances are exact int64; inputs
     whose squared distances could overflow raise instead of wrapping.
     """
-    cents = np.array(sorted({(int(cx), int(cy)) for cx, cy in centroids}), dtype=np.int64).reshape(-1, 2)
-    if cents.shape[0] == 0:
-        raise ValueError("no centroids")
-    ccx, ccy = cents[:, 0], cents[:, 1]
+    cents = _sorted_centroids(centroids)
+    rows = max(1, NEAREST_CELLS // cents.shape[0])
+
+    def run(batches):
+        for pdf in batches:
+            idx, d2 = _nearest_arrays(cents, rows, pdf[x].to_numpy(dtype=np.int64), pdf[y].to_numpy(dtype=np.int64))
+            yield pdf.assign(cx=cents[idx, 0], cy=cents[idx, 1], d2=d2)
+
+    return run
+
+
+def _exact_sums(v: np.ndarray, w: np.ndarray, groups: np.ndarray, k: int) -> list[int]:
+    """Σ v·w per group as Python ints (int64 fast path when it cannot overflow)."""
+    if v.size == 0:
+        return [0] * k
+    if float(np.abs(v).max()) * float(w.max()) * v.size < 2.0 ** 62:
+        return [int(t) for t in _int_bincount(groups, v * w, k)]
+    out = [0] * k
+    for g, a, b in zip(groups.tolist(), v.tolist(), w.tolist()):
+        out[g] += a * b
+    return out
+
+
+def _int_bincount(groups: np.ndarray, vals: np.ndarray, k: int) -> np.ndarray:
+    acc = np.zeros(k, dtype=np.int64)
+    np.add.at(acc, groups, vals)
+    return acc
+
+
+def step_kernel(centroids: Sequence[tuple[int, int]]):
+    """mapInPandas kernel over ``x, y, w``: one row per (batch, nearest centroid)
+    with cx, cy, sx = Σ x·w, sy = Σ y·w (exact, decimal), size = Σ w and
+    residual = Σ w·sqrt(d2)."""
+    cents = _sorted_centroids(centroids)
+    k = cents.shape[0]
+    rows = max(1, NEAREST_CELLS // k)
+
+    def run(batches):
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            px = pdf["x"].to_numpy(dtype=np.int64)
+            py = pdf["y"].to_numpy(dtype=np.int64)
+            w = pdf["w"].to_numpy(dtype=np.int64)
+            idx, d2 = _nearest_arrays(cents, rows, px, py)
+            sx, sy = _exact_sums(px, w, idx, k), _exact_sums(py, w, idx, k)
+            size = _int_bincount(idx, w, k)
+            res = np.bincount(idx, weights=np.sqrt(d2.astype(np.float64)) * w, minlength=k)
+            hit = np.nonzero(size)[0]
+            yield pd.DataFrame({
+                "cx": cents[hit, 0], "cy": cents[hit, 1],
+                "sx": [Decimal(sx[j]) for j in hit], "sy": [Decimal(sy[j]) for j in hit],
+                "size": size[hit], "residual": res[hit]})
+
+    return run
+
+
+STEP_SCHEMA = "cx bigint, cy bigint, sx decimal(38,0), sy decimal(38,0), size bigint, residual double"
+
+
+def farthest_kernel(centroids: Sequence[tuple[int, int]]):
+    """mapInPandas kernel over ``x, y``: per batch the point farthest from its
+    nearest centroid (ties: smallest x, then y) as ``d2, x, y``."""
+    cents = _sorted_centroids(centroids)
     rows = max(1, NEAREST_CELLS // cents.shape[0])
 
     def run(batches):
         for pdf in batches:
-            px = pdf[x].to_numpy(dtype=np.int64)
-            py = pdf[y].to_numpy(dtype=np.int64)
-            if px.size and max(np.abs(px).max(), np.abs(py).max(), np.abs(cents).max()) > COORD_LIMIT:
-                raise OverflowError("coordinates too large for exact int64 squared distances")
-            idx = np.empty(px.size, dtype=np.int64)
-            d2 = np.empty(px.size, dtype=np.int64)
-            for s in range(0, px.size, rows):
-                dx = px[s:s + rows, None] - ccx[None, :]
-                dy = py[s:s + rows, None] - ccy[None, :]
-                d = dx * dx + dy * dy
-                j = d.argmin(axis=1)
-                idx[s:s + rows] = j
-                d2[s:s + rows] = d[np.arange(j.size), j]
-            yield pdf.assign(cx=ccx[idx], cy=ccy[idx], d2=d2)
+            if pdf.empty:
+                continue
+            px = pdf["x"].to_numpy(dtype=np.int64)
+            py = pdf["y"].to_numpy(dtype=np.int64)
+            _, d2 = _nearest_arrays(cents, rows, px, py)
+            best = np.lexsort((py, px, -d2))[0]
+            yield pd.DataFrame({"d2": [d2[best]], "x": [px[best]], "y": [py[best]]})
 
     return run
 
 
+FARTHEST_SCHEMA = "d2 bigint, x bigint, y bigint"
+
+
 def nearest_schema(points_schema: T.StructType) -> T.StructType:
     return T.StructType(list(points_schema.fields) + [
         T.StructField("cx", T.LongType()), T.StructField("cy", T.LongType()), T.StructField("d2", T.LongType())])

@@ -33,7 +33,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.functions.geometry import REFERENCE_SPREAD, encode_domain, nearest_kernel, nearest_schema
+from quarry.functions.geometry import (FARTHEST_SCHEMA, REFERENCE_SPREAD, STEP_SCHEMA, encode_domain,
+                                      farthest_kernel, nearest_kernel, nearest_schema, step_kernel)
 from quarry.session import cut_lineage
 
 DEC = T.DecimalType(38, 0)
@@ -125,11 +126,12 @@ def step_frame(points: DataFrame, centroids: Sequence[tuple[int, int]]) -> DataF
     nx, ny are the truncated (toward zero) weighted means of the cluster;
     residual is Σ w·sqrt(d2). Clusters without points have no row.
     """
-    a = assign(_weighted(points), centroids)
-    w = F.col("w").cast(DEC)
-    g = a.groupBy("cx", "cy").agg(
-        F.sum(F.col("x").cast(DEC) * w).alias("_sx"), F.sum(F.col("y").cast(DEC) * w).alias("_sy"),
-        F.sum("w").alias("size"), F.sum(F.sqrt(F.col("d2").cast("double")) * F.col("w")).alias("residual"))
+    # Each Arrow batch is reduced to at most k partial rows inside the kernel;
+    # Spark merges the partials per centroid.
+    part = _weighted(points).select("x", "y", "w").mapInPandas(step_kernel(centroids), STEP_SCHEMA)
+    g = part.groupBy("cx", "cy").agg(
+        F.sum("sx").alias("_sx"), F.sum("sy").alias("_sy"),
+        F.sum("size").alias("size"), F.sum("residual").alias("residual"))
     return g.select("cx", "cy", F.expr("CAST(_sx div size AS BIGINT)").alias("nx"),
                     F.expr("CAST(_sy div size AS BIGINT)").alias("ny"), "size", "residual")
 
@@ -183,8 +185,8 @@ def farthest_first(points: DataFrame, k: int, seed: str | None = None) -> list[t
         return []
     seeds = [start]
     while len(seeds) < k:
-        far = assign(points.select("x", "y"), seeds).select(F.struct("d2", (-F.col("x")).alias("nx"),
-                                     (-F.col("y")).alias("ny")).alias("s")) \
+        far = points.select("x", "y").mapInPandas(farthest_kernel(seeds), FARTHEST_SCHEMA) \
+            .select(F.struct("d2", (-F.col("x")).alias("nx"), (-F.col("y")).alias("ny")).alias("s")) \
             .agg(F.max("s").alias("s")).first().s
         if far is None or far.d2 == 0:
             break
