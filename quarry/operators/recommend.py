@@ -218,6 +218,21 @@ def scores(r: DataFrame, cooc: DataFrame | None = None, user_id: int | None = No
             .agg(F.sum(F.col("n") * F.col("pref")).alias("score")))
 
 
+def top_scores(r: DataFrame, n: int, exclude_seen: bool = False, cooc: DataFrame | None = None) -> DataFrame:
+    """``(user_id, item_id, score, rank)``: the n best items of every user.
+
+    With a small co-occurrence matrix the top n (and the removal of rated
+    items) happen inside the scoring kernel, so only n rows per user leave
+    each task; the ranking window then sees at most n rows per user.
+    Otherwise all scores are ranked with the window.
+    """
+    c = cooccurrence(r) if cooc is None else cooc
+    small = _small_matrix(c)
+    if small is None:
+        return rank(scores(r, cooc=c), n=n, seen=r if exclude_seen else None)
+    return rank(_matrix_scores(r, *small, top_n=n, exclude_seen=exclude_seen), n=n)
+
+
 def _small_matrix(c: DataFrame):
     """(item ids, dense C) if a bounded fetch proves C has at most
     SCORE_MATRIX_MAX_ITEMS items, else None (nothing beyond the bound is read)."""
@@ -234,13 +249,18 @@ def _small_matrix(c: DataFrame):
     return ids, mat
 
 
-def _matrix_scores(r: DataFrame, ids: np.ndarray, mat: np.ndarray) -> DataFrame:
+def _matrix_scores(r: DataFrame, ids: np.ndarray, mat: np.ndarray, top_n: int | None = None,
+                   exclude_seen: bool = False) -> DataFrame:
     """score[u, :] = C · pref[u, :] per Arrow batch of users, C broadcast once.
 
     Each user's ratings are gathered (bounded by the catalogue: at most one
     row per item after dedupe). Sums are exact: float64 BLAS is used only
     when max(C) · Σ|pref| of every user in the batch stays below 2**53,
     int64 products otherwise (overflow raises).
+
+    ``exclude_seen`` zeroes the items each user rated; ``top_n`` keeps, per
+    user, the n best non-zero scores (ties by item id) before anything
+    leaves the task.
     """
     spark = r.sparkSession
     bc = spark.sparkContext.broadcast((ids, mat))
@@ -270,7 +290,17 @@ def _matrix_scores(r: DataFrame, ids: np.ndarray, mat: np.ndarray) -> DataFrame:
             else:
                 with np.errstate(over="raise"):
                     sc = s @ c.T
-            u, i = np.nonzero(sc)
+            if exclude_seen:
+                sc[s != 0] = 0
+            if top_n is None:
+                u, i = np.nonzero(sc)
+            else:
+                # stable sort keeps item-id order among equal scores
+                order = np.argsort(-sc, axis=1, kind="stable")[:, :top_n]
+                u = np.repeat(np.arange(sc.shape[0]), order.shape[1])
+                i = order.ravel()
+                keep = sc[u, i] != 0
+                u, i = u[keep], i[keep]
             uid = rb.column("user_id").to_numpy(zero_copy_only=False)
             yield pa.RecordBatch.from_arrays([pa.array(ids_[i]), pa.array(uid[u]), pa.array(sc[u, i])],
                                              names=["item_id", "user_id", "score"])

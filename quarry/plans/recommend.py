@@ -21,6 +21,8 @@ def recommend_job(ratings: DataFrame, user_id: int | None = None, n: int | None
     top n per user; ``exclude_seen`` drops items the user already rated.
     """
     r = R.dedupe_ratings(ratings, dedupe)
+    if user_id is None and n is not None:
+        return R.top_scores(r, n, exclude_seen=exclude_seen)
     if user_id is not None and shaped:
         s = R.scores(r, user_id=user_id)
     else:
@@ -86,6 +88,10 @@ def recommend_topn_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recommend_job(fx.raw_ratings(spark, sf_dir), n=3)
 
 
+def recommend_topn_unseen_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recommend_job(fx.raw_ratings(spark, sf_dir), n=3, exclude_seen=True)
+
+
 QUERIES = {
     "ratings_parsed": ratings_parsed,
     "ratings_deduped": ratings_deduped,
@@ -98,6 +104,7 @@ QUERIES = {
     "recommend_user_plain": recommend_user_plain,
     "recommend_unseen": recommend_unseen,
     "recommend_topn_all": recommend_topn_all,
+    "recommend_topn_unseen_all": recommend_topn_unseen_all,
 }
 
 _RAW = """raw AS (SELECT CAST(o_custkey AS BIGINT) AS user_id, CAST(l_partkey % 500 AS BIGINT) AS item_id,
@@ -140,4 +147,5 @@ SQL = {
     "recommend_user_plain": _ranked(f"AND user_id = {fx.TARGET_USER}"),
     "recommend_unseen": _ranked(f"AND user_id = {fx.TARGET_USER}", seen=True),
     "recommend_topn_all": _ranked(n=3),
+    "recommend_topn_unseen_all": _ranked(seen=True, n=3),
 }

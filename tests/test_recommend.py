@@ -127,3 +127,13 @@ def test_kernel_matches_numpy_gram():
     got = np.zeros_like(gram)
     got[out.item1.to_numpy(), out.item2.to_numpy()] = out.n.to_numpy()
     assert (got == gram).all()
+
+
+def test_top_scores_matrix_and_fallback_agree(spark, monkeypatch):
+    r = R.dedupe_ratings(fx.raw_ratings(spark, SF_SMALL))
+    for seen in (False, True):
+        fast = rows(R.top_scores(r, 3, exclude_seen=seen))
+        monkeypatch.setattr(R, "SCORE_MATRIX_MAX_ITEMS", 1)   # forces the sparse join + window path
+        slow = rows(R.top_scores(r, 3, exclude_seen=seen))
+        monkeypatch.undo()
+        assert fast == slow and len(fast) > 0
