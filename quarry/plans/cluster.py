@@ -74,6 +74,12 @@ def farthest_first_8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.centroid_frame(spark, seeds).select(F.col("cx").alias("x"), F.col("cy").alias("y"))
 
 
+def farthest_first_seeded_8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Farthest-first from the point with the smallest md5('x,y,0') instead of the smallest point."""
+    seeds = C.farthest_first(_points(spark, sf_dir), K_SMALL, seed="0")
+    return C.centroid_frame(spark, seeds).select(F.col("cx").alias("x"), F.col("cy").alias("y"))
+
+
 def random_seeds_8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.random_seeds(_points(spark, sf_dir), K_SMALL, seed="0")
 
@@ -125,6 +131,7 @@ QUERIES = {
     "best_answer": best_answer,
     "tag_vectors": tag_vectors,
     "farthest_first_8": farthest_first_8,
+    "farthest_first_seeded_8": farthest_first_seeded_8,
     "random_seeds_8": random_seeds_8,
     "assign_nearest": assign_nearest,
     "lloyd_step": lloyd_step,
@@ -157,8 +164,12 @@ def _dist(px: str, py: str, cx: str, cy: str) -> str:
     return f"(({px} - {cx}) * ({px} - {cx}) + ({py} - {cy}) * ({py} - {cy}))"
 
 
-def _seed_ctes(k: int) -> str:
-    parts = ["s1 AS MATERIALIZED (SELECT x, y FROM pts ORDER BY x, y LIMIT 1)"]
+_MD5 = "md5(CAST(x AS VARCHAR) || ',' || CAST(y AS VARCHAR) || ',0')"
+
+
+def _seed_ctes(k: int, seeded: bool = False) -> str:
+    first = f"ORDER BY {_MD5}, x, y" if seeded else "ORDER BY x, y"
+    parts = [f"s1 AS MATERIALIZED (SELECT x, y FROM pts {first} LIMIT 1)"]
     for i in range(2, k + 1):
         prev = f"s{i - 1}"
         parts.append(
@@ -198,6 +209,7 @@ SQL = {
     "best_answer": _with(_BASE) + "SELECT question_id, score, tag FROM best",
     "tag_vectors": _with(_BASE) + "SELECT * FROM v",
     "farthest_first_8": _with(_BASE, _SEEDS) + f"SELECT x, y FROM {_S}",
+    "farthest_first_seeded_8": _with(_BASE, _seed_ctes(K_SMALL, seeded=True)) + f"SELECT x, y FROM {_S}",
     "random_seeds_8": _with(_BASE) + "SELECT x, y FROM (SELECT DISTINCT x, y FROM pts) t "
                                      "ORDER BY md5(CAST(x AS VARCHAR) || ',' || CAST(y AS VARCHAR) || ',0'), x, y "
                                      f"LIMIT {K_SMALL}",

@@ -138,5 +138,6 @@ def test_partition_independence_kmeans(spark):
         p = C.weighted_points(vec)
         res = C.lloyd(p, C.farthest_first(p, 8), max_updates=5, stop=None)
         out.append(rows(C.summary(p, res.centroids)))
+        assert sum(r[2] for r in out[-1]) == vec.count()   # sizes add up to the points
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert out[0] == out[1] == out[2]
