@@ -141,3 +141,13 @@ def test_partition_independence_kmeans(spark):
         assert sum(r[2] for r in out[-1]) == vec.count()   # sizes add up to the points
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert out[0] == out[1] == out[2]
+
+
+def test_residual_stop_rule(spark):
+    # residual of the seeds is 2 (< eta 5): no update happens
+    p = pts(spark, [(0, 0), (0, 2), (10, 0)])
+    r = C.lloyd(p, [(0, 0), (10, 0)], eta=5.0, stop="residual")
+    assert (r.updates, r.centroids, r.last_residual) == (0, [(0, 0), (10, 0)], 2.0)
+    # with eta 1 the residual (2) never drops below it, so the cap of 2 updates ends the run
+    r = C.lloyd(p, [(0, 0), (10, 0)], eta=1.0, stop="residual", max_updates=2)
+    assert r.updates == 2 and r.centroids == [(0, 1), (10, 0)]
