@@ -211,7 +211,7 @@ class KMeansResult:
 
 
 def lloyd(points: DataFrame, seeds: Sequence[tuple[int, int]], max_updates: int = 121,
-          eta: float = 20.0, stop: str | None = "movement") -> KMeansResult:
+          eta: float = 20.0, stop: str | None = "movement", skip_cycles: bool = True) -> KMeansResult:
     """Lloyd iterations from ``seeds``.
 
     ``stop="movement"``: stop after an update whose total centroid movement is
@@ -219,21 +219,39 @@ def lloyd(points: DataFrame, seeds: Sequence[tuple[int, int]], max_updates: int
     point-to-centroid distance is below ``eta``. ``stop=None``: exactly
     ``max_updates`` updates. At most ``max_updates`` updates in every case.
     Empty clusters vanish (k may shrink).
+
+    The update is a deterministic function of the centroid set, so once a set
+    repeats (truncated means can cycle) no later update can meet the stop
+    rule either; with ``skip_cycles`` the remaining updates are not run and
+    the state the cap would reach is taken from the cycle. Same result, far
+    fewer jobs.
     """
     cents = sorted(set(seeds))
-    mv = res = None
+    states: list[list[tuple[int, int]]] = [cents]
+    seen = {tuple(cents): 0}
+    moves: list[float | None] = [None]          # movement of the update that produced states[i]
+    resids: list[float | None] = [None]         # residual of the state before that update
     n = 0
     while n < max_updates and cents:
         steps = lloyd_step(points, cents)
         res = residual(steps)
         if stop == "residual" and res < eta:
-            break
+            return KMeansResult(cents, n, moves[-1], res)
         mv = movement(steps)
         cents = recenter(steps)
         n += 1
+        states.append(cents)
+        moves.append(mv)
+        resids.append(res)
         if stop == "movement" and mv < eta:
             break
-    return KMeansResult(cents, n, mv, res)
+        key = tuple(cents)
+        if skip_cycles and key in seen and n < max_updates:
+            j = seen[key]
+            i = j + (max_updates - j) % (n - j)
+            return KMeansResult(states[i], max_updates, moves[i] if i else moves[n], resids[i] if i else resids[n])
+        seen.setdefault(key, n)
+    return KMeansResult(cents, n, moves[-1], resids[-1])
 
 
 # --------------------------------------------------------------------------- summary

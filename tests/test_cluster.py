@@ -151,3 +151,24 @@ def test_residual_stop_rule(spark):
     # with eta 1 the residual (2) never drops below it, so the cap of 2 updates ends the run
     r = C.lloyd(p, [(0, 0), (10, 0)], eta=1.0, stop="residual", max_updates=2)
     assert r.updates == 2 and r.centroids == [(0, 1), (10, 0)]
+
+
+def test_cycle_skip_lands_on_the_capped_state(monkeypatch):
+    # fake update: (0,0) -> (10,0) -> (20,0) -> (30,0) -> (20,0) -> (30,0) ... (cycle of length 2)
+    nxt = {(0, 0): (10, 0), (10, 0): (20, 0), (20, 0): (30, 0), (30, 0): (20, 0)}
+    calls = []
+
+    def fake_step(points, cents):
+        calls.append(1)
+        return [C.Step(c, nxt[c], 1, 1.0) for c in cents]
+
+    monkeypatch.setattr(C, "lloyd_step", fake_step)
+    for cap in (1, 2, 3, 4, 120, 121):
+        calls.clear()
+        fast = C.lloyd(None, [(0, 0)], max_updates=cap, eta=5.0)
+        slow_calls = len(calls)
+        calls.clear()
+        slow = C.lloyd(None, [(0, 0)], max_updates=cap, eta=5.0, skip_cycles=False)
+        assert (fast.centroids, fast.updates, fast.last_movement) == (slow.centroids, slow.updates, slow.last_movement)
+        assert slow_calls <= 4
+    assert C.lloyd(None, [(0, 0)], max_updates=121, eta=5.0).centroids == [(30, 0)]
