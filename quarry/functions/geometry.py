@@ -37,11 +37,6 @@ def encode_domain(tag: Column, domains: Sequence[str]) -> Column:
     return F.array_position(F.array(*[F.lit(d) for d in domains]), tag) - F.lit(1)
 
 
-def squared_distance(x: Column, y: Column, cx: Column, cy: Column) -> Column:
-    dx, dy = x - cx, y - cy
-    return dx * dx + dy * dy
-
-
 def _nearest_arrays(cents: np.ndarray, rows: int, px: np.ndarray, py: np.ndarray):
     """(index of nearest centroid, squared distance) for each point."""
     if px.size and max(np.abs(px).max(), np.abs(py).max(), np.abs(cents).max()) > COORD_LIMIT:

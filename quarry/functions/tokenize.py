@@ -22,7 +22,7 @@ LINE_BREAK_PATTERN = r"\r\n|\r|\n"
 
 def whitespace_tokens(text: Column) -> Column:
     """array<string> of non-empty whitespace-delimited tokens, case kept."""
-    return F.filter(F.split(text, WHITESPACE_PATTERN), lambda t: t != F.lit(""))
+    return F.array_remove(F.split(text, WHITESPACE_PATTERN), "")
 
 
 def space_tokens(line: Column) -> Column:

@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.functions.tokenize import WHITESPACE_PATTERN, space_tokens
+from quarry.functions.tokenize import space_tokens, whitespace_tokens
 from quarry.operators.common import broadcast_if_small
+from quarry.sources.text import tagged_union
 
 # Largest stop-word list that is broadcast after its count is checked.
 STOPWORD_BROADCAST_MAX_ROWS = 1_000_000
@@ -29,9 +30,7 @@ def tokenize(lines: DataFrame, mode: str = "whitespace", lower: bool = False,
     ``lower`` lower-cases the token itself.
     """
     if mode == "whitespace":
-        # split + explode, then drop the empty tokens a leading delimiter gives
-        df = lines.select(*keep, F.explode(F.split(F.col(col), WHITESPACE_PATTERN)).alias("word")) \
-            .where(F.col("word") != F.lit(""))
+        df = lines.select(*keep, F.explode(whitespace_tokens(F.col(col))).alias("word"))
     elif mode == "space":
         df = lines.select(*keep, F.explode(space_tokens(F.col(col))).alias("word"))
     else:
@@ -100,8 +99,7 @@ def common_words(a: DataFrame, b: DataFrame, strategy: str = "join") -> DataFram
         return a.alias("a").join(b.alias("b"), "word").select(
             "word", F.least(F.col("a.n"), F.col("b.n")).alias("n"))
     if strategy == "union":
-        u = a.select("word", "n").withColumn("src", F.lit(1)).unionByName(
-            b.select("word", "n").withColumn("src", F.lit(2)))
+        u = tagged_union(a.select("word", "n"), b.select("word", "n"))
         return (u.groupBy("word")
                 .agg(F.min("n").alias("n"), F.count(F.lit(1)).alias("_vals"))
                 .where(F.col("_vals") > 1)
