@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app: str = "quarry") -> SparkSession:
+                  app: str = "quarry", extra: dict[str, str] | None = None) -> SparkSession:
     """Local session with AQE, no UI, UTC time zone.
 
     AQE coalesces small shuffle partitions, converts sort-merge joins whose
@@ -35,6 +35,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("QUARRY_DRIVER_MEMORY", "8g"))
     )
+    for key, value in (extra or {}).items():
+        builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
