@@ -35,7 +35,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarry.operators.common import broadcast_if_small
 
+
+# Largest side of the one-user form that is broadcast (the user's own items).
+USER_ITEMS_BROADCAST_MAX_ROWS = 1_000_000
 # All-user scores: C is shipped as a dense matrix to every task only if a
 # bounded fetch proves it has at most this many items (2048² int64 = 32 MB).
 SCORE_MATRIX_MAX_ITEMS = 2048
@@ -190,15 +194,17 @@ def scores(r: DataFrame, cooc: DataFrame | None = None, user_id: int | None = No
     scores have rows (zero cells add nothing to the product).
 
     With ``user_id`` the one-user form is used: C is never built; the user's
-    items (bounded by the catalogue; AQE broadcasts them once measured small)
-    weight every co-rater, and the weights are summed per item.
+    items (bounded by the catalogue, broadcast after a count check) weight
+    every co-rater, and the weights are summed per item.
     """
     if user_id is not None:
-        # The user's own items: AQE measures this side after its aggregate and
-        # broadcasts it when small (no extra counting job); otherwise it stays
-        # a shuffle join.
-        mine = r.where(F.col("user_id") == F.lit(user_id)).select(F.col("item_id").alias("_y"),
-                                                                  F.col("pref").alias("_p"))
+        # The user's own items, broadcast after a count proves them small (the
+        # count scans with the user filter pushed down). Broadcasting keeps the
+        # full ratings from being shuffled by item for this join; above the
+        # bound it is a shuffle join that AQE may still convert.
+        mine = broadcast_if_small(
+            r.where(F.col("user_id") == F.lit(user_id)).select(F.col("item_id").alias("_y"), F.col("pref").alias("_p")),
+            USER_ITEMS_BROADCAST_MAX_ROWS)
         # One pass over the ratings: mark each rating with the user's pref for
         # that item, sum the marks per rater (window over one user's distinct
         # items) and add that weight to every item of the rater.
