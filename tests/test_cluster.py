@@ -172,3 +172,16 @@ def test_cycle_skip_lands_on_the_capped_state(monkeypatch):
         assert (fast.centroids, fast.updates, fast.last_movement) == (slow.centroids, slow.updates, slow.last_movement)
         assert slow_calls <= 4
     assert C.lloyd(None, [(0, 0)], max_updates=121, eta=5.0).centroids == [(30, 0)]
+
+
+def test_squared_error_does_not_rise_much(spark):
+    from pyspark.sql import functions as F
+    p = C.weighted_points(C.tag_vectors(C.best_answer(fx.postings(spark, SF_SMALL)), fx.PRIORITY_DOMAINS))
+    cents = C.farthest_first(p, 8)
+    sse = []
+    for _ in range(6):
+        sse.append(C.assign(p, cents).agg(F.sum(F.col("d2") * F.col("w")).alias("s")).first().s)
+        cents = C.recenter(C.lloyd_step(p, cents))
+    # truncated means may raise it a little; exact means never would
+    assert all(b <= a * 1.001 + 1e6 for a, b in zip(sse, sse[1:])), sse
+    assert sse[-1] < sse[0]
