@@ -18,7 +18,8 @@ Scale notes
   thing collected; the (at most k) centroids reach the executors inside the
   nearest-centroid kernel, a vectorized numpy arg-min per Arrow batch
   (``mapInPandas``). A k-way expression in whole-stage codegen grows into one
-  huge method the JIT will not compile and ran ~50x slower.
+  huge method the JIT will not compile: a step took 4-13 s instead of
+  0.6 s at k = 45 on sf0.1.
 * The median is an exact distributed selection (bucket refinement): no
   cluster's values are ever gathered into one task or the driver.
 """
