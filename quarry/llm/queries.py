@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from quarry.llm.common import table
 from quarry.llm.packing import pack
 from quarry.llm.quality import quality_rules
+from quarry.llm.simhash import near_duplicates
 from quarry.llm.token_counts import token_counts
 
 
@@ -23,6 +24,11 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of all documents: 3-word shingles, at most 3 differing bits."""
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=3)
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of all documents."""
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
@@ -31,6 +37,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_rules": op3_quality_rules,
     "op7_packing": op7_packing,
+    "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_token_counts": op9_token_counts,
 }
 
