@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quarry.llm.common import table
+from quarry.llm.langid import held_out, predict, train
 from quarry.llm.packing import pack
 from quarry.llm.quality import quality_rules
 from quarry.llm.simhash import near_duplicates
@@ -19,6 +21,13 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of all documents, learned from those that are not held out."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    model = train(docs.where(F.col("doc_id").isNotNull() & ~held_out()))
+    return predict(docs, model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "spans")
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 2048 ids."""
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -36,6 +45,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_rules": op3_quality_rules,
+    "op6_language_id": op6_language_id,
     "op7_packing": op7_packing,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_token_counts": op9_token_counts,
