@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm.common import table
+from quarry.llm.html_extract import extract
 from quarry.llm.langid import held_out, predict, train
 from quarry.llm.packing import pack
 from quarry.llm.quality import quality_rules
@@ -16,6 +17,11 @@ from quarry.llm.simhash import near_duplicates
 from quarry.llm.token_counts import token_counts
 
 
+def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality measures and verdicts of all documents."""
     return quality_rules(table(spark, sf_dir, "documents"))
@@ -44,6 +50,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html_extract": op1_html_extract,
     "op3_quality_rules": op3_quality_rules,
     "op6_language_id": op6_language_id,
     "op7_packing": op7_packing,
