@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quarry.session import shared_dir
 
@@ -41,3 +42,14 @@ def by_bytes(batch: pa.RecordBatch, column: str, limit: int = 4 << 20) -> Iterat
         held += n
     if start < batch.num_rows:
         yield batch.slice(start)
+
+
+def broadcast_if_small(df: DataFrame, strings: tuple[str, ...] = (), limit: int = 16 << 20) -> DataFrame:
+    """A broadcast hint on ``df`` (cheap to scan: saved or tiny) if its rows are known to take at most ``limit`` bytes.
+
+    Beyond that ``df`` is returned as it is and joined by a shuffle.
+    """
+    width = F.lit(32 * len(df.columns))
+    for c in strings:
+        width = width + F.coalesce(F.octet_length(c), F.lit(0))
+    return F.broadcast(df) if (df.agg(F.sum(width)).first()[0] or 0) <= limit else df

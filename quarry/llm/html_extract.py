@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import by_bytes, saved
+from quarry.llm.common import broadcast_if_small, by_bytes, saved
 
 # Elements by their role in HTML, and words that name boilerplate in class, id and role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -249,9 +249,7 @@ def extract(df: DataFrame, html_col: str = "html", url_col: str = "url", keep: t
     source = df.select(*keep, df[url_col].alias("__url"), df[html_col].alias("__html"))
     best = F.max(F.struct("votes", "depth", "path")).alias("best")
     winners = saved(host_votes(source, "__url", "__html").groupBy("host").agg(best).select("host", F.col("best.path").alias("__path")))
-    size = winners.agg(F.sum(F.length("host") * 4 + 32)).first()[0] or 0
-    if size <= broadcast_bytes:
-        winners = F.broadcast(winners)
+    winners = broadcast_if_small(winners, ("host",), broadcast_bytes)
     host = F.regexp_replace(F.lower(F.regexp_extract("__url", r"^\s*(?:[a-zA-Z][\w+.-]*:)?//(?:[^/?#@]*@)?([^/?#:\s]+)", 1)),
                             r"^www\.", "")
     joined = source.withColumn("__host", host).join(winners, F.col("__host") == winners["host"], "left")

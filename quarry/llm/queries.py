@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from quarry.llm.common import table
 from quarry.llm.html_extract import extract
 from quarry.llm.langid import held_out, predict, train
+from quarry.llm.mixing import mix
+from quarry.llm.mixing import oracle_sql as mixing_sql
 from quarry.llm.packing import pack
 from quarry.llm.quality import quality_rules
 from quarry.llm.simhash import near_duplicates
@@ -27,6 +29,11 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of all documents."""
+    return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Languages of all documents, learned from those that are not held out."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
@@ -52,10 +59,11 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extract": op1_html_extract,
     "op3_quality_rules": op3_quality_rules,
+    "op4_mixing": op4_mixing,
     "op6_language_id": op6_language_id,
     "op7_packing": op7_packing,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_token_counts": op9_token_counts,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op4_mixing": mixing_sql()}
