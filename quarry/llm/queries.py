@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from quarry.llm.common import table
 from quarry.llm.html_extract import extract
 from quarry.llm.langid import held_out, predict, train
+from quarry.llm.line_dedup import dedup
 from quarry.llm.mixing import mix
 from quarry.llm.mixing import oracle_sql as mixing_sql
 from quarry.llm.packing import pack
@@ -34,6 +35,11 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the lines that repeat, or nearly repeat, an earlier one."""
+    return dedup(table(spark, sf_dir, "documents", "doc_id", "text")).select("row.doc_id", "n_lines", "n_removed", "row.text")
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Languages of all documents, learned from those that are not held out."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
@@ -60,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extract": op1_html_extract,
     "op3_quality_rules": op3_quality_rules,
     "op4_mixing": op4_mixing,
+    "op5_line_dedup": op5_line_dedup,
     "op6_language_id": op6_language_id,
     "op7_packing": op7_packing,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
