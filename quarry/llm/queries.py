@@ -8,6 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.llm.ann import nearest
+from quarry.llm.chat_format import format_chats
 from quarry.llm.common import table
 from quarry.llm.html_extract import extract
 from quarry.llm.langid import held_out, predict, train
@@ -25,6 +27,26 @@ def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages"))
 
 
+# How the stand-in transcripts mark their speakers, by conversation.
+STYLES = [("System:", "User:", "Assistant:"), ("SYSTEM:", "Human:", "AI:"), ("### Instruction:", "### Question:", "### Answer:"),
+          ("**System**:", "**Q**:", "**A**:"), ("<|system|>", "<|user|>", "<|assistant|>")]
+
+
+def transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stand-in input: ``conv_id, transcript``, the turns of ``conversations`` each behind a speaker marker."""
+    style = F.element_at(F.array(*(F.array(*map(F.lit, s)) for s in STYLES)), (F.pmod("conv_id", F.lit(len(STYLES))) + 1).cast("int"))
+    marker = F.element_at(style, F.when(F.col("role") == "system", 1).when(F.col("role") == "user", 2).otherwise(3))
+    turns = table(spark, sf_dir, "conversations").select(
+        "conv_id", F.struct("turn", F.concat_ws(" ", marker, "text").alias("text")).alias("turn"))
+    return turns.groupBy("conv_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list("turn")), lambda t: t["text"]),
+                                                     "\n").alias("transcript"))
+
+
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Roles and canonical turns of all conversations, from their transcripts."""
+    return format_chats(transcripts(spark, sf_dir)).select("conv_id", "n_turns", F.transform("turns", lambda t: t["role"]).alias("roles"), "rendered")
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality measures and verdicts of all documents."""
     return quality_rules(table(spark, sf_dir, "documents"))
@@ -62,8 +84,14 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest rows of every embedding whose id is divisible by 20."""
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extract": op1_html_extract,
+    "op2_chat_format": op2_chat_format,
     "op3_quality_rules": op3_quality_rules,
     "op4_mixing": op4_mixing,
     "op5_line_dedup": op5_line_dedup,
@@ -71,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_packing": op7_packing,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_token_counts": op9_token_counts,
+    "op10_nearest_neighbours": op10_nearest_neighbours,
 }
 
 SQL: dict[str, str] = {"op4_mixing": mixing_sql()}

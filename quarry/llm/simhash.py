@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import by_bytes, saved
+from quarry.llm.common import broadcast_if_small, by_bytes, saved
 from quarry.llm.components import connected_components
 
 SEED = 42
@@ -136,16 +136,20 @@ def signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def fingerprints(df: DataFrame, text_col: str = "text", key: str = "doc_id", shingle: int = 3) -> DataFrame:
-    """``key`` and ``fp`` (the fingerprint as a signed long) of each row."""
+def fingerprints(df: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",), shingle: int = 3) -> DataFrame:
+    """``keep`` columns and ``fp`` (the fingerprint as a signed long) of each row."""
+    keep = list(keep)
+
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in by_bytes(batch, "__text"):
                 found = fingerprints_of([t or "" for t in part.column("__text").to_pylist()], shingle)
-                yield pa.RecordBatch.from_arrays([part.column(key), pa.array(found.view(np.int64))], names=[key, "fp"])
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), pa.array(found.view(np.int64))],
+                                                 names=[*keep, "fp"])
 
-    source = df.select(key, df[text_col].alias("__text"))
-    return source.mapInArrow(kernel, f"`{key}` {source.schema[key].dataType.simpleString()}, fp long")
+    source = df.select(*keep, df[text_col].alias("__text"))
+    schema = "".join(f"`{c}` {source.schema[c].dataType.simpleString()}, " for c in keep)
+    return source.mapInArrow(kernel, f"{schema}fp long")
 
 
 def links(distinct: DataFrame, radius: int, tree: int = TREE) -> DataFrame:
@@ -188,6 +192,13 @@ def links(distinct: DataFrame, radius: int, tree: int = TREE) -> DataFrame:
             .mapInArrow(kernel, "a long, b long"))
 
 
+def roots_of(found: DataFrame, radius: int) -> DataFrame:
+    """``fp, root`` for every distinct ``fp``: the least fingerprint reachable over links."""
+    distinct = saved(found.select("fp").distinct())
+    roots = connected_components(links(distinct, radius))
+    return saved(distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", F.coalesce("root", "fp").alias("root")))
+
+
 def near_duplicates(df: DataFrame, text_col: str = "text", key: str = "doc_id", shingle: int = 3,
                     radius: int = 3) -> DataFrame:
     """``key``, ``fingerprint`` (16 hex digits) and ``component_id`` (least key reachable) of every row.
@@ -197,13 +208,31 @@ def near_duplicates(df: DataFrame, text_col: str = "text", key: str = "doc_id",
     is never the least one: a component of null keys only has a null id. Repeated rows each get their
     row. Only ``key`` and ``text_col`` are read, and an empty table gives an empty result.
     """
-    found = saved(fingerprints(df, text_col, key, shingle))
-    distinct = found.groupBy("fp").agg(F.min(key).alias("least"))
-    roots = connected_components(links(distinct.select("fp"), radius))
-    labels = (distinct.join(roots, distinct["fp"] == roots["node"], "left")
-              .select("fp", "least", F.coalesce("root", "fp").alias("root")))
-    labels = saved(labels)
-    components = labels.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = labels.join(components, "root").select("fp", "component_id")
-    return found.join(named, "fp").select(
-        key, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    found = saved(fingerprints(df, text_col, (key,), shingle))
+    least = found.groupBy("fp").agg(F.min(key).alias("least")).join(roots_of(found, radius), "fp")
+    least = saved(least)
+    components = least.groupBy("root").agg(F.min("least").alias("component_id"))
+    named = least.join(components, "root").select("fp", "component_id")
+    return found.join(named, "fp").select(key, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def one_of_each(df: DataFrame, text_col: str = "text", key: str = "doc_id", shingle: int = 3, radius: int = 3) -> DataFrame:
+    """The rows of ``df`` that stay when one row of every component does: that of its least key, then text hash.
+
+    A row with a key goes before one without. Rows equal in key and text are copies, of which one stays.
+    Of the tables only the keys are shuffled, apart from the few rows that have such copies.
+    """
+    rows = df.withColumn("__doc", F.xxhash64(text_col))
+    found = saved(fingerprints(rows, text_col, (key, "__doc"), shingle))
+    place = F.struct(F.col(key).isNull().alias("last"), F.col(key).alias("key"), F.col("__doc").alias("doc"))
+    placed = found.join(roots_of(found, radius), "fp").select("root", place.alias("place"))
+    first = placed.groupBy("root").agg(F.min("place").alias("kept"))
+    named = ["key", "doc", "times"]
+    seen = saved(placed.groupBy("root", "place").count().join(first, "root").select(
+        "place.key", "place.doc", F.col("count").alias("times"), (F.col("place") == F.col("kept")).alias("stays")))
+    same = rows[key].eqNullSafe(F.col("key")) & (rows["__doc"] == F.col("doc"))
+    gone = broadcast_if_small(saved(seen.where("not stays").select(*named)))
+    several = broadcast_if_small(saved(seen.where("stays and times > 1").select(*named)))
+    left = rows.join(gone, same, "left_anti")
+    single = left.join(several, same, "left_anti")
+    return single.union(left.join(several, same, "left_semi").dropDuplicates([key, "__doc"])).drop("__doc")
