@@ -2,9 +2,7 @@
 
 import sys as _sys
 
-try:  # ship this package's kernels to Python workers by value (no install needed on executors)
-    from pyspark import cloudpickle as _cloudpickle
+from pyspark import cloudpickle as _cloudpickle
 
-    _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
-except Exception:  # pragma: no cover - older cloudpickle: workers must import quarry themselves
-    pass
+# Ship this package's kernels to Python workers by value (no install needed on executors).
+_cloudpickle.register_pickle_by_value(_sys.modules[__name__])

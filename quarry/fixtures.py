@@ -55,6 +55,26 @@ def raw_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def ordered_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``raw_ratings`` with ``at``, the place of the line item: order key, then line number."""
+    li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_quantity", "l_linenumber")
+    o = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey")
+    return li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        F.col("o_custkey").cast("bigint").alias("user_id"), (F.col("l_partkey") % N_ITEMS).cast("bigint").alias("item_id"),
+        F.col("l_quantity").cast("bigint").alias("pref"),
+        (F.col("l_orderkey").cast("bigint") * 10 + F.col("l_linenumber")).alias("at"))
+
+
+def wide_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One rating per line item over every part key; by line number a quarter of the prefs is 0, a quarter negative."""
+    li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_quantity", "l_linenumber")
+    o = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey")
+    kind, pref = F.col("l_linenumber") % 4, F.col("l_quantity").cast("bigint")
+    return li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        F.col("o_custkey").cast("bigint").alias("user_id"), F.col("l_partkey").cast("bigint").alias("item_id"),
+        F.when(kind == 0, F.lit(0).cast("bigint")).when(kind == 1, -pref).otherwise(pref).alias("pref"))
+
+
 def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``posting_type, id, parent_id, score, tag`` (questions then answers)."""
     q = table(spark, sf_dir, "orders", "o_orderkey", "o_orderpriority").select(

@@ -2,8 +2,8 @@
 
 Points are ``x, y`` bigint columns; centroids are small Python lists of
 ``(cx, cy)`` ints (at most k, shipped inside the task closure, so no join is
-needed). Squared distances are exact 64-bit integers; values that could
-overflow fail the job instead of wrapping.
+needed). Distances are compared exactly for all coordinates up to 2**32 apart,
+as two 32-bit halves where a 64-bit integer could overflow.
 """
 
 from __future__ import annotations
@@ -26,10 +26,12 @@ REFERENCE_DOMAINS = [
 ]
 REFERENCE_SPREAD = 50000
 
-# Distance matrix chunk (points x centroids) and the coordinate bound that
-# keeps squared distances exact in int64.
+# Distance matrix chunk (points x centroids).
 NEAREST_CELLS = 1 << 21
-COORD_LIMIT = 1 << 30
+# Differences up to this keep a squared distance in a signed, up to the second in an unsigned 64-bit half sum.
+NARROW, WIDE = (1 << 31) - 1, 1 << 32
+LOW = np.uint64(0xFFFFFFFF)
+HALF = np.uint64(32)
 
 
 def encode_domain(tag: Column, domains: Sequence[str]) -> Column:
@@ -38,20 +40,34 @@ def encode_domain(tag: Column, domains: Sequence[str]) -> Column:
 
 
 def _nearest_arrays(cents: np.ndarray, rows: int, px: np.ndarray, py: np.ndarray):
-    """(index of nearest centroid, squared distance) for each point."""
-    if px.size and max(np.abs(px).max(), np.abs(py).max(), np.abs(cents).max()) > COORD_LIMIT:
-        raise OverflowError("coordinates too large for exact int64 squared distances")
-    ccx, ccy = cents[:, 0], cents[:, 1]
+    """(index of nearest centroid, squared distance as high and low 32-bit halves) for each point."""
     idx = np.empty(px.size, dtype=np.int64)
-    d2 = np.empty(px.size, dtype=np.int64)
+    hi, lo = np.empty(px.size, np.uint64), np.empty(px.size, np.uint64)
     for s in range(0, px.size, rows):
-        dx = px[s:s + rows, None] - ccx[None, :]
-        dy = py[s:s + rows, None] - ccy[None, :]
-        d = dx * dx + dy * dy
-        j = d.argmin(axis=1)
-        idx[s:s + rows] = j
-        d2[s:s + rows] = d[np.arange(j.size), j]
-    return idx, d2
+        dx = np.abs(px[s:s + rows, None] - cents[None, :, 0])
+        dy = np.abs(py[s:s + rows, None] - cents[None, :, 1])
+        far = max(dx.max(), dy.max())
+        if far > WIDE - 1:
+            raise OverflowError("coordinates more than 2**32 - 1 apart")
+        if far <= NARROW:
+            d = (dx * dx).astype(np.uint64) + (dy * dy).astype(np.uint64)
+            j = d.argmin(axis=1)
+            best = d[np.arange(j.size), j]
+            high, low = best >> HALF, best & LOW
+        else:
+            a, b = dx.astype(np.uint64) ** np.uint64(2), dy.astype(np.uint64) ** np.uint64(2)
+            low = (a & LOW) + (b & LOW)
+            high = (a >> HALF) + (b >> HALF) + (low >> HALF)
+            low = low & LOW
+            least = high == high.min(axis=1, keepdims=True)
+            j = np.where(least, low, LOW + np.uint64(1)).argmin(axis=1)
+            high, low = high[np.arange(j.size), j], low[np.arange(j.size), j]
+        idx[s:s + rows], hi[s:s + rows], lo[s:s + rows] = j, high, low
+    return idx, hi, lo
+
+
+def _root(hi: np.ndarray, lo: np.ndarray) -> np.ndarray:
+    return np.sqrt(hi.astype(np.float64) * 2.0 ** 32 + lo.astype(np.float64))
 
 
 def _sorted_centroids(centroids: Sequence[tuple[int, int]]) -> np.ndarray:
@@ -65,30 +81,34 @@ def nearest_kernel(centroids: Sequence[tuple[int, int]], x: str = "x", y: str =
     """mapInPandas kernel adding ``cx, cy, d2`` of the nearest centroid.
 
     Centroids are sorted by (cx, cy) and ``argmin`` returns the first minimum,
-    so ties go to the smallest (cx, cy). Distances are exact int64; inputs
-    whose squared distances could overflow raise instead of wrapping.
+    so ties go to the smallest (cx, cy). A squared distance of 2**63 or more
+    fails the job, as ``d2`` is a bigint.
     """
     cents = _sorted_centroids(centroids)
     rows = max(1, NEAREST_CELLS // cents.shape[0])
 
     def run(batches):
         for pdf in batches:
-            idx, d2 = _nearest_arrays(cents, rows, pdf[x].to_numpy(dtype=np.int64), pdf[y].to_numpy(dtype=np.int64))
-            yield pdf.assign(cx=cents[idx, 0], cy=cents[idx, 1], d2=d2)
+            idx, hi, lo = _nearest_arrays(cents, rows, pdf[x].to_numpy(dtype=np.int64), pdf[y].to_numpy(dtype=np.int64))
+            if hi.size and hi.max() >= 1 << 31:
+                raise OverflowError("a squared distance exceeds 64 bits")
+            yield pdf.assign(cx=cents[idx, 0], cy=cents[idx, 1], d2=((hi << HALF) | lo).astype(np.int64))
 
     return run
 
 
 def _exact_sums(v: np.ndarray, w: np.ndarray, groups: np.ndarray, k: int) -> list[int]:
-    """Σ v·w per group as Python ints (int64 fast path when it cannot overflow)."""
+    """Σ v·w per group as Python ints; beyond 64 bits by 32-bit parts of v."""
     if v.size == 0:
         return [0] * k
     if float(np.abs(v).max()) * float(w.max()) * v.size < 2.0 ** 62:
         return [int(t) for t in _int_bincount(groups, v * w, k)]
-    out = [0] * k
-    for g, a, b in zip(groups.tolist(), v.tolist(), w.tolist()):
-        out[g] += a * b
-    return out
+    total = [0] * k
+    for shift, part in ((32, v >> 32), (16, (v >> 16) & 0xFFFF), (0, v & 0xFFFF)):
+        for up, weight in ((32, w >> 32), (16, (w >> 16) & 0xFFFF), (0, w & 0xFFFF)):
+            for g, t in enumerate(_int_bincount(groups, part * weight, k).tolist()):
+                total[g] += t << (shift + up)
+    return total
 
 
 def _int_bincount(groups: np.ndarray, vals: np.ndarray, k: int) -> np.ndarray:
@@ -112,10 +132,10 @@ def step_kernel(centroids: Sequence[tuple[int, int]]):
             px = pdf["x"].to_numpy(dtype=np.int64)
             py = pdf["y"].to_numpy(dtype=np.int64)
             w = pdf["w"].to_numpy(dtype=np.int64)
-            idx, d2 = _nearest_arrays(cents, rows, px, py)
+            idx, hi, lo = _nearest_arrays(cents, rows, px, py)
             sx, sy = _exact_sums(px, w, idx, k), _exact_sums(py, w, idx, k)
             size = _int_bincount(idx, w, k)
-            res = np.bincount(idx, weights=np.sqrt(d2.astype(np.float64)) * w, minlength=k)
+            res = np.bincount(idx, weights=_root(hi, lo) * w, minlength=k)
             hit = np.nonzero(size)[0]
             yield pd.DataFrame({
                 "cx": cents[hit, 0], "cy": cents[hit, 1],
@@ -128,28 +148,6 @@ def step_kernel(centroids: Sequence[tuple[int, int]]):
 STEP_SCHEMA = "cx bigint, cy bigint, sx decimal(38,0), sy decimal(38,0), size bigint, residual double"
 
 
-def farthest_kernel(centroids: Sequence[tuple[int, int]]):
-    """mapInPandas kernel over ``x, y``: per batch the point farthest from its
-    nearest centroid (ties: smallest x, then y) as ``d2, x, y``."""
-    cents = _sorted_centroids(centroids)
-    rows = max(1, NEAREST_CELLS // cents.shape[0])
-
-    def run(batches):
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            px = pdf["x"].to_numpy(dtype=np.int64)
-            py = pdf["y"].to_numpy(dtype=np.int64)
-            _, d2 = _nearest_arrays(cents, rows, px, py)
-            best = np.lexsort((py, px, -d2))[0]
-            yield pd.DataFrame({"d2": [d2[best]], "x": [px[best]], "y": [py[best]]})
-
-    return run
-
-
-FARTHEST_SCHEMA = "d2 bigint, x bigint, y bigint"
-
-
 def nearest_schema(points_schema: T.StructType) -> T.StructType:
     return T.StructType(list(points_schema.fields) + [
         T.StructField("cx", T.LongType()), T.StructField("cy", T.LongType()), T.StructField("d2", T.LongType())])

@@ -25,8 +25,10 @@ def whitespace_tokens(text: Column) -> Column:
     return F.array_remove(F.split(text, WHITESPACE_PATTERN), "")
 
 
-def space_tokens(line: Column) -> Column:
-    """array<string> of single-space tokens of one line (see module doc)."""
+def space_tokens(line: Column, drop_empty: bool = False) -> Column:
+    """array<string> of single-space tokens of one line (see module doc); ``drop_empty`` leaves out empty ones."""
+    if drop_empty:
+        return F.array_remove(F.split(line, " "), "")
     trimmed = F.rtrim(line, F.lit(" "))
     return (
         F.when(line == F.lit(""), F.array(F.lit("")))

@@ -34,8 +34,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.functions.geometry import (FARTHEST_SCHEMA, REFERENCE_SPREAD, STEP_SCHEMA, encode_domain,
-                                      farthest_kernel, nearest_kernel, nearest_schema, step_kernel)
+from quarry.functions.geometry import (REFERENCE_SPREAD, STEP_SCHEMA, encode_domain, nearest_kernel,
+                                      nearest_schema, step_kernel)
 from quarry.session import cut_lineage
 
 DEC = T.DecimalType(38, 0)
@@ -65,13 +65,14 @@ def best_answer(p: DataFrame) -> DataFrame:
     """``(question_id, score, tag)``: highest answer score per answered question.
 
     Answers are aggregated per parent first (partial aggregation map-side),
-    then joined with the questions, one row each.
+    then joined with the questions. Questions that share an id are one, with
+    the greatest of their tags.
     """
     q, a = split_postings(p)
     top = a.where(F.col("parent_id").isNotNull()).groupBy(F.col("parent_id").alias("question_id")) \
         .agg(F.max("score").alias("score"))
     return top.join(q.select(F.col("id").alias("question_id"), "tag"), "question_id") \
-        .select("question_id", "score", "tag")
+        .groupBy("question_id", "score").agg(F.max("tag").alias("tag"))
 
 
 def tag_vectors(best: DataFrame, domains: Sequence[str], spread: int = REFERENCE_SPREAD,
@@ -175,20 +176,36 @@ def first_point(points: DataFrame, seed: str | None = None) -> tuple[int, int] |
     return None if r is None else _pt(r)
 
 
+# Seeding rounds between two checkpoints of the running distances.
+SEED_ROUNDS = 8
+
+
 def farthest_first(points: DataFrame, k: int, seed: str | None = None) -> list[tuple[int, int]]:
     """k seeds: a first point, then repeatedly the point farthest from its nearest seed.
 
     Ties go to the smallest (x, y). Stops early when every point is a seed
-    (largest distance 0). Each round is one global aggregate over the points.
+    (largest distance 0). Each point carries its distance to the nearest seed
+    so far, so a round measures the newest seed only: one column expression
+    and one global aggregate. The distances are checkpointed every few rounds.
+    They are decimals where a 64-bit square could overflow; seeds are the same.
     """
     start = first_point(points, seed)
     if start is None:
         return []
-    seeds = [start]
+    most = points.agg(F.max(F.greatest(F.abs(F.col("x").cast(DEC)), F.abs(F.col("y").cast(DEC))))).first()[0]
+    kind = "bigint" if most < 1 << 30 else "decimal(38,0)"
+
+    def to(c: str, value: int):
+        return F.col(c).cast(kind) - F.lit(value).cast(kind)
+
+    seeds, rest = [start], points.select("x", "y")
     while len(seeds) < k:
-        far = points.select("x", "y").mapInPandas(farthest_kernel(seeds), FARTHEST_SCHEMA) \
-            .select(F.struct("d2", (-F.col("x")).alias("nx"), (-F.col("y")).alias("ny")).alias("s")) \
-            .agg(F.max("s").alias("s")).first().s
+        x, y = seeds[-1]
+        d2 = (to("x", x) * to("x", x) + to("y", y) * to("y", y)).cast(kind)
+        rest = rest.select("x", "y", (d2 if "d2" not in rest.columns else F.least("d2", d2)).alias("d2"))
+        if len(seeds) % SEED_ROUNDS == 0:
+            rest = cut_lineage(rest)
+        far = rest.agg(F.max(F.struct("d2", (-F.col("x")).alias("nx"), (-F.col("y")).alias("ny"))).alias("s")).first().s
         if far is None or far.d2 == 0:
             break
         seeds.append((-int(far.nx), -int(far.ny)))
@@ -209,6 +226,7 @@ class KMeansResult:
     updates: int
     last_movement: float | None
     last_residual: float | None
+    converged: bool = False
 
 
 def lloyd(points: DataFrame, seeds: Sequence[tuple[int, int]], max_updates: int = 121,
@@ -237,7 +255,7 @@ def lloyd(points: DataFrame, seeds: Sequence[tuple[int, int]], max_updates: int
         steps = lloyd_step(points, cents)
         res = residual(steps)
         if stop == "residual" and res < eta:
-            return KMeansResult(cents, n, moves[-1], res)
+            return KMeansResult(cents, n, moves[-1], res, True)
         mv = movement(steps)
         cents = recenter(steps)
         n += 1
@@ -245,7 +263,7 @@ def lloyd(points: DataFrame, seeds: Sequence[tuple[int, int]], max_updates: int
         moves.append(mv)
         resids.append(res)
         if stop == "movement" and mv < eta:
-            break
+            return KMeansResult(cents, n, mv, res, True)
         key = tuple(cents)
         if skip_cycles and key in seen and n < max_updates:
             j = seen[key]
@@ -310,7 +328,8 @@ def summary(points: DataFrame, centroids: Sequence[tuple[int, int]]) -> DataFram
     average = Σy div size and median = middle value, or the truncated mean of
     the two middle values for an even size — both integers as in the reference.
     """
-    a = assign(_weighted(points), centroids).select("cx", "cy", "y", "w")
+    # assigned once: the passes of the median read the checkpointed distinct values
+    a = cut_lineage(assign(_weighted(points), centroids).groupBy("cx", "cy", "y").agg(F.sum("w").alias("w")))
     w = F.col("w").cast(DEC)
     stats = a.groupBy("cx", "cy").agg(
         F.sum("w").alias("size"), F.sum(F.col("y").cast(DEC) * w).alias("_sy"),

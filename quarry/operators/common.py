@@ -5,16 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest side (rows) that an operator broadcasts after counting it. Above it
+# Largest side (bytes) that an operator broadcasts after measuring it. Above it
 # the plain shuffle join is used and AQE decides at run time.
-BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_BYTES = 16 << 20
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only if a count proves it has at most ``max_rows`` rows.
+def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Broadcast ``df`` only if its rows are measured to take at most ``max_bytes``.
 
-    The count is a real job, so use this for sides that are cheap to count
-    (a side dictionary, an aggregated matrix) and reused afterwards.
+    The measure is a real job over ``df`` (32 bytes a column, and the bytes of
+    strings), so use this for sides that are cheap to compute.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    width = F.lit(32 * len(df.columns)).cast("bigint")
+    for f in df.schema.fields:
+        if f.dataType.simpleString() == "string":
+            width = width + F.coalesce(F.octet_length(f.name), F.lit(0))
+    return F.broadcast(df) if (df.agg(F.sum(width)).first()[0] or 0) <= max_bytes else df

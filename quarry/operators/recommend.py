@@ -1,67 +1,59 @@
 """Item co-occurrence recommendation on ``(user_id, item_id, pref)`` ratings.
 
-The reference chains seven text-file jobs; here it is one lazy plan:
+The reference chains seven text-file jobs; here it is
 
     ratings → dedupe → co-occurrence C[i, j] (users who rated both)
             → score[i, u] = Σ_y C[i, y] · pref[u, y] → per-user ranking
 
 Scale notes
 -----------
-* Co-occurrence is the Gram matrix RᵀR of the user × item incidence matrix.
-  It is not computed with a self join on the user (which would emit every
-  item pair of every user as a row). Instead each user's distinct items are
-  gathered (bounded by the item catalogue), and a vectorized kernel in
-  ``mapInPandas`` multiplies the incidence block of a whole Arrow batch of
-  users with itself (BLAS) and emits only the aggregated cells of that batch.
-  Spark's partial aggregate then merges batches inside the task, and only
-  per-task partial cells are shuffled.
-* Scores for all users: when a bounded fetch proves C small, it is broadcast
-  as a dense matrix and each Arrow batch of users is multiplied with it
-  (BLAS); otherwise the sparse join + aggregate product is used.
-* Scores for one user never build C: with w[v] = Σ_y R[v, y]·pref[u, y],
-  score[i] = Σ_v R[v, i]·w[v] — one pass over the ratings (a join with the
-  user's items, a window sum per rater, an aggregate per item), linear in
-  the ratings.
-* Hot users or items are handled by partial aggregation (dedupe, counts,
-  sums) and by AQE's skew-join splitting; gathers are cut into id blocks of
-  bounded size.
+* Items are cut into blocks of about ``BLOCK_ITEMS`` by a hash. One plan serves every catalogue size.
+* Co-occurrence is the Gram matrix RᵀR. A user's items are gathered per block, and each pair of a user's
+  blocks is one row, so the pairs of a heavy user are spread over many tasks. A task adds all its users'
+  incidence rows of a block pair into one Gram tile and emits its cells once; only one triangle is
+  computed, the other is its mirror.
+* Scores for all users are a blocked product: a task holds one slice of users times one block of items,
+  reads C and the ratings block by block, and emits finished scores, or the n best of each user in that
+  block. A row exists where the user rated an item that co-occurs, whatever the values.
+* Scores for one user never build C: with w[v] = Σ_y R[v, y]·pref[u, y], score[i] = Σ_v R[v, i]·w[v],
+  two joins and two aggregates with map-side combining.
+* Choosing the number of blocks takes one count of distinct items and users while the plan is built;
+  every function takes the counts as arguments to avoid that.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarry.operators.common import broadcast_if_small
+from quarry.session import cut_lineage
 
-
-# Largest side of the one-user form that is broadcast (the user's own items).
-USER_ITEMS_BROADCAST_MAX_ROWS = 1_000_000
-# All-user scores: C is shipped as a dense matrix to every task only if a
-# bounded fetch proves it has at most this many items (2048² int64 = 32 MB).
-SCORE_MATRIX_MAX_ITEMS = 2048
+# Items of a block and users of a slice: a task holds a tile of at most about that size.
+BLOCK_ITEMS = 1024
+SLICE_USERS = 8192
 # Gathers (vectors) are cut into blocks of at most this many ids.
 DEFAULT_BLOCK = 1000
-# Kernel limits: dense path up to this many distinct items per Arrow batch,
-# and at most this many cells in one dense incidence chunk (float32, exact
-# because every partial sum stays below 2**24).
-DENSE_MAX_ITEMS = 2048
-DENSE_CELLS = 1 << 22
-# Sparse path: at most this many item pairs materialized in memory at once.
-PAIR_CHUNK = 1 << 22
+# Cells of an incidence chunk (float32, exact as partial sums stay below 2**24) and of a product chunk.
+CHUNK_CELLS = 1 << 22
 
 
 # --------------------------------------------------------------------------- dedupe
 
 def dedupe_ratings(r: DataFrame, how: str = "sum", order_col: str | None = None) -> DataFrame:
-    """One row per (user, item). ``how``: sum | max | min | last (needs ``order_col``)."""
+    """One row per (user, item). ``how``: sum | max | min | last (needs ``order_col``).
+
+    ``last`` is the pref with the greatest order value; equal order values go to the greatest pref.
+    """
     if how == "last":
         if order_col is None:
             raise ValueError("how='last' needs an order column; rows have no order in Spark")
-        agg = F.max_by("pref", order_col)
+        agg = F.max(F.struct(F.col(order_col).alias("o"), F.col("pref").alias("pref")))["pref"]
     elif how in ("sum", "max", "min"):
         agg = getattr(F, how)("pref")
     else:
@@ -101,228 +93,323 @@ def item_vectors(s: DataFrame, block_size: int = DEFAULT_BLOCK) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n_users"), _packed("user_id", "score").alias("vec")))
 
 
-# --------------------------------------------------------------------------- co-occurrence
+# --------------------------------------------------------------------------- blocks
 
-def _ragged_pairs(col: np.ndarray, offs: np.ndarray, u0: int, u1: int):
-    """All ordered (a, b) item-index pairs inside each user u0..u1-1 (vectorized)."""
-    m = offs[u0 + 1:u1 + 1] - offs[u0:u1]
-    m_pos = np.repeat(m, m)                       # per position: size of its user
-    pos = np.arange(offs[u0], offs[u1])
-    a = np.repeat(pos, m_pos)
-    start = np.repeat(np.repeat(offs[u0:u1], m), m_pos)
-    begin = np.cumsum(m_pos) - m_pos
-    b = start + (np.arange(a.size) - np.repeat(begin, m_pos))
-    return col[a], col[b]
-
-
-def _sparse_counts(col: np.ndarray, offs: np.ndarray, k: int):
-    """Pair counts of one batch when its distinct items are too many for a dense block."""
-    n_users = offs.size - 1
-    sq = (offs[1:] - offs[:-1]) ** 2
-    u = 0
-    while u < n_users:
-        if sq[u] > PAIR_CHUNK:                    # one big user: split its rows
-            lo, hi = offs[u], offs[u + 1]
-            step = max(1, PAIR_CHUNK // (hi - lo))
-            cols = col[lo:hi]
-            for s in range(lo, hi, step):
-                a = np.repeat(col[s:min(hi, s + step)], hi - lo)
-                b = np.tile(cols, min(hi, s + step) - s)
-                yield a * k + b
-            u += 1
-            continue
-        v, acc = u, 0
-        while v < n_users and sq[v] <= PAIR_CHUNK and acc + sq[v] <= PAIR_CHUNK:
-            acc += sq[v]
-            v += 1
-        a, b = _ragged_pairs(col, offs, u, v)
-        yield a * k + b
-        u = v
-
-
-def _cooccurrence_batches(batches):
-    """mapInPandas kernel: ``items`` (distinct items of one user) → (item1, item2, n)."""
-    for pdf in batches:
-        lists = pdf["items"].to_numpy()
-        if lists.size == 0:
-            continue
-        lens = np.fromiter((len(x) for x in lists), dtype=np.int64, count=lists.size)
-        offs = np.concatenate(([0], np.cumsum(lens)))
-        if offs[-1] == 0:
+def item_blocks(r: DataFrame, n_items: int | None = None) -> int:
+    """Number of item blocks; counts the distinct items unless told."""
+    if n_items is None:
+        n_items = r.select("item_id").distinct().count()
+    return max(1, -(-n_items // BLOCK_ITEMS))
+
+
+def _of(c: str, blocks: int) -> Column:
+    return F.pmod(F.xxhash64(F.col(c).cast("bigint")), F.lit(blocks)).cast("int")
+
+
+def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[tuple, list[pa.RecordBatch]]]:
+    """(key, slices) of equal keys from sorted batches."""
+    held: list[pa.RecordBatch] = []
+    last: tuple | None = None
+    for batch in batches:
+        if not batch.num_rows:
             continue
-        flat = np.concatenate([np.asarray(x, dtype=np.int64) for x in lists])
-        uniq, col = np.unique(flat, return_inverse=True)
-        k = uniq.size
-        if k <= DENSE_MAX_ITEMS:
-            gram = np.zeros((k, k), dtype=np.int64)
-            users = np.repeat(np.arange(lists.size), lens)
-            rows = max(1, min(DENSE_CELLS // k, (1 << 24) - 1))
-            for u0 in range(0, lists.size, rows):
-                u1 = min(lists.size, u0 + rows)
-                lo, hi = offs[u0], offs[u1]
-                inc = np.zeros((u1 - u0, k), dtype=np.float32)
-                inc[users[lo:hi] - u0, col[lo:hi]] = 1.0
-                gram += (inc.T @ inc).astype(np.int64)
-            i, j = np.nonzero(gram)
-            yield pd.DataFrame({"item1": uniq[i], "item2": uniq[j], "n": gram[i, j]})
-        else:
-            for codes in _sparse_counts(col, offs, k):
-                c, n = np.unique(codes, return_counts=True)
-                yield pd.DataFrame({"item1": uniq[c // k], "item2": uniq[c % k], "n": n.astype(np.int64)})
-
-
-def cooccurrence(r: DataFrame) -> DataFrame:
+        cols = [batch.column(k).to_numpy() for k in keys]
+        change = np.zeros(batch.num_rows - 1, bool)
+        for c in cols:
+            change |= c[1:] != c[:-1]
+        edges = [0, *(np.flatnonzero(change) + 1).tolist(), batch.num_rows]
+        for a, b in zip(edges, edges[1:]):
+            key = tuple(c[a].item() for c in cols)
+            if last is not None and key != last:
+                yield last, held
+                held = []
+            last = key
+            held.append(batch.slice(a, b - a))
+    if last is not None:
+        yield last, held
+
+
+def _column(parts: list[pa.RecordBatch], name: str) -> np.ndarray:
+    return np.concatenate([p.column(name).to_numpy(zero_copy_only=False) for p in parts])
+
+
+# --------------------------------------------------------------------------- co-occurrence
+
+def _gram_tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """mapInArrow kernel over (b1, b2, left, right) sorted by block pair → (item1, item2, n) cells.
+
+    ``left`` and ``right`` are one user's items in two blocks. One tile is held at a time, whatever the
+    number of users, and emitted once.
+    """
+    for (b1, b2), parts in _runs(batches, ["b1", "b2"]):
+        left = np.unique(np.concatenate([p.column("left").flatten().to_numpy() for p in parts]))
+        right = np.unique(np.concatenate([p.column("right").flatten().to_numpy() for p in parts]))
+        gram = np.zeros((left.size, right.size), np.int64)
+        step = max(1, min(CHUNK_CELLS // max(left.size, right.size), (1 << 24) - 1))
+        for part in parts:
+            for at in range(0, part.num_rows, step):
+                rows = part.slice(at, step)
+                inc = []
+                for name, ids in (("left", left), ("right", right)):
+                    col = rows.column(name)
+                    m = np.zeros((rows.num_rows, ids.size), np.float32)
+                    m[col.value_parent_indices().to_numpy(), np.searchsorted(ids, col.flatten().to_numpy())] = 1
+                    inc.append(m)
+                gram += (inc[0].T @ inc[1]).astype(np.int64)
+        if b1 == b2:
+            gram[left[:, None] > right[None, :]] = 0
+        i, j = np.nonzero(gram)
+        yield pa.RecordBatch.from_arrays([pa.array(left[i]), pa.array(right[j]), pa.array(gram[i, j])],
+                                         names=["item1", "item2", "n"])
+
+
+def block_pairs(r: DataFrame, blocks: int) -> DataFrame:
+    """``b1, b2, part, left, right``: one row for each pair of a user's item blocks, dealt over ``part``.
+
+    The item sets are deduplicated before they are gathered and hold one block's items at most.
+    """
+    parts = max(1, -(-int(r.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 2 // (blocks * (blocks + 1))))
+    mine = (r.where(F.col("user_id").isNotNull() & F.col("item_id").isNotNull())
+            .groupBy("user_id", _of("item_id", blocks).alias("b"))
+            .agg(F.collect_set(F.col("item_id").cast("bigint")).alias("items")))
+    if blocks == 1:
+        pairs = mine.select("user_id", F.col("b").alias("b1"), F.col("b").alias("b2"),
+                            F.col("items").alias("left"), F.col("items").alias("right"))
+    else:
+        other = mine.select("user_id", F.col("b").alias("b2"), F.col("items").alias("right"))
+        pairs = mine.select("user_id", F.col("b").alias("b1"), F.col("items").alias("left")).join(other, "user_id") \
+            .where(F.col("b1") <= F.col("b2"))
+    return pairs.select("b1", "b2", F.pmod(F.xxhash64("user_id"), F.lit(parts)).cast("int").alias("part"), "left", "right")
+
+
+def cooccurrence(r: DataFrame, n_items: int | None = None) -> DataFrame:
     """``(item1, item2, n)``: users that rated both items, every ordered pair
     including i = j (the diagonal is the number of users of the item).
 
-    ``r`` needs ``user_id, item_id``; duplicates are removed first.
+    ``r`` needs ``user_id, item_id``; duplicates and rows with a null user or item are left out.
     """
-    # collect_set deduplicates map-side, so even a user with a huge share of
-    # the raw rows ships at most its distinct items (bounded by the catalogue).
-    per_user = r.groupBy("user_id").agg(F.collect_set("item_id").alias("items"))
-    cells = per_user.select("items").mapInPandas(
-        _cooccurrence_batches, "item1 bigint, item2 bigint, n bigint")
-    return cells.groupBy("item1", "item2").agg(F.sum("n").alias("n"))
+    keys = ["b1", "b2", "part"]
+    pairs = block_pairs(r, item_blocks(r, n_items))
+    tiles = pairs.repartition(*keys).sortWithinPartitions(*keys).drop("part").mapInArrow(
+        _gram_tiles, "item1 bigint, item2 bigint, n bigint")
+    half = tiles.groupBy("item1", "item2").agg(F.sum("n").alias("n"))
+    there = F.struct("item1", "item2", "n")
+    back = F.struct(F.col("item2").alias("item1"), F.col("item1").alias("item2"), "n")
+    both = F.when(F.col("item1") == F.col("item2"), F.array(there)).otherwise(F.array(there, back))
+    return half.select(F.inline(both))
 
 
 # --------------------------------------------------------------------------- scores
 
-def scores(r: DataFrame, cooc: DataFrame | None = None, user_id: int | None = None) -> DataFrame:
-    """``(item_id, user_id, score)`` with score = Σ_y C[item, y] · pref[user, y].
+def _pref(t: T.DataType) -> tuple[Column, str, Column]:
+    """How prefs of a type are multiplied: as long or double, the Arrow type's name, and the score from it.
 
-    ``r`` must be deduplicated (one row per user and item). Only non-zero
-    scores have rows (zero cells add nothing to the product).
-
-    With ``user_id`` the one-user form is used: C is never built; the user's
-    items (bounded by the catalogue, broadcast after a count check) weight
-    every co-rater, and the weights are summed per item.
+    A null pref counts as 0: it marks that the user rated the item.
     """
-    if user_id is not None:
-        # The user's own items, broadcast after a count proves them small (the
-        # count scans with the user filter pushed down). Broadcasting keeps the
-        # full ratings from being shuffled by item for this join; above the
-        # bound it is a shuffle join that AQE may still convert.
-        mine = broadcast_if_small(
-            r.where(F.col("user_id") == F.lit(user_id)).select(F.col("item_id").alias("_y"), F.col("pref").alias("_p")),
-            USER_ITEMS_BROADCAST_MAX_ROWS)
-        # One pass over the ratings: mark each rating with the user's pref for
-        # that item, sum the marks per rater (window over one user's distinct
-        # items) and add that weight to every item of the rater.
-        per_rater = Window.partitionBy("user_id")
-        weighted = (r.select("user_id", "item_id").join(mine, F.col("item_id") == F.col("_y"), "left")
-                    .select("item_id", F.sum("_p").over(per_rater).alias("_w")))
-        return (weighted.where(F.col("_w").isNotNull())
-                .groupBy("item_id").agg(F.sum("_w").alias("score"))
-                .select("item_id", F.lit(user_id).cast("bigint").alias("user_id"), "score"))
-    c = cooccurrence(r) if cooc is None else cooc
-    small = _small_matrix(c)
-    if small is not None:
-        return _matrix_scores(r, *small)
-    # C too large to ship: plain sparse product (AQE may still broadcast C).
-    return (r.join(c, F.col("item_id") == F.col("item2"))
-            .groupBy(F.col("item1").alias("item_id"), "user_id")
-            .agg(F.sum(F.col("n") * F.col("pref")).alias("score")))
-
-
-def top_scores(r: DataFrame, n: int, exclude_seen: bool = False, cooc: DataFrame | None = None) -> DataFrame:
-    """``(user_id, item_id, score, rank)``: the n best items of every user.
+    pref, score = F.coalesce(F.col("pref"), F.lit(0)), F.col("score")
+    if isinstance(t, T.DecimalType):
+        unit = F.lit(10 ** t.scale).cast("decimal(38,0)")
+        return (pref.cast(t) * unit).cast("bigint"), "bigint", (score.cast("decimal(38,0)") / unit).cast(T.DecimalType(38, t.scale))
+    if isinstance(t, (T.FloatType, T.DoubleType)):
+        return pref.cast("double"), "double", score
+    return pref.cast("bigint"), "bigint", score
 
-    With a small co-occurrence matrix the top n (and the removal of rated
-    items) happen inside the scoring kernel, so only n rows per user leave
-    each task; the ranking window then sees at most n rows per user.
-    Otherwise all scores are ranked with the window.
-    """
-    c = cooccurrence(r) if cooc is None else cooc
-    small = _small_matrix(c)
-    if small is None:
-        return rank(scores(r, cooc=c), n=n, seen=r if exclude_seen else None)
-    return rank(_matrix_scores(r, *small, top_n=n, exclude_seen=exclude_seen), n=n)
-
-
-def _small_matrix(c: DataFrame):
-    """(item ids, dense C) if a bounded fetch proves C has at most
-    SCORE_MATRIX_MAX_ITEMS items, else None (nothing beyond the bound is read)."""
-    cap = SCORE_MATRIX_MAX_ITEMS * SCORE_MATRIX_MAX_ITEMS
-    cells = c.select("item1", "item2", "n").limit(cap + 1).toPandas()
-    if len(cells) > cap:
-        return None
-    ids = np.unique(np.concatenate([cells["item1"].to_numpy(), cells["item2"].to_numpy()]))
-    if ids.size > SCORE_MATRIX_MAX_ITEMS:
-        return None
-    mat = np.zeros((ids.size, ids.size), dtype=np.int64)
-    mat[np.searchsorted(ids, cells["item1"].to_numpy()), np.searchsorted(ids, cells["item2"].to_numpy())] = \
-        cells["n"].to_numpy()
-    return ids, mat
-
-
-def _matrix_scores(r: DataFrame, ids: np.ndarray, mat: np.ndarray, top_n: int | None = None,
-                   exclude_seen: bool = False) -> DataFrame:
-    """score[u, :] = C · pref[u, :] per Arrow batch of users, C broadcast once.
-
-    Each user's ratings are gathered (bounded by the catalogue: at most one
-    row per item after dedupe). Sums are exact: float64 BLAS is used only
-    when max(C) · Σ|pref| of every user in the batch stays below 2**53,
-    int64 products otherwise (overflow raises).
-
-    ``exclude_seen`` zeroes the items each user rated; ``top_n`` keeps, per
-    user, the n best non-zero scores (ties by item id) before anything
-    leaves the task.
+
+def _product(c: np.ndarray, user: np.ndarray, item: np.ndarray, pref: np.ndarray, into: np.ndarray) -> None:
+    """into[u] += Σ pref · c[item], for ratings sorted by user."""
+    step = max(1, CHUNK_CELLS // max(1, c.shape[1]))
+    for a in range(0, user.size, step):
+        u = user[a:a + step]
+        first = np.flatnonzero(np.append(True, u[1:] != u[:-1]))
+        into[u[first]] += np.add.reduceat(c[item[a:a + step]] * pref[a:a + step, None], first, axis=0)
+
+
+def _scored(top_n: int | None, exclude_seen: bool, integral: bool):
+    """mapInArrow kernel: finished scores of a slice of users and a block of items.
+
+    Rows come sorted by (slice, b1, b2, kind): the users, the items of b1, then for each block b2 the cells
+    of C and the slice's ratings.
     """
-    spark = r.sparkSession
-    bc = spark.sparkContext.broadcast((ids, mat))
-    out_type = r.schema["pref"].dataType.simpleString()
+    dtype = np.int64 if integral else np.float64
 
     def run(batches):
-        ids_, c = bc.value
-        cmax = int(c.max()) if c.size else 0
-        cf = c.astype(np.float64)
-        for rb in batches:
-            if rb.num_rows == 0:
-                continue
-            col = rb.column("r")
-            flat = col.flatten()
-            items = flat.field("item_id").to_numpy(zero_copy_only=False)
-            prefs = flat.field("pref").to_numpy(zero_copy_only=False)
-            users = col.value_parent_indices().to_numpy()
-            pos = np.minimum(np.searchsorted(ids_, items), max(ids_.size - 1, 0))
-            known = (ids_[pos] == items) if ids_.size else np.zeros(items.size, bool)
-            s = np.zeros((rb.num_rows, ids_.size), dtype=np.float64 if prefs.dtype.kind == "f" else np.int64)
-            np.add.at(s, (users[known], pos[known]), prefs[known])
-            bound = cmax * float(np.abs(s).sum(axis=1).max(initial=0))
-            if s.dtype.kind == "f" or bound < 2.0 ** 53:
-                sc = s.astype(np.float64) @ cf.T
-                if s.dtype.kind != "f":
-                    sc = np.rint(sc).astype(np.int64)
-            else:
-                with np.errstate(over="raise"):
-                    sc = s @ c.T
-            if exclude_seen:
-                sc[s != 0] = 0
+        at = users = items = score = hits = seen = shadow = c = ids2 = None
+        limit = 0.0
+
+        def out() -> Iterator[pa.RecordBatch]:
+            if at is None or users is None or items is None or not users.size or not items.size:
+                return
+            if shadow is not None and np.abs(shadow).max() >= 2.0 ** 63 * (1 - 1e-12):
+                raise OverflowError("a score exceeds 64 bits")
+            mask = hits & ~seen if exclude_seen else hits
             if top_n is None:
-                u, i = np.nonzero(sc)
+                u, i = np.nonzero(mask)
             else:
-                # stable sort keeps item-id order among equal scores
-                order = np.argsort(-sc, axis=1, kind="stable")[:, :top_n]
-                u = np.repeat(np.arange(sc.shape[0]), order.shape[1])
-                i = order.ravel()
-                keep = sc[u, i] != 0
-                u, i = u[keep], i[keep]
-            uid = rb.column("user_id").to_numpy(zero_copy_only=False)
-            yield pa.RecordBatch.from_arrays([pa.array(ids_[i]), pa.array(uid[u]), pa.array(sc[u, i])],
-                                             names=["item_id", "user_id", "score"])
+                low = np.iinfo(np.int64).min if integral else -np.inf
+                shown = np.where(mask, score, low)
+                k = min(top_n, items.size)
+                u, i = np.nonzero(mask & (shown >= np.partition(shown, items.size - k, axis=1)[:, [items.size - k]]))
+                value = score[u, i]
+                order = np.lexsort((i, ~value if integral else -value, u))
+                u, i = u[order], i[order]
+                place = np.arange(u.size) - np.searchsorted(u, u)
+                u, i = u[place < k], i[place < k]
+            for a in range(0, u.size, 1 << 18):
+                x, y = u[a:a + (1 << 18)], i[a:a + (1 << 18)]
+                yield pa.RecordBatch.from_arrays([pa.array(items[y]), pa.array(users[x]), pa.array(score[x, y])],
+                                                 names=["item_id", "user_id", "score"])
+
+        for (s, b1, b2, kind), parts in _runs(batches, ["slice", "b1", "b2", "kind"]):
+            x, y, v = (_column(parts, n) for n in ("x", "y", "v"))
+            if (s, b1) != at:
+                yield from out()
+                at, users, items, shadow, limit, c = (s, b1), None, None, None, 0.0, None
+            if kind == 0:
+                users = np.unique(x)
+            elif kind == 1:
+                items = np.unique(x)
+                if users is not None:
+                    score = np.zeros((users.size, items.size), dtype)
+                    hits = np.zeros(score.shape, bool)
+                    seen = np.zeros(score.shape, bool)
+            elif kind == 2 and users is not None and items is not None:
+                ids2 = np.unique(y)
+                c = np.zeros((ids2.size, items.size), np.int64)
+                c[np.searchsorted(ids2, y), np.searchsorted(items, x)] = v
+                block = b2
+            elif kind == 3 and users is not None and items is not None:
+                order = np.argsort(x, kind="stable")
+                u, i, p = np.searchsorted(users, x[order]), y[order], v[order].astype(dtype)
+                if b2 == b1:
+                    at_item = np.minimum(np.searchsorted(items, i), items.size - 1)
+                    own = items[at_item] == i
+                    seen[u[own], at_item[own]] = True
+                if c is None or block != b2:
+                    continue
+                pos = np.minimum(np.searchsorted(ids2, i), ids2.size - 1)
+                known = ids2[pos] == i
+                u, pos, p = u[known], pos[known], p[known]
+                if not u.size:
+                    continue
+                if integral:
+                    limit += float(c.max()) * float(np.bincount(u, weights=np.abs(p.astype(np.float64))).max())
+                    if limit >= 2.0 ** 62:  # only then can a sum wrap; a double beside it tells
+                        if shadow is None:
+                            shadow = score.astype(np.float64)
+                        _product(c.astype(np.float64), u, pos, p.astype(np.float64), shadow)
+                _product(c if integral else c.astype(np.float64), u, pos, p, score)
+                met = np.zeros(score.shape, np.int64)
+                _product((c > 0).astype(np.int64), u, pos, np.ones(p.size, np.int64), met)
+                hits |= met > 0
+        yield from out()
+
+    return run
+
+
+def _all_scores(r: DataFrame, cooc: DataFrame | None, top_n: int | None, exclude_seen: bool,
+                n_items: int | None, n_users: int | None, catalogue: DataFrame | None = None) -> DataFrame:
+    listed = (r if catalogue is None else catalogue).where(F.col("item_id").isNotNull()).select(
+        F.col("item_id").cast("bigint").alias("item_id")).distinct()
+    pref, kind_of, final = _pref(r.schema["pref"].dataType)
+    r = r.where(F.col("user_id").isNotNull() & F.col("item_id").isNotNull()).select(
+        F.col("user_id").cast("bigint").alias("user_id"), F.col("item_id").cast("bigint").alias("item_id"), pref.alias("pref"))
+    n_items = listed.count() if n_items is None else n_items
+    n_users = r.select("user_id").distinct().count() if n_users is None else n_users
+    blocks = item_blocks(r, n_items)
+    wanted = -(-int(r.sparkSession.conf.get("spark.sql.shuffle.partitions")) // blocks)
+    slices = max(1, -(-n_users // SLICE_USERS), min(wanted, -(-n_users // 256)))
+    c = cooccurrence(r, n_items) if cooc is None else cooc
+    every_slice = F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("slice")
+    every_block = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("b1")
+    zero, own_slice = F.lit(0).cast(kind_of).alias("v"), _of("user_id", slices).alias("slice")
+
+    def rows(df: DataFrame, b2: Column, kind: int, x: str, y: str | None, v: Column) -> DataFrame:
+        y_col = F.col(y) if y else F.lit(0).cast("bigint")
+        return df.select("slice", "b1", b2.alias("b2"), F.lit(kind).alias("kind"), F.col(x).alias("x"), y_col.alias("y"), v)
+
+    c = c.select("item1", "item2", "n", _of("item1", blocks).alias("b1"), _of("item2", blocks).alias("b2"))
+    tiles = (rows(r.select("user_id").distinct().select("user_id", own_slice, every_block), F.lit(-2), 0, "user_id", None, zero)
+             .union(rows(listed.select("item_id", _of("item_id", blocks).alias("b1"), every_slice),
+                         F.lit(-1), 1, "item_id", None, zero))
+             .union(rows(c.select("*", every_slice), F.col("b2"), 2, "item1", "item2", F.col("n").cast(kind_of).alias("v")))
+             .union(rows(r.select("user_id", "item_id", "pref", own_slice, _of("item_id", blocks).alias("b2"), every_block),
+                         F.col("b2"), 3, "user_id", "item_id", F.col("pref").alias("v"))))
+    keys = ["slice", "b1", "b2", "kind"]
+    got = tiles.repartition("slice", "b1").sortWithinPartitions(*keys).mapInArrow(
+        _scored(top_n, exclude_seen, kind_of == "bigint"), f"item_id bigint, user_id bigint, score {kind_of}")
+    return got.select("item_id", "user_id", final.alias("score"))
+
+
+def scores(r: DataFrame, cooc: DataFrame | None = None, user_id: int | None = None, n_items: int | None = None,
+           n_users: int | None = None, zero_fill: bool = False, catalogue: DataFrame | None = None) -> DataFrame:
+    """``(item_id, user_id, score)`` with score = Σ_y C[item, y] · pref[user, y].
 
-    per_user = r.groupBy("user_id").agg(F.collect_list(F.struct("item_id", "pref")).alias("r"))
-    return per_user.mapInArrow(run, f"item_id bigint, user_id bigint, score {out_type}")
+    ``r`` must be deduplicated (one row per user and item). A row exists where the user rated an item
+    that co-occurs with the row's item, also if the score is 0; ``zero_fill`` adds the other items of
+    the catalogue with 0. Integer prefs give exact 64-bit scores and fail beyond, decimals keep their
+    scale, float and double give doubles; a null pref counts as 0. If ``r`` holds some users' ratings
+    only, ``cooc`` is the matrix of all and ``catalogue`` has all items.
 
+    With ``user_id`` the one-user form is used, which never builds C.
+    """
+    if user_id is None:
+        s = _all_scores(r, cooc, None, False, n_items, n_users, catalogue)
+    else:
+        s = _one_user(r, user_id)
+    if not zero_fill:
+        return s
+    users = (r.select("user_id").distinct() if user_id is None else r.sparkSession.range(1).select(F.lit(user_id).alias("user_id")))
+    slots = _catalogue(r if catalogue is None else catalogue, users.select(F.col("user_id").cast("bigint").alias("user_id")))
+    zero = F.lit(0).cast(s.schema["score"].dataType)
+    return slots.join(s, ["item_id", "user_id"], "left").select("item_id", "user_id", F.coalesce("score", zero).alias("score"))
+
+
+def _catalogue(r: DataFrame, users: DataFrame) -> DataFrame:
+    """Every (item, user): the catalogue, gathered in blocks, is dealt to each user."""
+    listed = r.where(F.col("item_id").isNotNull()).groupBy(_block("item_id", DEFAULT_BLOCK).alias("block")).agg(
+        F.collect_set(F.col("item_id").cast("bigint")).alias("items"))
+    keyed = users.where(F.col("user_id").isNotNull()).withColumn("_all", F.lit(1))
+    return keyed.join(listed.withColumn("_all", F.lit(1)), "_all").select(F.explode("items").alias("item_id"), "user_id")
+
+
+def _one_user(r: DataFrame, user_id: int) -> DataFrame:
+    """Scores of one user: partial sums of its prefs per rater, then of the raters' weights per item."""
+    pref, _, final = _pref(r.schema["pref"].dataType)
+    r = r.where(F.col("user_id").isNotNull() & F.col("item_id").isNotNull()).select(
+        "user_id", F.col("item_id").cast("bigint").alias("item_id"), pref.alias("_p"))
+    mine = r.where(F.col("user_id") == F.lit(user_id)).select(F.col("item_id").alias("_y"), "_p")
+    mine = broadcast_if_small(mine)
+    weights = (r.select("user_id", "item_id").join(mine, F.col("item_id") == F.col("_y"))
+               .groupBy("user_id").agg(F.try_sum("_p").alias("_w"), F.count("_p").alias("_n")))
+    got = (r.select("user_id", "item_id").join(weights, "user_id").groupBy("item_id")
+           .agg(F.try_sum(F.coalesce("_w", F.raise_error(F.lit("a weight exceeds 64 bits")))).alias("score")))
+    got = got.withColumn("score", F.coalesce("score", F.raise_error(F.lit("a score exceeds 64 bits"))))
+    return got.select("item_id", F.lit(user_id).cast("bigint").alias("user_id"), final.alias("score"))
+
+
+def top_scores(r: DataFrame, n: int, exclude_seen: bool = False, cooc: DataFrame | None = None,
+               n_items: int | None = None, n_users: int | None = None) -> DataFrame:
+    """``(user_id, item_id, score, rank)``: the n best items of every user.
+
+    Each task keeps the n best of a user among one block of items, with the rated ones left out before
+    if ``exclude_seen``; the ranking then sees n rows per user and block.
+    """
+    return rank(_all_scores(r, cooc, n, exclude_seen, n_items, n_users), n=n)
 
-def dense_scores(r: DataFrame, n_items: int = 500) -> DataFrame:
+
+def dense_scores(r: DataFrame, n_items: int, out_of_range: str = "error") -> DataFrame:
     """``(user_id, item_id, score)`` for every user and every item 0..n_items-1,
-    with 0 where the user has no rating. Items outside the range are ignored.
+    with 0 where the user has no rating. An item outside the range fails the job, or is left out
+    with ``out_of_range="drop"``.
 
     ``r`` must be deduplicated. No cross join: each user's in-range ratings
     (at most ``n_items``) become a map, and the catalogue is generated per user.
     """
     in_range = F.col("item_id").between(0, n_items - 1)
+    if out_of_range == "error":
+        in_range = F.when(in_range, True).otherwise(F.raise_error(F.lit(f"item outside 0..{n_items - 1}")))
+    elif out_of_range != "drop":
+        raise ValueError(f"unknown out_of_range {out_of_range!r}")
     per_user = r.groupBy("user_id").agg(
         F.map_from_entries(F.collect_list(F.when(in_range, F.struct("item_id", "pref")))).alias("_m"))
     zero = F.lit(0).cast(r.schema["pref"].dataType)
@@ -347,5 +434,24 @@ def rank(s: DataFrame, n: int | None = None, seen: DataFrame | None = None) -> D
     return out if n is None else out.where(F.col("rank") <= n)
 
 
+def rank_one(s: DataFrame, n: int | None = None, seen: DataFrame | None = None) -> DataFrame:
+    """The ranking of one user's ``(item_id, user_id, score)``: the first ``n``, or all, spread over many tasks.
+
+    For all, the scores are dealt into ranges and ranked inside them; each range is then moved on by the number
+    of rows before it. The dealt rows are checkpointed, so both steps see the same ranges.
+    """
+    if seen is not None:
+        s = s.join(seen.select("user_id", "item_id"), ["user_id", "item_id"], "left_anti")
+    order = [F.col("score").desc(), F.col("item_id").asc()]
+    if n is not None:
+        return rank(s.orderBy(*order).limit(n))
+    dealt = cut_lineage(s.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
+    before = Window.partitionBy(F.lit(0)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = dealt.groupBy("_part").count().withColumn("_before", F.coalesce(F.sum("count").over(before), F.lit(0)))
+    ranked = dealt.withColumn("_rank", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
+    return ranked.join(F.broadcast(sizes.select("_part", "_before")), "_part").select(
+        "user_id", "item_id", "score", (F.col("_rank") + F.col("_before")).cast("int").alias("rank"))
+
+
 def for_user(s: DataFrame, user_id: int) -> DataFrame:
     return s.where(F.col("user_id") == F.lit(user_id))

@@ -16,23 +16,20 @@ from quarry.functions.tokenize import space_tokens, whitespace_tokens
 from quarry.operators.common import broadcast_if_small
 from quarry.sources.text import tagged_union
 
-# Largest stop-word list that is broadcast after its count is checked.
-STOPWORD_BROADCAST_MAX_ROWS = 1_000_000
-
 
 def tokenize(lines: DataFrame, mode: str = "whitespace", lower: bool = False,
-             col: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
+             col: str = "value", keep: tuple[str, ...] = (), drop_empty: bool = False) -> DataFrame:
     """One row per token: ``word string`` (plus ``keep`` columns).
 
     ``mode="whitespace"`` splits on runs of space/tab/newline/CR/form feed and
     drops empties; ``mode="space"`` splits a line on single spaces with the
     empty-token rules of :func:`quarry.functions.tokenize.space_tokens`.
-    ``lower`` lower-cases the token itself.
+    ``drop_empty`` leaves the empty ones out. ``lower`` lower-cases the token itself.
     """
     if mode == "whitespace":
         df = lines.select(*keep, F.explode(whitespace_tokens(F.col(col))).alias("word"))
     elif mode == "space":
-        df = lines.select(*keep, F.explode(space_tokens(F.col(col))).alias("word"))
+        df = lines.select(*keep, F.explode(space_tokens(F.col(col), drop_empty)).alias("word"))
     else:
         raise ValueError(f"unknown tokenizer mode {mode!r}")
     if lower:
@@ -73,12 +70,10 @@ def remove_stopwords(tokens: DataFrame, stopwords: DataFrame | Sequence[str], ma
     if match == "fold":
         stop = stopwords.select(F.lower("word").alias("_stop")).distinct()
         key = F.lower(F.col("word"))
-    elif match == "exact":
+    else:
         stop = stopwords.select(F.col("word").alias("_stop")).distinct()
         key = F.col("word")
-    else:
-        raise ValueError(f"unknown match mode {match!r}")
-    stop = broadcast_if_small(stop, STOPWORD_BROADCAST_MAX_ROWS)
+    stop = broadcast_if_small(stop)
     return tokens.join(stop, key == F.col("_stop"), "left_anti")
 
 

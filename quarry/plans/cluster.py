@@ -18,23 +18,33 @@ from quarry.sources.text import write_lines
 def cluster_job(postings: DataFrame, k: int = 45, domains: Sequence[str] = REFERENCE_DOMAINS,
                 spread: int = REFERENCE_SPREAD, eta: float = 20.0, max_updates: int = 121,
                 stop: str | None = "movement", seed: str | None = None,
-                on_missing: str = "error") -> DataFrame:
-    """Postings → ``(cx, cy, size, average, median)`` per cluster.
+                on_missing: str = "error", seeding: str = "farthest") -> DataFrame:
+    """Postings → ``(cx, cy, size, average, median, updates, converged)`` per cluster.
 
     Defaults are the reference's settings (k = 45, eta = 20, at most 121
-    updates, spread 50000, its 15 domains).
+    updates, spread 50000, its 15 domains). ``seeding`` is ``"farthest"`` or
+    ``"random"`` (k points in md5 order). ``converged`` says whether the stop
+    rule ended the updates, not their cap.
     """
     vectors = C.tag_vectors(C.best_answer(postings), domains, spread, on_missing)
     points = C.weighted_points(vectors)
-    seeds = C.farthest_first(points, k, seed)
+    if seeding == "farthest":
+        seeds = C.farthest_first(points, k, seed)
+    elif seeding == "random":
+        seeds = [(r.x, r.y) for r in C.random_seeds(points, k, seed or "0").collect()]
+    else:
+        raise ValueError(f"unknown seeding {seeding!r}")
     result = C.lloyd(points, seeds, max_updates=max_updates, eta=eta, stop=stop)
-    return C.summary(points, result.centroids)
+    return C.summary(points, result.centroids).withColumn("updates", F.lit(result.updates)) \
+        .withColumn("converged", F.lit(result.converged))
 
 
 # --------------------------------------------------------------------------- named queries
 
 K_SMALL = 8
 UPDATES_SMALL = 5
+# The residual rule's query: bound on the mean distance, and most updates.
+RESIDUAL_MEAN, UPDATES_RESIDUAL = 9000, 12
 
 
 def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -125,7 +135,23 @@ def cluster_converged_45(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cluster_job(fx.postings(spark, sf_dir), k=45, domains=fx.PRIORITY_DOMAINS)
 
 
+def cluster_random_8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The clustering job from 8 random seeds, 5 updates."""
+    return cluster_job(fx.postings(spark, sf_dir), k=K_SMALL, domains=fx.PRIORITY_DOMAINS, max_updates=UPDATES_SMALL,
+                       stop=None, seeding="random")
+
+
+def kmeans_residual_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """8 seeds, updates until the mean distance to the centroids, times the points, is below the bound."""
+    pts, seeds = _seeds(spark, sf_dir)
+    n = pts.agg(F.sum("w")).first()[0]
+    res = C.lloyd(pts, seeds, max_updates=UPDATES_RESIDUAL, eta=float(RESIDUAL_MEAN * n), stop="residual")
+    return C.centroid_frame(spark, res.centroids).withColumn("updates", F.lit(res.updates)).withColumn("converged", F.lit(res.converged))
+
+
 QUERIES = {
+    "cluster_random_8": cluster_random_8,
+    "kmeans_residual_stop": kmeans_residual_stop,
     "postings_parsed": postings_parsed,
     "answers_with_questions": answers_with_questions,
     "best_answer": best_answer,
@@ -196,6 +222,42 @@ def _lloyd_ctes(first: str, updates: int) -> str:
     return ",\n".join(parts)
 
 
+def _stopped_ctes(first: str, updates: int, eta: float) -> str:
+    """Lloyd updates that stop once the movement is below eta: rows keep their count and flag from then on."""
+    parts = [f"c0 AS MATERIALIZED (SELECT x, y, false AS done, 0 AS n FROM {first})"]
+    for i in range(1, updates + 1):
+        prev = f"c{i - 1}"
+        moved = (f"SELECT CAST(sum(x * w) // sum(w) AS BIGINT) AS x, CAST(sum(y * w) // sum(w) AS BIGINT) AS y, "
+                 f"a.n.cx AS cx, a.n.cy AS cy FROM {_assign('pts', f'(SELECT x, y FROM {prev} WHERE NOT done)')} a "
+                 "GROUP BY a.n.cx, a.n.cy")
+        move = "sqrt(CAST((x - cx) * (x - cx) + (y - cy) * (y - cy) AS DOUBLE))"
+        parts.append(f"c{i} AS MATERIALIZED (SELECT DISTINCT x, y, done, {i} AS n FROM (SELECT x, y, sum({move}) OVER () < {eta} "
+                     f"AS done FROM ({moved}) m) t UNION ALL SELECT x, y, done, n FROM {prev} WHERE done)")
+    return ",\n".join(parts)
+
+
+def _residual_ctes(first: str, updates: int, mean: int) -> str:
+    """Lloyd updates that stop before an update once the residual is below the bound."""
+    near = _assign("pts", "{c}")
+    parts = [f"c0 AS MATERIALIZED (SELECT x, y, 0 AS n FROM {first})"]
+    for i in range(1, updates + 1):
+        prev = f"c{i - 1}"
+        assigned = near.format(c=f"(SELECT x, y FROM {prev} WHERE n = {i - 1})")
+        parts.append(
+            f"a{i} AS MATERIALIZED (SELECT x, y, w, a.n.cx AS cx, a.n.cy AS cy, sqrt(CAST(a.n.d2 AS DOUBLE)) * w AS r FROM {assigned} a),\n"
+            f"c{i} AS MATERIALIZED (SELECT DISTINCT CAST(sum(x * w) // sum(w) AS BIGINT) AS x, CAST(sum(y * w) // sum(w) AS BIGINT) AS y, "
+            f"{i} AS n FROM a{i} WHERE (SELECT sum(r) FROM a{i}) >= {mean} * (SELECT sum(w) FROM pts) GROUP BY cx, cy "
+            f"UNION ALL SELECT x, y, n FROM {prev} WHERE n < {i - 1} OR (SELECT sum(r) FROM a{i}) < {mean} * (SELECT sum(w) FROM pts))")
+    return ",\n".join(parts)
+
+
+def _summary_of(last: str, more: str = "") -> str:
+    return ("SELECT cx, cy, CAST(count(*) AS BIGINT) AS size, CAST(sum(y) // count(*) AS BIGINT) AS average, "
+            f"CAST(trunc(quantile_cont(y, 0.5)) AS BIGINT) AS median{more} FROM "
+            f"(SELECT v.y, a.n.cx AS cx, a.n.cy AS cy FROM v JOIN {_assign('pts', f'(SELECT x, y FROM {last})')} a "
+            "ON v.x = a.x AND v.y = a.y) t GROUP BY cx, cy")
+
+
 def _with(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
@@ -203,7 +265,15 @@ def _with(*ctes: str) -> str:
 _SEEDS = _seed_ctes(K_SMALL)
 _S = f"s{K_SMALL}"
 
+_RANDOM = f"""r8 AS MATERIALIZED (SELECT x, y FROM (SELECT DISTINCT x, y FROM pts) t ORDER BY {_MD5}, x, y LIMIT {K_SMALL})"""
+
 SQL = {
+    "cluster_converged_45": _with(_BASE, _seed_ctes(45), _stopped_ctes("s45", 121, 20.0)) + _summary_of(
+        "c121", ", (SELECT max(n) FROM c121) AS updates, (SELECT bool_or(done) FROM c121) AS converged"),
+    "cluster_random_8": _with(_BASE, _RANDOM, _lloyd_ctes("r8", UPDATES_SMALL)) + _summary_of(
+        f"c{UPDATES_SMALL}", f", {UPDATES_SMALL} AS updates, false AS converged"),
+    "kmeans_residual_stop": _with(_BASE, _SEEDS, _residual_ctes(_S, UPDATES_RESIDUAL, RESIDUAL_MEAN)) + (
+        f"SELECT x AS cx, y AS cy, n AS updates, (n < {UPDATES_RESIDUAL}) AS converged FROM c{UPDATES_RESIDUAL}"),
     "postings_parsed": _with(_BASE) + "SELECT * FROM p",
     "answers_with_questions": _with(_BASE) + "SELECT * FROM awq",
     "best_answer": _with(_BASE) + "SELECT question_id, score, tag FROM best",

@@ -13,26 +13,27 @@ from quarry.sources.text import write_lines
 
 
 def recommend_job(ratings: DataFrame, user_id: int | None = None, n: int | None = None,
-                  exclude_seen: bool = False, dedupe: str = "sum", shaped: bool = True) -> DataFrame:
+                  exclude_seen: bool = False, dedupe: str = "sum", shaped: bool = True,
+                  order_col: str | None = None, zero_fill: bool = False) -> DataFrame:
     """Ratings → ranked items ``(user_id, item_id, score, rank)``.
 
     With ``user_id`` only that user is ranked; ``shaped=True`` then uses the
     one-user form that never builds the co-occurrence matrix. ``n`` keeps the
-    top n per user; ``exclude_seen`` drops items the user already rated.
+    top n per user; ``exclude_seen`` drops items the user already rated;
+    ``dedupe="last"`` needs the ``order_col`` that says which rating is last;
+    ``zero_fill`` ranks the whole catalogue, 0 where nothing co-occurs.
     """
-    r = R.dedupe_ratings(ratings, dedupe)
-    if user_id is None and n is not None:
+    r = R.dedupe_ratings(ratings, dedupe, order_col)
+    if user_id is None and n is not None and not zero_fill:
         return R.top_scores(r, n, exclude_seen=exclude_seen)
-    if user_id is not None and shaped:
-        s = R.scores(r, user_id=user_id)
-    else:
-        s = R.scores(r)
-        if user_id is not None:
-            s = R.for_user(s, user_id)
-    seen = None
-    if exclude_seen:
-        seen = r if user_id is None else R.for_user(r, user_id)
-    return R.rank(s, n=n, seen=seen)
+    if user_id is None:
+        return R.rank(R.scores(r, zero_fill=zero_fill), n=n, seen=r if exclude_seen else None)
+    if shaped:
+        s = R.scores(r, user_id=user_id, zero_fill=zero_fill)
+    else:  # the product keeps all raters in C, but only this user's ratings on its other side
+        s = R.scores(R.for_user(r, user_id), cooc=R.cooccurrence(r), zero_fill=zero_fill, catalogue=r)
+    seen = R.for_user(r, user_id) if exclude_seen else None
+    return R.rank_one(s, n=n, seen=seen)
 
 
 def _deduped(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,6 +49,48 @@ def ratings_parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_ratings(spark, path, pref_type="bigint")
 
 
+def ratings_parsed_double(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw ratings with quarter prefs, written as text lines with a header and parsed back as doubles."""
+    path = scratch_path(spark, "ratings")
+    raw = fx.raw_ratings(spark, sf_dir)
+    header = "user,item,pref"
+    lines = raw.select(F.concat_ws(",", "user_id", "item_id", (F.col("pref") / 4).cast("string")).alias("value"))
+    write_lines(lines.union(spark.range(1).select(F.lit(header))), path)
+    return read_ratings(spark, path, header=header)
+
+
+def ratings_last(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One rating per user and item: that of the last line item (order key, line number)."""
+    return R.dedupe_ratings(fx.ordered_ratings(spark, sf_dir), "last", order_col="at")
+
+
+def _wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.dedupe_ratings(fx.wide_ratings(spark, sf_dir), "sum")
+
+
+def cooccurrence_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Co-occurrence over every part key, summed up per item (the cells themselves are in `cooccurrence`)."""
+    c = R.cooccurrence(_wide(spark, sf_dir))
+    return c.groupBy("item1").agg(F.count("*").alias("cells"), F.sum("n").alias("n"), F.sum(F.col("item2") * F.col("n")).alias("check_sum"))
+
+
+def scores_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all users over every part key, with zero and negative prefs, summed up per user."""
+    s = R.scores(_wide(spark, sf_dir))
+    return s.groupBy("user_id").agg(F.count("*").alias("items"), F.sum("score").alias("score"), F.sum(F.col("score") * F.col("item_id")).alias("check_sum"),
+                                    F.min("score").alias("lowest"))
+
+
+def recommend_topn_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three best of every part key for every user, with zero and negative prefs."""
+    return R.top_scores(_wide(spark, sf_dir), 3)
+
+
+def recommend_topn_unseen_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same without the rated ones."""
+    return R.top_scores(_wide(spark, sf_dir), 3, exclude_seen=True)
+
+
 def ratings_deduped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _deduped(spark, sf_dir)
 
@@ -94,6 +137,12 @@ def recommend_topn_unseen_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "ratings_parsed": ratings_parsed,
+    "ratings_parsed_double": ratings_parsed_double,
+    "ratings_last": ratings_last,
+    "cooccurrence_wide": cooccurrence_wide,
+    "scores_wide": scores_wide,
+    "recommend_topn_wide": recommend_topn_wide,
+    "recommend_topn_unseen_wide": recommend_topn_unseen_wide,
     "ratings_deduped": ratings_deduped,
     "user_vectors": user_vectors,
     "cooccurrence": cooccurrence,
@@ -117,17 +166,33 @@ _S = """s AS (SELECT c.item1 AS item_id, r.user_id, CAST(sum(c.n * r.pref) AS BI
 _W = "WITH " + ", ".join([_RAW, _R, _C, _S])
 
 
-def _ranked(where: str = "", seen: bool = False, n: int | None = None) -> str:
+_WIDE = """raw AS (SELECT CAST(o_custkey AS BIGINT) AS user_id, CAST(l_partkey AS BIGINT) AS item_id,
+  CAST(CASE l_linenumber % 4 WHEN 0 THEN 0 WHEN 1 THEN -trunc(l_quantity) ELSE trunc(l_quantity) END AS BIGINT) AS pref
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
+_WW = "WITH " + ", ".join([_WIDE, _R, _C, _S])
+
+
+def _ranked(where: str = "", seen: bool = False, n: int | None = None, ctes: str = _W) -> str:
     anti = " AND NOT EXISTS (SELECT 1 FROM r WHERE r.user_id = s.user_id AND r.item_id = s.item_id)" if seen else ""
     inner = (f"SELECT user_id, item_id, score, CAST(row_number() OVER (PARTITION BY user_id "
              f"ORDER BY score DESC, item_id ASC) AS BIGINT) AS rank FROM s WHERE TRUE {where}{anti}")
     if n is None:
-        return f"{_W} {inner}"
-    return f"{_W} SELECT * FROM ({inner}) t WHERE rank <= {n}"
+        return f"{ctes} {inner}"
+    return f"{ctes} SELECT * FROM ({inner}) t WHERE rank <= {n}"
 
 
 SQL = {
     "ratings_parsed": f"WITH {_RAW} SELECT * FROM raw",
+    "ratings_parsed_double": f"WITH {_RAW} SELECT user_id, item_id, CAST(pref AS DOUBLE) / 4 AS pref FROM raw",
+    "ratings_last": """SELECT CAST(o_custkey AS BIGINT) AS user_id, CAST(l_partkey % 500 AS BIGINT) AS item_id,
+        CAST(arg_max(trunc(l_quantity), CAST(l_orderkey AS BIGINT) * 10 + l_linenumber) AS BIGINT) AS pref
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2""",
+    "cooccurrence_wide": f"""WITH {_WIDE}, {_R}, {_C} SELECT item1, CAST(count(*) AS BIGINT) AS cells, CAST(sum(n) AS BIGINT) AS n,
+        CAST(sum(item2 * n) AS BIGINT) AS check_sum FROM c GROUP BY 1""",
+    "scores_wide": f"""{_WW} SELECT user_id, CAST(count(*) AS BIGINT) AS items, CAST(sum(score) AS BIGINT) AS score,
+        CAST(sum(score * item_id) AS BIGINT) AS check_sum, min(score) AS lowest FROM s GROUP BY 1""",
+    "recommend_topn_wide": _ranked(n=3, ctes=_WW),
+    "recommend_topn_unseen_wide": _ranked(seen=True, n=3, ctes=_WW),
     "ratings_deduped": f"WITH {_RAW}, {_R} SELECT * FROM r",
     "user_vectors": f"""WITH {_RAW}, {_R} SELECT user_id, CAST(floor(item_id / 1000) AS BIGINT) AS block,
         CAST(count(*) AS BIGINT) AS n_items,

@@ -12,11 +12,6 @@ from quarry.session import scratch_path
 from quarry.sources import text as io
 
 
-def _stop(spark: SparkSession, fold: bool) -> list[str]:
-    """The literal stop-word list (matching folds it when ``fold``)."""
-    return list(fx.STOPWORDS)
-
-
 def tokens_whitespace(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = fx.corpus_a(spark, sf_dir)
     return T.word_count(T.tokenize(lines, "whitespace", keep=("doc_id",)), by=("doc_id",))
@@ -49,18 +44,18 @@ def word_count_a(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def common_words_cased(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = common_words_job(fx.corpus_a(spark, sf_dir), fx.corpus_b(spark, sf_dir),
-                          _stop(spark, fold=True), variant="cased", n=15)
+                          fx.STOPWORDS, variant="cased", n=15)
     return df.select("n", "word")
 
 
 def common_words_lower(spark: SparkSession, sf_dir: str) -> DataFrame:
     return common_words_job(fx.corpus_a(spark, sf_dir), fx.corpus_b(spark, sf_dir),
-                            _stop(spark, fold=False), variant="lower", n=15)
+                            fx.STOPWORDS, variant="lower", n=15)
 
 
 def common_words_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return common_words_job(fx.corpus_a(spark, sf_dir), fx.corpus_b(spark, sf_dir),
-                            _stop(spark, fold=True), variant="cased", n=None, strategy="union")
+                            fx.STOPWORDS, variant="cased", n=None, strategy="union")
 
 
 def kv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:

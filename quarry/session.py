@@ -64,9 +64,11 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unique path under the shared folder (for sinks read back later)."""
-    base = shared_dir(spark).rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex}"
+    """A new, unique path under the shared folder (for sinks read back later), removed when the session's JVM ends."""
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return path
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -56,8 +56,10 @@ def _save_mode(overwrite: bool) -> str:
 
 
 def write_kv(df: DataFrame, path: str, key: str, value: str, overwrite: bool = True) -> None:
-    """Write ``key \\t value`` lines; overwrite the folder or fail if it exists."""
-    df.select(F.concat_ws("\t", F.col(key).cast("string"), F.col(value).cast("string")).alias("value")) \
+    """Write ``key \\t value`` lines, a null as an empty string; overwrite the folder or fail if it exists."""
+    empty = F.lit("")
+    df.select(F.concat_ws("\t", F.coalesce(F.col(key).cast("string"), empty),
+                          F.coalesce(F.col(value).cast("string"), empty)).alias("value")) \
         .write.mode(_save_mode(overwrite)).text(path)
 
 
