@@ -126,8 +126,8 @@ def test_converged_job_matches_brute_force(spark):
     vec = C.tag_vectors(C.best_answer(postings), fx.PRIORITY_DOMAINS)
     points = [(r.x, r.y) for r in vec.collect()]
     expected = _brute(points, 45)
-    got = rows(cluster_job(postings, k=45, domains=fx.PRIORITY_DOMAINS))
-    assert got == expected
+    job = cluster_job(postings, k=45, domains=fx.PRIORITY_DOMAINS)
+    assert rows(job, "cx", "cy", "size", "average", "median") == expected
 
 
 def test_partition_independence_kmeans(spark):
@@ -185,3 +185,32 @@ def test_squared_error_does_not_rise_much(spark):
     # truncated means may raise it a little; exact means never would
     assert all(b <= a * 1.001 + 1e6 for a, b in zip(sse, sse[1:])), sse
     assert sse[-1] < sse[0]
+
+
+def test_far_coordinates_are_exact(spark):
+    for far in (1 << 30, (1 << 30) + 5, (1 << 31) - 1):
+        p = pts(spark, [(0, far), (0, far - 1), (0, 0)])
+        assert rows(C.assign(p, [(0, 0), (0, far)]), "y", "cy", "d2") == [(0, 0, 0), (far - 1, far, 1), (far, far, 0)]
+        assert C.farthest_first(p, 2) == [(0, 0), (0, far)]
+    low, high = -(1 << 31), (1 << 31) - 1
+    p = pts(spark, [(0, low), (700000, high), (0, 0)])
+    steps = C.lloyd_step(p, [(0, low), (700000, high)])
+    assert sorted((s.old, s.size) for s in steps) == [((0, low), 2), ((700000, high), 1)]
+    assert C.farthest_first(p, 3) == [(0, low), (700000, high), (0, 0)]
+
+
+def test_questions_with_one_id_are_one(spark):
+    p = spark.createDataFrame([(1, 1, None, 0, "A"), (1, 1, None, 0, "B"), (2, 10, 1, 5, None)],
+                              "posting_type int, id bigint, parent_id bigint, score bigint, tag string")
+    assert rows(C.best_answer(p)) == [(1, 5, "B")]
+
+
+def test_job_tells_whether_it_converged(spark):
+    p = spark.createDataFrame([(1, i, None, 0, "Algorithm") for i in range(6)] + [(2, 100 + i, i, 10 * i, None) for i in range(6)],
+                              "posting_type int, id bigint, parent_id bigint, score bigint, tag string")
+    done = cluster_job(p, k=2).first()
+    assert done.converged and done.updates < 121
+    capped = cluster_job(p, k=2, max_updates=1, eta=-1.0, seeding="random").first()
+    assert not capped.converged and capped.updates == 1
+    with pytest.raises(ValueError):
+        cluster_job(p, seeding="other")

@@ -1,8 +1,8 @@
 import itertools
 import random
 
-import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL, rows
 from quarry import fixtures as fx
@@ -51,16 +51,31 @@ def _brute_cooc(triples):
     return out
 
 
-@pytest.mark.parametrize("dense_max", [2048, 2])
-def test_cooccurrence_dense_and_sparse_paths(spark, monkeypatch, dense_max):
-    rnd = random.Random(dense_max)
+@pytest.mark.parametrize("block", [1024, 8, 1])
+def test_cooccurrence_is_the_same_at_any_block_size(spark, monkeypatch, block):
+    rnd = random.Random(3)
     triples = [(rnd.randint(1, 30), rnd.randint(0, 40), 1) for _ in range(400)]
-    # one heavy user with many items exercises the split of a big user
-    triples += [(99, i, 1) for i in range(60)]
-    monkeypatch.setattr(R, "DENSE_MAX_ITEMS", dense_max)
-    monkeypatch.setattr(R, "PAIR_CHUNK", 500)
-    got = dict(((a, b), n) for a, b, n in rows(R.cooccurrence(ratings(spark, triples))))
-    assert got == _brute_cooc(triples)
+    triples += [(99, i, 1) for i in range(60)]  # one heavy user with many items
+    monkeypatch.setattr(R, "BLOCK_ITEMS", block)
+    monkeypatch.setattr(R, "CHUNK_CELLS", 500)
+    got = dict(((a, b), n) for a, b, n in rows(R.cooccurrence(ratings(spark, triples + [(5, 7, 1)] * 3))))
+    assert got == _brute_cooc(triples + [(5, 7, 1)])
+
+
+def test_one_users_pairs_are_spread_over_tasks(spark, monkeypatch):
+    monkeypatch.setattr(R, "BLOCK_ITEMS", 16)
+    r = ratings(spark, [(1, i, 1) for i in range(400)])
+    pairs = R.block_pairs(r, R.item_blocks(r))
+    sizes = pairs.select(F.size("left") * F.size("right")).collect()
+    assert len(sizes) > 200 and max(x[0] for x in sizes) < 400 * 400 / 50
+    tasks = pairs.repartition(8, "b1", "b2", "part").select(F.spark_partition_id().alias("p")).distinct().count()
+    assert tasks == 8
+
+
+def test_null_users_and_items_never_meet(spark):
+    r = spark.createDataFrame([(None, 1, 1), (None, 2, 1), (1, 1, 1), (1, None, 1)], "user_id bigint, item_id bigint, pref bigint")
+    assert rows(R.cooccurrence(r)) == [(1, 1, 1)]
+    assert rows(R.scores(r)) == [(1, 1, 1)]
 
 
 def test_cooccurrence_properties_on_fixture(spark):
@@ -88,7 +103,7 @@ def test_rank_ties_and_exclude_seen(spark):
 
 def test_dense_scores_zero_fill_and_range(spark):
     r = ratings(spark, [(1, 0, 2), (1, 3, 5), (1, 7, 1), (2, 9, 1)])
-    got = rows(R.dense_scores(r, n_items=4))
+    got = rows(R.dense_scores(r, n_items=4, out_of_range="drop"))
     assert got == [(1, 0, 2), (1, 1, 0), (1, 2, 0), (1, 3, 5), (2, 0, 0), (2, 1, 0), (2, 2, 0), (2, 3, 0)]
 
 
@@ -115,25 +130,105 @@ def test_ratings_reader_separators_and_errors(spark):
     assert {tuple(r) for r in parse_ratings(bad, on_error="null").collect()} == {(None, 1, 1.0), (3, 1, None)}
 
 
-def test_kernel_matches_numpy_gram():
-    rnd = np.random.default_rng(0)
-    lists = [np.unique(rnd.integers(0, 50, rnd.integers(1, 12))) for _ in range(200)]
-    import pandas as pd
-    out = pd.concat(list(R._cooccurrence_batches([pd.DataFrame({"items": lists})])))
-    inc = np.zeros((len(lists), 50), dtype=np.int64)
-    for u, its in enumerate(lists):
-        inc[u, its] = 1
-    gram = inc.T @ inc
-    got = np.zeros_like(gram)
-    got[out.item1.to_numpy(), out.item2.to_numpy()] = out.n.to_numpy()
-    assert (got == gram).all()
+def _brute_scores(triples):
+    cooc, out = _brute_cooc(triples), {}
+    for u, y, p in triples:
+        for (i, y2), n in cooc.items():
+            if y2 == y:
+                out[(i, u)] = out.get((i, u), 0) + n * (p or 0)
+    return out
 
 
-def test_top_scores_matrix_and_fallback_agree(spark, monkeypatch):
+@pytest.mark.parametrize("block, users", [(1024, 8192), (2, 8192), (2, 1)])
+@pytest.mark.parametrize("triples", [
+    [(1, 1, 0), (1, 2, 0), (2, 1, 3), (2, 2, 1)],                               # one user has only zero prefs
+    [(1, 1, -2), (1, 3, -1), (2, 1, 1), (2, 3, 1), (2, 2, 5)],                  # negative prefs
+    [(1, 1, 0), (1, 2, 4), (2, 1, 1), (2, 2, 1), (2, 3, 2), (3, 3, 9)],         # a seen item with pref 0
+    [(1, 1, None), (1, 2, 2), (2, 1, 1)],                                       # a null pref
+])
+def test_scores_and_top_n_have_one_rule_at_every_size(spark, monkeypatch, triples, block, users):
+    monkeypatch.setattr(R, "BLOCK_ITEMS", block)
+    monkeypatch.setattr(R, "SLICE_USERS", users)
+    r = ratings(spark, triples)
+    want = _brute_scores(triples)
+    assert {(i, u): v for i, u, v in rows(R.scores(r), "item_id", "user_id", "score")} == want
+    for u0 in {u for u, _, _ in triples}:
+        one = {i: v for i, _, v in rows(R.scores(r, user_id=u0), "item_id", "user_id", "score")}
+        assert one == {i: v for (i, u), v in want.items() if u == u0}
+    for unseen in (False, True):
+        seen = {(i, u) for u, i, _ in triples} if unseen else set()
+        best = []
+        for u0 in {u for _, u in want}:
+            mine = sorted((-v, i) for (i, u), v in want.items() if u == u0 and (i, u) not in seen)[:2]
+            best += [(u0, i, -v, k + 1) for k, (v, i) in enumerate(mine)]
+        assert rows(R.top_scores(r, 2, exclude_seen=unseen)) == sorted(best)
+
+
+@pytest.mark.parametrize("kind", ["int", "float", "double", "decimal(10,2)"])
+def test_pref_types(spark, kind):
+    r = ratings(spark, [(1, 1, 2), (1, 2, 3), (2, 1, 1)]).select("user_id", "item_id", (F.col("pref") / 4).cast(kind).alias("pref"))
+    exact = {(u, i): p for u, i, p in rows(r, "user_id", "item_id", "pref")}
+    want = {k: float(v) for k, v in _brute_scores([(u, i, p) for (u, i), p in exact.items()]).items()}
+    assert {(i, u): float(v) for i, u, v in rows(R.scores(r))} == want
+
+
+def test_score_beyond_64_bits_fails(spark):
+    r = ratings(spark, [(1, 1, (1 << 62)), (1, 2, (1 << 62)), (2, 1, 1), (2, 2, 1)])
+    with pytest.raises(Exception, match="64 bits"):
+        R.scores(r).collect()
+    with pytest.raises(Exception, match="64 bits"):
+        R.scores(r, user_id=1).collect()
+
+
+def test_cooccurrence_runs_once(spark):
     r = R.dedupe_ratings(fx.raw_ratings(spark, SF_SMALL))
-    for seen in (False, True):
-        fast = rows(R.top_scores(r, 3, exclude_seen=seen))
-        monkeypatch.setattr(R, "SCORE_MATRIX_MAX_ITEMS", 1)   # forces the sparse join + window path
-        slow = rows(R.top_scores(r, 3, exclude_seen=seen))
-        monkeypatch.undo()
-        assert fast == slow and len(fast) > 0
+    for df in (R.scores(r, n_items=200, n_users=150), R.top_scores(r, 3, n_items=200, n_users=150)):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("_gram_tiles") == 1
+
+
+def test_last_rating_wins_in_the_job(spark):
+    raw = spark.createDataFrame([(1, 1, 9, 1), (1, 1, 2, 5), (1, 2, 1, 3), (2, 1, 1, 1)],
+                                "user_id bigint, item_id bigint, pref bigint, at bigint")
+    assert rows(R.dedupe_ratings(raw, "last", "at")) == [(1, 1, 2), (1, 2, 1), (2, 1, 1)]
+    want = _brute_scores([(1, 1, 2), (1, 2, 1), (2, 1, 1)])
+    got = recommend_job(raw, dedupe="last", order_col="at")
+    assert {(i, u): v for i, u, v in rows(got, "item_id", "user_id", "score")} == want
+
+
+def test_zero_fill_lists_the_catalogue(spark):
+    raw = ratings(spark, [(1, 1, 2), (2, 3, 4)])
+    assert rows(recommend_job(raw, zero_fill=True)) == [(1, 1, 2, 1), (1, 3, 0, 2), (2, 1, 0, 2), (2, 3, 4, 1)]
+    for shaped in (True, False):
+        assert rows(recommend_job(raw, user_id=1, zero_fill=True, shaped=shaped)) == [(1, 1, 2, 1), (1, 3, 0, 2)]
+
+
+def test_one_user_plan_has_no_single_partition_over_scores(spark):
+    s = R.scores(R.dedupe_ratings(fx.raw_ratings(spark, SF_SMALL)), user_id=fx.TARGET_USER)
+    assert "SinglePartition" not in s._jdf.queryExecution().executedPlan().toString()
+    ranked = rows(R.rank_one(s), "rank")
+    assert ranked == [(i + 1,) for i in range(len(ranked))]
+    assert rows(R.rank_one(s, n=4)) == rows(R.rank_one(s).where("rank <= 4"))
+
+
+def test_readers_fail_without_ansi_too(spark):
+    bad = spark.createDataFrame([("x,1,1",)], "value string")
+    short = spark.createDataFrame([("3,1",)], "value string")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        for df in (bad, short):
+            with pytest.raises(Exception):
+                parse_ratings(df).collect()
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
+def test_header_line_is_skipped(spark):
+    lines = spark.createDataFrame([("user,item,pref",), ("1,2,3",)], "value string")
+    assert rows(parse_ratings(lines, header="user,item,pref")) == [(1, 2, 3.0)]
+
+
+def test_dense_scores_out_of_range(spark):
+    r = ratings(spark, [(1, 7, 1)])
+    with pytest.raises(Exception, match="outside"):
+        R.dense_scores(r, n_items=4).collect()

@@ -123,3 +123,17 @@ def test_plan_is_top_k_with_partial_aggregates(spark, capsys):
     assert "TakeOrderedAndProject" in plan
     assert "partial_count" in plan
     assert "IN (" in plan.upper() or "INSET" in plan.upper()
+
+
+def test_null_key_and_value_round_trip_as_empty(spark):
+    from quarry.session import scratch_path
+    from quarry.sources.text import read_kv, write_kv
+    path = scratch_path(spark, "kv-null")
+    write_kv(spark.createDataFrame([(None, 1), ("a", None)], "k string, v int"), path, "k", "v")
+    assert rows(read_kv(spark, path)) == [("", "1"), ("a", "")]
+
+
+def test_space_tokens_can_leave_empty_ones_out(spark):
+    from quarry.operators import text as T
+    lines = spark.createDataFrame([(" a  b ",), ("",)], "value string")
+    assert rows(T.tokenize(lines, "space", drop_empty=True)) == [("a",), ("b",)]
