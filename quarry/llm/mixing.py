@@ -60,7 +60,7 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3)) -> DataFrame
 
 def cuts(rows: DataFrame, plan: DataFrame) -> DataFrame:
     """Per source: ``source, whole, passes`` with the (gap, cut) of every pass over ``source, size, u`` rows."""
-    whole = F.floor(F.col("target") / F.col("source_size"))
+    whole = F.floor(F.try_divide("target", "source_size"))
     state = plan.select("source", F.coalesce(whole, F.lit(0)).alias("whole"),
                         F.coalesce(F.col("target") - whole * F.col("source_size"), F.lit(0.0)).alias("gap"),
                         F.lit(None).cast("array<struct<gap:double,cut:long>>").alias("passes"))
@@ -106,7 +106,7 @@ def _decided(df: DataFrame, key: str, text_col: str, source_col: str, weights: t
     plan = plan.join(cuts(narrow, plan).withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of"))).drop("of")
     plan = broadcast_if_small(saved(plan.withColumnRenamed("source", "of")), ("of",))
     random = (F.col("u") + 0.5) / float(1 << BITS)
-    inclusion = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size") - F.col("whole"))
+    inclusion = F.try_divide("target", "source_size") - F.col("whole")
     extra = taken_in(F.col("passes"), F.col("size"), F.col("u")).cast("long")
     return (rows.join(plan, F.col("source").eqNullSafe(F.col("of"))).withColumn("inclusion", inclusion)
             .select("row", "size", "source_size", "target", (F.col("whole") + extra).alias("copies"), "inclusion",
