@@ -3,7 +3,8 @@
 A source's documents are first taken whole as often as its target holds its size: certain copies. The
 rest of the target is drawn: each document gets a fixed random number u, ranked by the odds u / (1 - u)
 over the odds of its inclusion, and the first ranks are taken until the rest is used up. A document too
-large for what is left gives way to the next ones that fit, in further passes.
+large for what is left gives way to the next ones that fit, in further passes; at last one more document
+is taken if that brings the source nearer to its target.
 
 The outcome is a handful of numbers per source: a document is taken in pass p if its size fits the gap
 and its rank is at most the cut of that pass. So texts are never shuffled, and running sums are taken in
@@ -59,19 +60,22 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3)) -> DataFrame
 
 
 def cuts(rows: DataFrame, plan: DataFrame) -> DataFrame:
-    """Per source: ``source, whole, passes`` with the (gap, cut) of every pass over ``source, size, u`` rows."""
+    """Per source: ``source, whole, passes`` with the (gap, low, cut) of every pass over ``source, size, u`` rows."""
     whole = F.floor(F.try_divide("target", "source_size"))
     state = plan.select("source", F.coalesce(whole, F.lit(0)).alias("whole"),
                         F.coalesce(F.col("target") - whole * F.col("source_size"), F.lit(0.0)).alias("gap"),
-                        F.lit(None).cast("array<struct<gap:double,cut:long>>").alias("passes"))
+                        F.lit(None).cast("array<struct<gap:double,low:long,cut:long>>").alias("passes"))
     state = saved(state.withColumn("passes", F.coalesce("passes", F.array())))
     in_bin = Window.partitionBy("source").orderBy("u")
-    for _ in range(PASSES):
+
+    def left(most: Column) -> DataFrame:
         small = broadcast_if_small(state, ("source",))
-        open_rows = rows.join(small, rows["source"].eqNullSafe(small["source"])).drop(small["source"]).where(
-            (F.col("size") > 0) & (F.col("size") <= F.col("gap")) & ~taken_in(F.col("passes"), F.col("size"), F.col("u")))
-        open_rows = open_rows.select(F.struct("source").alias("source"), "size", "u", "gap",
-                                     F.shiftright("u", BIN_BITS).alias("bin"))
+        found = rows.join(small, rows["source"].eqNullSafe(small["source"])).drop(small["source"])
+        return found.where((F.col("size") > 0) & (F.col("size") <= most) & ~taken_in(F.col("passes"), F.col("size"), F.col("u")))
+
+    for _ in range(PASSES):
+        open_rows = left(F.col("gap")).select(F.struct("source").alias("source"), "size", "u", "gap",
+                                              F.shiftright("u", BIN_BITS).alias("bin"))
         bins = open_rows.groupBy("source", "bin").agg(F.sum("size").alias("n"), F.first("gap").alias("gap"))
         run = F.sum("n").over(Window.partitionBy("source").orderBy("bin"))
         bins = bins.withColumn("before", run - F.col("n"))
@@ -86,15 +90,20 @@ def cuts(rows: DataFrame, plan: DataFrame) -> DataFrame:
                          F.coalesce("upto", "before", "n").alias("used")))
         next_state = state.join(found, F.struct(state["source"]) == found["source"], "left").select(
             state["source"], "whole", (F.col("gap") - F.coalesce("used", F.lit(0))).alias("gap"),
-            F.concat("passes", F.array(F.struct(F.col("gap").alias("gap"),
+            F.concat("passes", F.array(F.struct(F.col("gap").alias("gap"), F.lit(0).cast("long").alias("low"),
                                                 F.coalesce("cut", F.lit(-1).cast("long")).alias("cut")))).alias("passes"))
         state = saved(next_state)
-    return state.select("source", "whole", "passes")
+    off = F.abs(F.col("size") - F.col("gap"))
+    last = (left(2 * F.col("gap")).where(off < F.col("gap")).groupBy(F.struct("source").alias("source"))
+            .agg(F.min(F.struct(off.alias("off"), "u", "size")).alias("last")))
+    one = F.array(F.struct(F.col("last.size").cast("double").alias("gap"), F.col("last.u").alias("low"), F.col("last.u").alias("cut")))
+    return state.join(last, F.struct(state["source"]) == last["source"], "left").select(
+        state["source"], "whole", F.when(F.col("last").isNull(), F.col("passes")).otherwise(F.concat("passes", one)).alias("passes"))
 
 
 def taken_in(passes: Column, size: Column, u: Column) -> Column:
-    """Whether some pass takes a document: it fits the gap and its rank is not beyond the cut."""
-    return (size > 0) & F.exists(passes, lambda p: (size <= p["gap"]) & (u <= p["cut"]))
+    """Whether some pass takes a document: it fits the gap and its rank is within the pass."""
+    return (size > 0) & F.exists(passes, lambda p: (size <= p["gap"]) & u.between(p["low"], p["cut"]))
 
 
 def _decided(df: DataFrame, key: str, text_col: str, source_col: str, weights: tuple[int, ...], seed: str) -> DataFrame:
@@ -118,8 +127,8 @@ def mix(df: DataFrame, key: str = "doc_id", text_col: str = "text", source_col:
         weights: tuple[int, ...] = (1, 2, 3), seed: str = "mix") -> DataFrame:
     """``key, size, source_size, target, taken, copies, inclusion, rank`` of every row.
 
-    ``taken`` is ``size`` times ``copies``, at most three times the size; the words taken of a source miss
-    its target by less than its smallest document that is left, unless the passes end before. A null text has
+    ``taken`` is ``size`` times ``copies``, at most three times the size. Documents are taken whole, so the
+    words taken of a source may miss its target by a part of one document. A null text has
     size 0 and is never taken, as is any text without words; null is a source of its own, last in order.
     Rows equal in key and text share one random number and stand or fall together. A rerun on the same
     rows decides alike, however they are partitioned. Other columns are not read; an empty table gives
@@ -164,4 +173,7 @@ def oracle_sql(weights: tuple[int, ...] = (1, 2, 3), seed: str = "mix") -> str:
     , state0 AS (SELECT d.*, g.source_size, g.target, coalesce(floor(g.target / nullif(g.source_size, 0)), 0)::BIGINT AS whole,
         coalesce(g.target - floor(g.target / nullif(g.source_size, 0)) * g.source_size, 0) AS gap0, false AS extra
       FROM docs d JOIN goals g ON d.source IS NOT DISTINCT FROM g.source){passes}
-    SELECT doc_id, size, source_size, target, size * (whole + extra::BIGINT) AS taken FROM state{PASSES}"""
+    , ranked AS (SELECT *, NOT extra AND size > 0 AND abs(size - gap{PASSES}) < gap{PASSES} AS nearer,
+        rank() OVER (PARTITION BY source, NOT extra AND size > 0 AND abs(size - gap{PASSES}) < gap{PASSES}
+          ORDER BY abs(size - gap{PASSES}), u, size) AS place FROM state{PASSES})
+    SELECT doc_id, size, source_size, target, size * (whole + (extra OR (nearer AND place = 1))::BIGINT) AS taken FROM ranked"""
