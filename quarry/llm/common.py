@@ -28,6 +28,11 @@ def saved(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files that checkpoints have made needless: its cleaner follows the driver's garbage collection."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def by_bytes(batch: pa.RecordBatch, column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of ``batch`` whose ``column`` texts hold about ``limit`` bytes; a longer text stands alone.
 

@@ -7,6 +7,7 @@ from collections import defaultdict
 import duckdb
 import numpy as np
 import pytest
+import regex
 import xxhash
 from pyspark.sql import functions as F
 
@@ -116,12 +117,12 @@ def brute_lines(docs):
     occurrences = defaultdict(list)
     for key, text in docs:
         for n, line in enumerate((text or "").split("\n")):
-            norm = " ".join(line.replace("\x0b", " ").replace("\x0c", " ").split()).lower()
+            norm = regex.sub(r"[^\p{L}\p{M}\p{N}]+", " ", line).strip().lower() or " ".join(line.split()).lower()
             if norm:
                 occurrences[norm].append((key, n))
 
     def fp(line):
-        hashes = [xxhash.xxh64_intdigest(w, 42) for w in line.split(" ")]
+        hashes = [xxhash.xxh64_intdigest(w, 42) for w in set(line.split(" "))]
         return sum((2 * sum(h >> b & 1 for h in hashes) > len(hashes)) << b for b in range(64))
     lines = sorted(occurrences)
     fps = [fp(x) for x in lines]
@@ -151,7 +152,7 @@ def test_line_dedup_against_all_pairs(spark):
             for _ in range(rng.randint(1, 3)):
                 part[rng.randrange(len(part))] = rng.choice(words)
             near.append("  ".join(part).upper() if rng.random() < 0.3 else " ".join(part))
-    pool = lines + near + ["", "short one", "Short  one"]
+    pool = lines + near + ["", "short one", "Short,  one!", "| | |", "|  | |"] + [" | ".join(rng.choices(words, k=9)) for _ in range(8)]
     docs = [(i, "\n".join(rng.choices(pool, k=rng.randint(1, 6)))) for i in range(60)] + [(90, None), (91, ""), (92, "\n \n")]
     removed = brute_lines(docs)
     df = spark.createDataFrame([(i, t, "x", 1) for i, t in docs], "doc_id long, text string, line string, removed int")
