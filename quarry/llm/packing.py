@@ -34,7 +34,7 @@ END_ID = 1
 # Fixed value: the pre-token pattern of byte-level BPE.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # Distinct space-free chunks a task remembers; beyond it the memory starts anew (speed only).
-MEMORY = 600_000
+MEMORY = 150_000
 
 
 def spread_into(sizes: list[int], k: int) -> list[list[int]]:
@@ -180,7 +180,7 @@ def pack(df: DataFrame, path: str, text_col: str = "text", keep: tuple[str, ...]
             return rows(pieces, balanced([p[len(keep) + 1] for p in pieces], capacity))
 
         for batch in batches:
-            for part in by_bytes(batch, "__text"):
+            for part in by_bytes(batch, "__text", 2 << 20):
                 *keys, texts = (part.column(c).to_pylist() for c in [*keep, "__text"])
                 full = []
                 for *key, found in zip(*keys, ids.of([t or "" for t in texts]), strict=True):
