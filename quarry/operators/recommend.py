@@ -234,14 +234,15 @@ def _scored(top_n: int | None, exclude_seen: bool, integral: bool):
 
     def run(batches):
         at = users = items = score = hits = seen = shadow = c = ids2 = None
-        limit = 0.0
+        limit, positive = 0.0, True  # positive: so far every pref is, and a hit shows as a score
 
         def out() -> Iterator[pa.RecordBatch]:
             if at is None or users is None or items is None or not users.size or not items.size:
                 return
             if shadow is not None and np.abs(shadow).max() >= 2.0 ** 63 * (1 - 1e-12):
                 raise OverflowError("a score exceeds 64 bits")
-            mask = hits & ~seen if exclude_seen else hits
+            met_any = score > 0 if positive else hits
+            mask = met_any & ~seen if exclude_seen else met_any
             if top_n is None:
                 u, i = np.nonzero(mask)
             else:
@@ -263,7 +264,7 @@ def _scored(top_n: int | None, exclude_seen: bool, integral: bool):
             x, y, v = (_column(parts, n) for n in ("x", "y", "v"))
             if (s, b1) != at:
                 yield from out()
-                at, users, items, shadow, limit, c = (s, b1), None, None, None, 0.0, None
+                at, users, items, shadow, limit, c, positive = (s, b1), None, None, None, 0.0, None, True
             if kind == 0:
                 users = np.unique(x)
             elif kind == 1:
@@ -297,10 +298,13 @@ def _scored(top_n: int | None, exclude_seen: bool, integral: bool):
                         if shadow is None:
                             shadow = score.astype(np.float64)
                         _product(c.astype(np.float64), u, pos, p.astype(np.float64), shadow)
+                if positive and not (p > 0).all():
+                    hits, positive = score > 0, False
+                if not positive:
+                    met = np.zeros(score.shape, np.int64)
+                    _product((c > 0).astype(np.int64), u, pos, np.ones(p.size, np.int64), met)
+                    hits |= met > 0
                 _product(c if integral else c.astype(np.float64), u, pos, p, score)
-                met = np.zeros(score.shape, np.int64)
-                _product((c > 0).astype(np.int64), u, pos, np.ones(p.size, np.int64), met)
-                hits |= met > 0
         yield from out()
 
     return run
