@@ -174,6 +174,35 @@ def test_line_dedup_of_odd_rows(spark):
     assert line_dedup.dedup(docs.limit(0)).count() == 0
 
 
+def test_line_dedup_finds_what_edit_similarity_alone_links(spark):
+    """Pairs of one changed word or of typos, by length of the line: nothing but the edits decides what is linked."""
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 9))) for _ in range(6000)]
+    pairs = []
+    for n in (1, 2, 3, 4, 6, 8, 10, 14, 20, 50):
+        made = 0
+        while made < 40:
+            part = rng.choices(words, k=n)
+            other = list(part)
+            at = rng.randrange(n)
+            if made % 2 and n > 2:
+                other[at] = rng.choice(words)
+            else:
+                cut = rng.randrange(len(other[at]))
+                other[at] = other[at][:cut] + rng.choice("0123456789") + other[at][cut + 1:]
+            a, b = " ".join(part), " ".join(other)
+            if a != b and similar(a, b):
+                pairs.append((n, a, b))
+                made += 1
+    df = spark.createDataFrame([(2 * i + k, x) for i, p in enumerate(pairs) for k, x in enumerate(p[1:])], "doc_id long, text string")
+    gone = {r.doc_id for r in line_dedup.dedup(df).where("n_removed > 0").select("row.doc_id").collect()}
+    found = defaultdict(list)
+    for i, (n, *_) in enumerate(pairs):
+        found[n].append(2 * i + 1 in gone)
+    recall = {n: sum(x) / len(x) for n, x in found.items()}
+    assert min(recall.values()) >= 0.9 and sum(map(sum, found.values())) >= 0.97 * len(pairs), recall
+
+
 def test_line_simhash_of_long_and_short_lines(spark):
     lines = [" ".join(f"x{i}" for i in range(n)) for n in (1, 2, 63, 127, 128, 255, 1000)]
     df = spark.createDataFrame([(x,) for x in lines], "line string")
