@@ -5,7 +5,8 @@ and is improved by joins of neighbours of neighbours: every node introduces its
 directions, to each other, and each keeps the best it has met; only pairs with a fresh edge are compared.
 A query starts at its own node and repeatedly visits the best nodes it has not visited yet, taking in
 their neighbours, until its list of best nodes holds visited ones only. All of it is joins and windows over
-the edge table; vectors travel as one byte a component, and the final list is scored on the originals.
+the edge table; vectors travel in single precision (bytes would confuse near copies), and the whole final list
+is scored on the originals.
 
 The nearness is the largest inner product. The graph is built over vectors lengthened by one component
 that gives all of them the same norm, for which larger inner products are smaller distances.
@@ -29,8 +30,8 @@ DEGREE, CELL, GROUP = 32, 512, 128
 STARTS = 2
 # Descent ends when less than this share of the edges is fresh, or after so many rounds.
 FRESH, ROUNDS = 0.12, 12
-# Best nodes a search keeps, rounds it takes at most, and nodes whose original vectors are scored.
-BEAM, HOPS, RESCORED = 160, 16, 64
+# Best nodes a search keeps, all of them scored on their original vectors, and rounds it takes at most.
+BEAM, HOPS = 160, 16
 SEED = 11
 
 
@@ -50,24 +51,20 @@ def dot(a: Column, b: Column) -> Column:
 
 
 def coded(nodes: DataFrame, dim: int, norm: float) -> DataFrame:
-    """``node, code, scale``: the lengthened vector as signed bytes."""
+    """``node, code``: the lengthened vector as bytes of single-precision numbers."""
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = batch.column("vec").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, dim)
             last = np.sqrt(np.maximum(norm * norm - (x * x).sum(axis=1), 0))
-            x = np.column_stack([x, last])
-            scale = np.abs(x).max(axis=1) / 127
-            code = np.rint(x / scale[:, None]).astype(np.int8)
+            code = (np.column_stack([x, last]) / norm).astype(np.float32)  # by the norm: no overflow
             yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), pa.array([r.tobytes() for r in code], pa.binary()), pa.array(scale, pa.float64())],
-                names=["node", "code", "scale"])
+                [batch.column("node"), pa.array([r.tobytes() for r in code], pa.binary())], names=["node", "code"])
 
-    return nodes.select("node", "vec").mapInArrow(kernel, "node long, code binary, scale double")
+    return nodes.select("node", "vec").mapInArrow(kernel, "node long, code binary")
 
 
-def decoded(column: pa.Array, scale: pa.Array) -> np.ndarray:
-    codes = np.frombuffer(b"".join(column.to_pylist()), np.int8).reshape(len(column), -1)
-    return codes.astype(np.float32) * scale.to_numpy().astype(np.float32)[:, None]
+def decoded(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.float32).reshape(len(column), -1)
 
 
 def by_group(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
@@ -113,7 +110,7 @@ def met(keys: list[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
                 continue
             fresh = np.isin(ids, group["member"].to_numpy()[group["fresh"].to_numpy(zero_copy_only=False)])
             part = group.take(pa.array(first)).combine_chunks()
-            x = decoded(part["code"].chunk(0), part["scale"].chunk(0))
+            x = decoded(part["code"].chunk(0))
             bound = part["bound"].to_numpy()
             score = x @ x.T
             good = (score > bound[:, None]) & (fresh[:, None] | fresh[None, :])
@@ -149,18 +146,18 @@ def started(codes: DataFrame, dim: int, n: int) -> DataFrame:
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = decoded(batch.column("code"), batch.column("scale"))
+            x = decoded(batch.column("code"))
             for r in range(STARTS):
                 cell = ((x @ planes[r]) > 0) @ (1 << np.arange(bits)) if bits else np.zeros(len(x))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("node"), pa.array(np.full(len(x), r, np.int32)), pa.array(cell.astype(np.int64)),
-                     batch.column("code"), batch.column("scale")], names=["member", "start", "cell", "code", "scale"])
+                     batch.column("code")], names=["member", "start", "cell", "code"])
 
-    cells = codes.mapInArrow(kernel, "member long, start int, cell long, code binary, scale double")
+    cells = codes.mapInArrow(kernel, "member long, start int, cell long, code binary")
     sizes = broadcast_if_small(saved(cells.groupBy("start", "cell").agg(F.ceil(F.count("*") / CELL).alias("parts"))))
     dealt = cells.join(sizes, ["start", "cell"]).withColumn("part", F.pmod(F.xxhash64("member", "start"), "parts"))
     keys = ["start", "cell", "part"]
-    dealt = dealt.select(*keys, "member", "code", "scale", F.lit(True).alias("fresh"), F.lit(float("-inf")).alias("bound"))
+    dealt = dealt.select(*keys, "member", "code", F.lit(True).alias("fresh"), F.lit(float("-inf")).alias("bound"))
     return kept(dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(met(keys), EDGE).withColumn("fresh", F.lit(True)))
 
 
@@ -171,7 +168,7 @@ def introduced(graph: DataFrame, codes: DataFrame) -> DataFrame:
     hub meets no task whole, and each of its neighbours meets the hub's own list.
     """
     ends = graph.groupBy("node").agg(F.when(F.count("*") >= DEGREE, F.min("score")).otherwise(float("-inf")).cast("double").alias("bound"))
-    known = saved(codes.join(ends, "node", "left").select(F.col("node").alias("member"), "code", "scale",
+    known = saved(codes.join(ends, "node", "left").select(F.col("node").alias("member"), "code",
                                                           F.coalesce("bound", F.lit(float("-inf"))).alias("bound")))
     parts = graph.groupBy(F.col("nbr").alias("at")).agg(F.ceil(F.count("*") / GROUP).cast("int").alias("parts"))
     forth = (graph.select(F.col("node").alias("at"), F.col("nbr").alias("member"), "fresh").join(parts, "at", "left")
@@ -198,16 +195,16 @@ def graph_of(codes: DataFrame, dim: int, n: int) -> DataFrame:
 def searched(queries: DataFrame, graph: DataFrame, codes: DataFrame) -> DataFrame:
     """``query, node, score``: the best nodes of each of the ``query`` nodes, by greedy search from itself."""
     both = graph.select("node", "nbr").union(graph.select(F.col("nbr").alias("node"), F.col("node").alias("nbr"))).distinct()
-    near = codes.select(F.col("node").alias("nbr"), "code", "scale")
+    near = codes.select(F.col("node").alias("nbr"), "code")
     around = both.join(broadcast_if_small(near, ("code",)), "nbr").repartition("node").persist()
     codes_of = broadcast_if_small(saved(queries.join(codes, F.col("query") == F.col("node")).select(
-        "query", F.col("code").alias("q_code"), F.col("scale").alias("q_scale"))), ("q_code",))
+        "query", F.col("code").alias("q_code"))), ("q_code",))
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a = decoded(batch.column("q_code"), batch.column("q_scale"))
+            a = decoded(batch.column("q_code")).copy()
             a[:, -1] = 0  # the lengthening is no part of a query
-            score = (a * decoded(batch.column("code"), batch.column("scale"))).sum(axis=1)
+            score = (a * decoded(batch.column("code"))).sum(axis=1)
             good = score > batch.column("bound").to_numpy()
             yield pa.RecordBatch.from_arrays(
                 [batch.column("query").filter(pa.array(good)), batch.column("nbr").filter(pa.array(good)),
@@ -220,7 +217,7 @@ def searched(queries: DataFrame, graph: DataFrame, codes: DataFrame) -> DataFram
         bounds = state.groupBy("query").agg(F.when(F.count("*") >= BEAM, F.min("score")).otherwise(float("-inf")).cast("double").alias("bound"))
         ahead = state.where(~F.col("visited")).join(bounds, "query").select("query", "node", "bound")
         pairs = ahead.join(around, "node").join(codes_of, "query")
-        new = pairs.select("query", "nbr", "bound", "code", "scale", "q_code", "q_scale").mapInArrow(
+        new = pairs.select("query", "nbr", "bound", "code", "q_code").mapInArrow(
             kernel, "query long, node long, score float").withColumn("visited", F.lit(False))
         merged = state.withColumn("visited", F.lit(True)).union(new).repartition("query").groupBy("query", "node").agg(
             F.max("score").alias("score"), F.max("visited").alias("visited"))
@@ -250,9 +247,7 @@ def nearest(df: DataFrame, is_query: Column, key: str = "vec_id", vec: str = "em
     codes = saved(coded(nodes, dim, math.sqrt(norm)))
     graph = graph_of(codes, dim, n)
     queries = ids.where(is_query).select(F.col("id").alias("query_id"), F.col("node").alias("query"))
-    found = searched(queries.select("query").distinct(), graph, codes)
-    by_code = Window.partitionBy("query").orderBy(F.desc("score"), "node")
-    found = found.withColumn("rank", F.row_number().over(by_code)).where(F.col("rank") <= max(RESCORED, 3 * k)).select("query", "node")
+    found = searched(queries.select("query").distinct(), graph, codes).select("query", "node")
     vecs = nodes.select(F.col("node").alias("of"), F.col("vec").alias("q_vec"))
     scored = (found.join(nodes, "node").join(vecs, F.col("query") == F.col("of"))
               .select("query", "node", dot(F.col("q_vec"), F.col("vec")).alias("score")))

@@ -293,3 +293,20 @@ def test_neighbours_of_odd_vectors(spark):
     assert {q: len(x) for q, x in few.items()} == {0: 2}
     assert ann.nearest(df.limit(0), F.col("id") % 20 == 0).count() == 0
     assert ann.nearest(df.where("vec_id = 1"), F.col("id") % 20 == 0).count() == 0
+
+
+def test_neighbours_within_a_group_of_near_copies(spark):
+    rng = np.random.default_rng(7)
+    centre = rng.normal(size=64)
+    x = centre / np.linalg.norm(centre) + 0.01 * rng.normal(size=(1200, 64)) / 8
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = defaultdict(set)
+    for r in ann.nearest(df, F.col("id") % 20 == 0).collect():
+        got[r.query_id].add(r.vec_id)
+    hits = []
+    for q in range(0, 1200, 20):
+        score = x @ x[q]
+        score[q] = -np.inf
+        hits.append(len(got[q] & set(np.argsort(-score)[:20].tolist())) / 20)
+    assert np.mean(hits) >= 0.9, np.mean(hits)
