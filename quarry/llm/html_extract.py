@@ -2,8 +2,9 @@
 
 Each page's containers are scored by how much of its running text, and how little of its links and
 boilerplate, they hold. The scores are votes for generalised tag-class paths, summed per host in Spark;
-then each page is parsed again and read from the containers on its host's winning path. A page without
-that path, or without a host, is read from its own best container.
+then each page is parsed again and read from the containers on its host's winning path. Unless HTML names
+the winner as the main text, good blocks outside it (titles, intros) are read too if their own paths have
+votes enough. A page without the winning path, or without a host, is read from its own best container.
 """
 
 from __future__ import annotations
@@ -42,6 +43,8 @@ WITHIN = INLINE | UNSEEN
 NEGATED = frozenset("has with no without".split())
 # Votes are whole numbers, so that sums do not depend on their order.
 UNIT = 1_000_000
+# Blocks outside the winner are read if their path has at least this part of the winner's votes.
+OUTSIDE = 500
 
 
 class Page(HTMLParser):
@@ -171,40 +174,62 @@ class Page(HTMLParser):
 
         return [(e, text, linked, self.bad[e] or boilerplate(e)) for e, text, linked in self.blocks]
 
-    def votes(self) -> dict[tuple[int, int], int]:
-        """(path, depth) of the containers that hold more of the good than of the bad text, with their surplus.
+    def own(self, element: int) -> int:
+        """The path of a block by itself: not that of the container it may stand in directly."""
+        return xxhash.xxh64_intdigest(f"{self.path[element]}#") >> 1
+
+    @staticmethod
+    def is_good(text: str, linked: int, boilerplate: bool) -> bool:
+        return not boilerplate and 2 * linked <= len(text)
+
+    def votes(self) -> dict[tuple[int, int, bool], int]:
+        """(path, depth, whether named) of the containers that hold more of the good than of the bad text, with
+        their surplus over all text of the page; at depth -1 the paths of good blocks, with their share.
 
         The surplus of an element that HTML names as the main text counts a quarter more.
         """
-        good, bad = Counter(), Counter()
+        good, bad, blocks, total = Counter(), Counter(), Counter(), 0
         for element, text, linked, boilerplate in self.read():
-            to = bad if boilerplate or 2 * linked > len(text) else good
+            total += len(text)
+            fine = self.is_good(text, linked, boilerplate)
+            if fine:
+                blocks[self.own(element), -1, False] += len(text)
             ways = set()
             while element >= 0:
                 if self.tag[element] in CONTAINERS and not self.bad[element]:
-                    ways.add((self.path[element], self.depth[element]))
+                    ways.add((self.path[element], self.depth[element], self.path[element] in self.named))
                 element = self.parent[element]
             for way in ways:
-                to[way] += len(text)
-        all_good, all_bad = max(good.values(), default=0), max(bad.values(), default=0)
-        if not all_good:
+                (good if fine else bad)[way] += len(text)
+        if not good:
             return {}
-        surplus = {w: UNIT * n // all_good - (UNIT * bad[w] // all_bad if all_bad else 0) for w, n in good.items()}
-        surplus = {w: s * 5 // 4 if w[0] in self.named else s for w, s in surplus.items()}
-        return {w: s for w, s in surplus.items() if s > 0} or {(0, 0): 1}
-
-    def main_text(self, path: int | None) -> str:
-        """Blocks outside boilerplate in the containers on the path, or on the page's own best one."""
+        surplus = {w: UNIT * (n - bad[w]) // total for w, n in good.items()}
+        surplus = {w: s * 5 // 4 if w[2] else s for w, s in surplus.items()}
+        won = {w: s for w, s in surplus.items() if s > 0} or {(0, 0, False): 1}
+        return won | {w: UNIT * n // total for w, n in blocks.items()}
+
+    def winners(self) -> tuple[int, list[int]]:
+        """The page's own winning path, and the paths of blocks that are read besides."""
+        votes = self.votes()
+        inner = [w for w in votes if w[1] >= 0]
+        if not inner:
+            return 0, []
+        best = max(inner, key=lambda w: (votes[w], w[1], w[0]))
+        return best[0], [] if best[2] else [w[0] for w, n in votes.items() if w[1] < 0 and n * OUTSIDE >= votes[best]]
+
+    def main_text(self, path: int | None, outside: list[int] | None = None) -> str:
+        """Blocks outside boilerplate in the containers on the path, or on the page's own best one, and good ones ``outside``."""
         for way in (path, None):
             if way is None:
-                votes = self.votes()
-                way = max(votes, key=lambda w: (votes[w], w[1], w[0]))[0] if votes else 0
+                way, outside = self.winners()
             elif way not in self.path:
                 continue
+            besides = set(outside or ())
             inside = [p == way for p in self.path]
             for e in range(1, len(inside)):
                 inside[e] = inside[e] or inside[self.parent[e]]
-            texts = [text for e, text, _, boilerplate in self.read() if inside[e] and not boilerplate]
+            texts = [text for e, text, linked, boilerplate in self.read() if not boilerplate and (
+                inside[e] or (besides and self.is_good(text, linked, boilerplate) and self.own(e) in besides))]
             if texts:
                 return " ".join(texts)
         return ""
@@ -217,7 +242,7 @@ def host_of(url: str | None) -> str | None:
 
 
 def host_votes(df: DataFrame, url_col: str, html_col: str) -> DataFrame:
-    """``host, path, depth, votes`` summed over all pages with a host."""
+    """``host, path, depth, named, votes`` summed over all pages with a host."""
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: Counter = Counter()
 
@@ -225,21 +250,21 @@ def host_votes(df: DataFrame, url_col: str, html_col: str) -> DataFrame:
             keys, n = list(total), list(total.values())
             total.clear()
             return pa.RecordBatch.from_arrays(
-                [pa.array([k[i] for k in keys], t) for i, t in enumerate((pa.string(), pa.int64(), pa.int32()))]
-                + [pa.array(n, pa.int64())], names=["host", "path", "depth", "votes"])
+                [pa.array([k[i] for k in keys], t) for i, t in enumerate((pa.string(), pa.int64(), pa.int32(), pa.bool_()))]
+                + [pa.array(n, pa.int64())], names=["host", "path", "depth", "named", "votes"])
 
         for batch in batches:
             for url, html in zip(batch.column("u").to_pylist(), batch.column("h").to_pylist(), strict=True):
                 if html and (host := host_of(url)):
-                    for (path, depth), n in Page(html).votes().items():
-                        total[host, path, depth] += n
+                    for (path, depth, named), n in Page(html).votes().items():
+                        total[host, path, depth, named] += n
                 if len(total) > 50_000:
                     yield rows()
         yield rows()
 
     return (df.select(df[url_col].alias("u"), df[html_col].alias("h"))
-            .mapInArrow(kernel, "host string, path long, depth int, votes long")
-            .groupBy("host", "path", "depth").agg(F.sum("votes").alias("votes")))
+            .mapInArrow(kernel, "host string, path long, depth int, named boolean, votes long")
+            .groupBy("host", "path", "depth").agg(F.sum("votes").alias("votes"), F.max("named").alias("named")))
 
 
 def extract(df: DataFrame, html_col: str = "html", url_col: str = "url", keep: tuple[str, ...] = ("page_id",),
@@ -254,9 +279,14 @@ def extract(df: DataFrame, html_col: str = "html", url_col: str = "url", keep: t
     """
     keep = list(keep)
     source = df.select(*keep, df[url_col].alias("__url"), df[html_col].alias("__html"))
-    best = F.max(F.struct("votes", "depth", "path")).alias("best")
-    winners = saved(host_votes(source, "__url", "__html").groupBy("host").agg(best).select("host", F.col("best.path").alias("__path")))
-    winners = broadcast_if_small(winners, ("host",), broadcast_bytes)
+    votes = saved(host_votes(source, "__url", "__html"))
+    best = votes.where("depth >= 0").groupBy("host").agg(F.max(F.struct("votes", "depth", "path", "named")).alias("best"))
+    # every page's block paths share its one whole vote: a host has at most a few times OUTSIDE paths with votes enough
+    outside = (votes.where("depth < 0").join(best.where("not best.named"), "host").where(F.col("votes") * OUTSIDE >= F.col("best.votes"))
+               .groupBy("host").agg(F.sort_array(F.collect_list("path")).alias("__outside")))
+    winners = saved(best.select("host", F.col("best.path").alias("__path")).join(outside, "host", "left"))
+    lists = winners.agg(F.sum(F.size(F.coalesce("__outside", F.array().cast("array<bigint>"))))).first()[0] or 0
+    winners = broadcast_if_small(winners, ("host",), broadcast_bytes - 8 * lists)
     host = F.regexp_replace(F.lower(F.regexp_extract("__url", r"^\s*(?:[a-zA-Z][\w+.-]*:)?//(?:[^/?#@]*@)?([^/?#:\s]+)", 1)),
                             r"^www\.", "")
     joined = source.withColumn("__host", host).join(winners, F.col("__host") == winners["host"], "left")
@@ -264,12 +294,12 @@ def extract(df: DataFrame, html_col: str = "html", url_col: str = "url", keep: t
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in by_bytes(batch, "__html"):
-                texts = [Page(html).main_text(path) if html else "" for html, path in
-                         zip(part.column("__html").to_pylist(), part.column("__path").to_pylist(), strict=True)]
+                texts = [Page(html).main_text(path, outside) if html else "" for html, path, outside in
+                         zip(*(part.column(c).to_pylist() for c in ("__html", "__path", "__outside")), strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(c) for c in keep), part.column("__url"), pa.array(texts, pa.string()),
                      pa.array([len(t) for t in texts], pa.int64())], names=[*keep, "url", "text", "n_chars"])
 
     schema = "".join(f"`{c}` {source.schema[c].dataType.simpleString()}, " for c in keep)
-    return (joined.select(*keep, "__url", "__html", "__path")
+    return (joined.select(*keep, "__url", "__html", "__path", "__outside")
             .mapInArrow(kernel, f"{schema}url string, text string, n_chars long"))

@@ -231,6 +231,20 @@ def test_a_hosts_vote_outweighs_an_odd_page(spark):
     assert got[9] == "brief story"
 
 
+def test_good_text_beside_the_best_container_stays(spark):
+    body = "A long running text about the thing. " * 8
+    shared = "<article><div class=intro>In {n}</div><div class=body>{b}</div><div class=share>x</div></article>"
+    split = ("<body><nav>Menu of many words to go elsewhere and more</nav><h1>Title {n}</h1><div class=intro>Intro {n}</div>"
+             "<div class=content>{b}</div><footer>Footer of many words to go elsewhere</footer></body>")
+    pages = [(10 * k + n, url and f"https://{k}.example/{n}", t.format(n=n, b=body))
+             for k, (t, url) in enumerate([(shared, 1), (split, 1), (shared, None), (split, None)]) for n in range(3)]
+    got = {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    for k in (0, 2):
+        assert all(got[10 * k + n] == f"In {n} {body.strip()}" for n in range(3))
+    for k in (1, 3):
+        assert all(got[10 * k + n] == f"Title {n} Intro {n} {body.strip()}" for n in range(3))
+
+
 # --------------------------------------------------------------------------- chats
 
 def test_roles_of_all_conversations(spark):
