@@ -38,6 +38,10 @@ BOILERPLATE_WORDS = frozenset(
     "outbrain overlay pager pagination paywall popup promo promoted promotion recommendations recommended related replies "
     "respond search share sharing sidebar sidenav signup skip social sponsor sponsored subscribe subscription taboola tags "
     "toc toolbar topbar tracking widget widgets".split())
+# Elements that no name makes boilerplate, and boilerplate elements that may stand around the whole page.
+NEVER_NAMED, AROUND = frozenset("html body main article".split()), frozenset("form fieldset".split())
+# Why an element counts as boilerplate; by its name or as a form it does not if it holds the page's text.
+BY_NAME, AS_FORM, ALWAYS = 1, 2, 3
 # Elements that do not end the text block they stand in.
 WITHIN = INLINE | UNSEEN
 NEGATED = frozenset("has with no without".split())
@@ -50,8 +54,10 @@ OUTSIDE = 500
 class Page(HTMLParser):
     """Elements and text blocks of one page; elements are numbers, their features parallel lists."""
 
-    def __init__(self, html: str):
+    def __init__(self, html: str, names: bool = True):
         super().__init__(convert_charrefs=True)
+        self.names, self.mark = names, [0]
+        self.judged: list[tuple[int, str, int, bool]] | None = None
         self.tag, self.parent, self.path, self.depth, self.bad, self.seen = ["html"], [-1], [0], [0], [False], [True]
         self.named: set[int] = set()  # paths that HTML itself names as the main text
         self.blocks: list[tuple[int, str, int]] = []  # element, text, characters in links
@@ -60,6 +66,23 @@ class Page(HTMLParser):
         self.feed(html)
         self.close()
         self.flush()
+        self.settle()
+
+    def settle(self) -> None:
+        """Which elements are boilerplate. A mark on one that holds more than half of the page's running text, and
+        over three times what is outside all marks, names the layout around the main text and is dropped.
+        """
+        held, marked = [0] * len(self.tag), [False] * len(self.tag)
+        for element, text, linked in self.blocks:
+            held[element] += len(text) - linked
+        for e in range(1, len(held)):
+            marked[e] = self.mark[e] > 0 or marked[self.parent[e]]
+        total, free = sum(held), sum(n for n, m in zip(held, marked, strict=True) if not m)
+        for e in range(len(held) - 1, 0, -1):
+            held[self.parent[e]] += held[e]
+        for e in range(1, len(held)):
+            layout = self.mark[e] < ALWAYS and 2 * held[e] > total and held[e] > 3 * free
+            self.bad[e] = self.bad[self.parent[e]] or (self.mark[e] > 0 and not layout)
 
     def flush(self) -> None:
         text = " ".join("".join(self.text).split())
@@ -107,8 +130,11 @@ class Page(HTMLParser):
         step = f"{self.path[here]}/{tag}.{'.'.join(label)}"
         self.path.append(xxhash.xxh64_intdigest(step) >> 1 if block else self.path[here])
         hidden = "hidden" in names or names.get("aria-hidden") == "true" or "display:none" in names.get("style", "").replace(" ", "")
-        bad = hidden or tag in BOILERPLATE_TAGS or self.named_bad(names)
-        self.bad.append(self.bad[here] or bad)
+        bad = AS_FORM if tag in AROUND and not hidden else ALWAYS if hidden or tag in BOILERPLATE_TAGS else 0
+        if not bad and self.names and tag not in NEVER_NAMED and self.named_bad(names):
+            bad = BY_NAME
+        self.mark.append(bad)
+        self.bad.append(False)
         if tag in ("article", "main") or names.get("role") == "main" or names.get("itemprop") == "articleBody":
             self.named.add(self.path[new])
         self.seen.append(self.seen[here] and tag not in UNSEEN and (block or not bad))
@@ -158,6 +184,8 @@ class Page(HTMLParser):
 
     def read(self) -> list[tuple[int, str, int, bool]]:
         """Blocks as (element, text, characters in links, whether boilerplate)."""
+        if self.judged is not None:
+            return self.judged
         menus, kind = self.menus(), {}
 
         def boilerplate(element: int) -> bool:
@@ -172,7 +200,8 @@ class Page(HTMLParser):
                 kind[e] = found
             return found
 
-        return [(e, text, linked, self.bad[e] or boilerplate(e)) for e, text, linked in self.blocks]
+        self.judged = [(e, text, linked, self.bad[e] or boilerplate(e)) for e, text, linked in self.blocks]
+        return self.judged
 
     def own(self, element: int) -> int:
         """The path of a block by itself: not that of the container it may stand in directly."""
@@ -235,6 +264,12 @@ class Page(HTMLParser):
         return ""
 
 
+def page_of(html: str) -> Page:
+    """The page, read without the rule of names where that leaves no text."""
+    page = Page(html)
+    return page if any(not boilerplate for *_, boilerplate in page.read()) else Page(html, names=False)
+
+
 def host_of(url: str | None) -> str | None:
     """Host of an absolute URL in lower case, without user, port and a leading ``www.``; else None."""
     found = re.match(r"\s*(?:[a-zA-Z][\w+.-]*:)?//(?:[^/?#@]*@)?([^/?#:\s]+)", url or "")
@@ -256,7 +291,7 @@ def host_votes(df: DataFrame, url_col: str, html_col: str) -> DataFrame:
         for batch in batches:
             for url, html in zip(batch.column("u").to_pylist(), batch.column("h").to_pylist(), strict=True):
                 if html and (host := host_of(url)):
-                    for (path, depth, named), n in Page(html).votes().items():
+                    for (path, depth, named), n in page_of(html).votes().items():
                         total[host, path, depth, named] += n
                 if len(total) > 50_000:
                     yield rows()
@@ -294,7 +329,7 @@ def extract(df: DataFrame, html_col: str = "html", url_col: str = "url", keep: t
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in by_bytes(batch, "__html"):
-                texts = [Page(html).main_text(path, outside) if html else "" for html, path, outside in
+                texts = [page_of(html).main_text(path, outside) if html else "" for html, path, outside in
                          zip(*(part.column(c).to_pylist() for c in ("__html", "__path", "__outside")), strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(c) for c in keep), part.column("__url"), pa.array(texts, pa.string()),

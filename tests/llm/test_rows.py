@@ -245,6 +245,21 @@ def test_good_text_beside_the_best_container_stays(spark):
         assert all(got[10 * k + n] == f"Title {n} Intro {n} {body.strip()}" for n in range(3))
 
 
+def test_names_of_the_layout_do_not_empty_a_page():
+    body = "A long running text about the thing. " * 8
+    for page in ("<body class='sidebar-right'>{}<div class=sidebar>Side</div></body>",
+                 "<body><header>Head</header><div id=wrapper class='page comments-open'>{}<div id=comments>Nice!</div></div></body>",
+                 "<body><form id=form1><div class=page>{}<input><label>Send</label></div></form><footer>Foot</footer></body>",
+                 "<body><article class='share'>{}</article><nav>Menu</nav></body>",
+                 "<body><div class=widget>{}</div></body>"):
+        read = html_extract.page_of(page.format(f"<div><p>{body}</p></div>"))
+        assert read.main_text(None) == body.strip(), page
+    halves = html_extract.page_of(f"<body><div class=widget><p>{body}</p></div><div class=toolbar><p>{body}</p></div></body>")
+    assert halves.main_text(None) == f"{body}{body}".strip()
+    small = html_extract.page_of(f"<body><p>{body}</p><form><div>Your name here</div></form><div class=sidebar>Side</div></body>")
+    assert small.main_text(None) == body.strip()
+
+
 # --------------------------------------------------------------------------- chats
 
 def test_roles_of_all_conversations(spark):
