@@ -93,17 +93,26 @@ def best_path(lines: list[tuple[str, str]]) -> list[int]:
 
 
 def parse(transcript: str) -> list[tuple[str, str]]:
-    """(role, text) turns; blank lines only separate, the marker of an opening line is taken off."""
-    lines = [x for x in transcript.split("\n") if x.strip()]
+    """(role, text) turns; the marker of an opening line is taken off. Blank lines say nothing about roles: those
+    inside a turn stay, those at its ends go."""
+    lines, gaps, gap = [], [], []  # lines with text, and the blank ones before each
+    for x in transcript.split("\n"):
+        if x.strip():
+            lines.append(x)
+            gaps.append(gap)
+            gap = []
+        else:
+            gap.append(x)
     seen = [observed(x) for x in lines]
     turns: list[tuple[str, list[str]]] = []
-    for (kind, rest), line, state in zip(seen, lines, best_path([(k, x) for (k, _), x in zip(seen, lines, strict=True)]), strict=True):
+    path = best_path([(k, x) for (k, _), x in zip(seen, lines, strict=True)])
+    for (kind, rest), line, gap, state in zip(seen, lines, gaps, path, strict=True):
         role, opens = STATES[state]
         text = rest if kind in MARKERS and opens else line
         if opens or not turns:
             turns.append((role, [text]))
         else:
-            turns[-1][1].append(text)
+            turns[-1][1].extend([*gap, text])
     return [(role, "\n".join(x).strip()) for role, x in turns]
 
 

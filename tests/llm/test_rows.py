@@ -288,6 +288,11 @@ def test_chat_viterbi_against_all_paths():
         assert value(chat_format.best_path(obs)) == pytest.approx(value(best))
 
 
+def test_blank_lines_inside_a_turn_stay():
+    turns = chat_format.parse("\nUser: hello\n\nmore text here\n\nAssistant: one\n\n\ntwo\n\n")
+    assert turns == [("user", "hello\n\nmore text here"), ("assistant", "one\n\n\ntwo")]
+
+
 def test_chat_of_odd_transcripts(spark):
     rows = [(1, None, 0), (2, "", 0), (3, "no marker at all", 0), (4, "User: hi?\nNote: this is odd\nAssistant: yes\nmore", 0), (4, "User: hi?", 0)]
     df = spark.createDataFrame(rows, "conv_id long, transcript string, turns int")
