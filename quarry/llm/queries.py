@@ -9,7 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm.ann import nearest
+from quarry.llm.bitsliced import oracle_sql as top_k_sql
+from quarry.llm.bitsliced import top_k
 from quarry.llm.chat_format import format_chats
+from quarry.llm.collocations import collocations
+from quarry.llm.collocations import oracle_sql as collocations_sql
 from quarry.llm.common import table
 from quarry.llm.html_extract import extract
 from quarry.llm.langid import held_out, predict, train
@@ -18,6 +22,7 @@ from quarry.llm.mixing import mix
 from quarry.llm.mixing import oracle_sql as mixing_sql
 from quarry.llm.packing import pack
 from quarry.llm.quality import quality_rules
+from quarry.llm.runs import find_runs
 from quarry.llm.simhash import near_duplicates
 from quarry.llm.token_counts import token_counts
 
@@ -89,6 +94,21 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
 
 
+def op11_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 rows of largest integer inner product for every embedding whose id is divisible by 100."""
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, 10)
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 best phrases of every language of all documents."""
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of all documents, those of some ids made periodic."""
+    return find_runs(table(spark, sf_dir, "documents"), plant=True)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extract": op1_html_extract,
     "op2_chat_format": op2_chat_format,
@@ -100,6 +120,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_token_counts": op9_token_counts,
     "op10_nearest_neighbours": op10_nearest_neighbours,
+    "op11_exact_top_k": op11_exact_top_k,
+    "op12_collocations": op12_collocations,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
-SQL: dict[str, str] = {"op4_mixing": mixing_sql()}
+SQL: dict[str, str] = {"op4_mixing": mixing_sql(), "op11_exact_top_k": top_k_sql(), "op12_collocations": collocations_sql()}

@@ -1,0 +1,250 @@
+"""Exact top-k, collocations and periodic runs: against brute force and SQL, on odd tables and on hot groups."""
+
+import hashlib
+import math
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from quarry.llm import bitsliced, collocations, quotient, runs
+from quarry.llm.queries import QUERIES, SQL
+from tests.conftest import SF_SMALL, rows
+from tests.llm.test_rows import odd_docs, texts
+
+
+def from_sql(name, sf_dir=SF_SMALL):
+    con = duckdb.connect()
+    for t in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
+    rel = con.sql(SQL[name])
+    return rel.columns, sorted(rel.fetchall(), key=repr)
+
+
+@pytest.mark.parametrize("name", ["op11_exact_top_k", "op12_collocations"])
+def test_rows_of_the_sql(spark, name):
+    columns, want = from_sql(name)
+    got = QUERIES[name](spark, SF_SMALL)
+    assert got.columns == columns and sorted(map(tuple, got.collect()), key=repr) == want and want
+
+
+# --------------------------------------------------------------------------- exact top-k
+
+def test_bit_sliced_sums_bound_the_scores():
+    rng = np.random.default_rng(0)
+    for _ in range(60):
+        n, d, size = int(rng.integers(1, 300)), int(rng.integers(0, 9)), int(rng.choice([1, 3, 60, 5000, 10 ** 9]))
+        values = rng.integers(-size, size + 1, (d, n))
+        query = [int(x) for x in rng.integers(-size, size + 1, d)]
+        block = bitsliced.Block(values)
+        slices, constant, error = block.sums(query)
+        sums = [sum(int(m[i // 64] >> np.uint64(i % 64) & np.uint64(1)) << p for p, m in enumerate(slices)) for i in range(n)]
+        scores = np.array(query, object) @ values.astype(object) if d else np.zeros(n, object)
+        assert all(constant + a <= s <= constant + a + error for a, s in zip(sums, scores))
+        k = int(rng.integers(1, 12))
+        if k <= n:
+            assert bitsliced.kth_largest(slices, block.every, k) == sorted(sums)[-k]
+            least = sorted(scores)[-k]
+            for known in (None, int(least)):
+                at, exact = block.search(query, k, known)
+                assert {i for i, s in enumerate(scores) if s >= least} <= set(at.tolist()) and list(exact) == list(scores[at])
+
+
+def brute_top(vectors, every, k):
+    """Every query row's list: (score, id) of its best, computed by Python integers."""
+    ints = [(i, [math.floor(x) * 1024 + math.floor(x % 1 * 1024) for x in v]) for i, v in vectors]
+    out = []
+    for at, (i, q) in enumerate(ints):
+        if i is not None and i % every == 0:
+            scores = [(-sum(a * b for a, b in zip(q, v)), j is None, j or 0) for other, (j, v) in enumerate(ints) if other != at]
+            out.append((i, [(None if blank else j, -s) for s, blank, j in sorted(scores)[:k]]))
+    return sorted(out, key=repr)
+
+
+def lists(df):
+    got = defaultdict(list)
+    for r in sorted(df.collect(), key=lambda r: (r.query_id, r["rank"])):
+        got[r.query_id].append((r.vec_id, r.score))
+    return got
+
+
+def test_top_k_of_odd_vectors(spark):
+    rng = np.random.default_rng(2)
+    vectors = [(i, rng.normal(size=5).tolist()) for i in range(1, 60)] + [(1000 + i, [0.5, -0.25, 1.0, 2.0, 3.0]) for i in range(1, 40)]
+    vectors += [(0, rng.normal(size=5).tolist()), (100, [0.5, -0.25, 1.0, 2.0, 3.0]), (200, [1.0, 2.0]), (300, []), (None, [1.0] * 5),
+                (400, [0.0] * 5), (500, [1e9, 1.0, -1e9, 0.0, 0.1]), (501, [-0.0004, 1e-300, 5e8, 0.0, 0.0])]
+    bad = [(600, None), (700, [1.0, None, 2.0, 3.0, 4.0]), (800, [float("nan")] + [1.0] * 4), (900, [float("-inf")] + [1.0] * 4)]
+    df = spark.createDataFrame([(i, v, 1, "x") for i, v in [*vectors, *bad]], "vec_id long, embedding array<double>, rank int, uid string")
+    want = dict(brute_top(vectors, 100, 10))
+    assert lists(bitsliced.top_k(df, F.col("id") % 100 == 0, 10)) == want
+    few = lists(bitsliced.top_k(df.where("vec_id in (0, 1, 2)"), F.col("id") % 100 == 0, 10))
+    assert {q: len(x) for q, x in few.items()} == {0: 2}
+    assert bitsliced.top_k(df.limit(0), F.col("id") % 100 == 0, 10).count() == 0
+    twice = lists(bitsliced.top_k(df.where("vec_id = 100").union(df.where("vec_id = 100")), F.col("id") % 100 == 0, 10))
+    assert [i for i, _ in twice[100]] == [100, 100]  # each of two equal rows finds the other
+
+
+def test_top_k_beyond_64_bits(spark):
+    df = spark.createDataFrame([(0, [1e300, 1.0]), (1, [0.0, 5.0]), (2, [-1e300, 0.0]), (3, [0.0, 7.0])], "vec_id long, embedding array<double>")
+    got = lists(bitsliced.top_k(df, F.col("id") % 100 == 0, 2))
+    assert got == {0: [(3, 7 * 1024 * 1024), (1, 5 * 1024 * 1024)]}
+    with pytest.raises(Exception, match="exceeds 64 bits"):
+        bitsliced.top_k(df, F.col("id") % 100 == 0, 3).collect()
+
+
+def test_top_k_by_a_grid_of_small_cells(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    vectors = [(i, (rng.integers(-3, 4, 6) / 8).tolist()) for i in range(900)]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>").repartition(7)
+    want = dict(brute_top(vectors, 10, 4))
+    for name, value in (("GROUP_BYTES", 700), ("CELL", 2)):
+        monkeypatch.setattr(bitsliced, name, value)
+    assert lists(bitsliced.top_k(df, F.col("id") % 10 == 0, 4)) == want
+
+
+# --------------------------------------------------------------------------- collocations
+
+@pytest.mark.parametrize("bits", [2, 3, 19, 21, 22, 32])
+def test_quotient_filters_lose_nothing(bits):
+    rng, layout = np.random.default_rng(bits), quotient.Layout(bits)
+    parts, want = [], Counter()
+    for _ in range(6):
+        ids = rng.integers(0, min(1 << bits, int(rng.choice([4, 50, 1 << 32]))), int(rng.integers(0, 3000)))
+        seq = ids.tolist()
+        for i in range(len(seq) - 1):
+            if seq[i] and seq[i + 1]:
+                want[seq[i], seq[i + 1], 0] += 1
+                if i + 2 < len(seq) and seq[i + 2]:
+                    want[(*seq[i:i + 3],)] += 1
+        parts.append(quotient.counted(ids, layout))
+    whole = quotient.merged(parts)
+    for shard_bits in (0, 2):
+        back = [quotient.decoded(quotient.encoded(f, layout, shard_bits), layout, shard_bits, s)
+                for s, f in quotient.split(whole, layout, shard_bits)]
+        got = Counter()
+        for f in back:
+            got.update(dict(zip(zip(*(x.tolist() for x in layout.ids(f.top, f.low))), f.counts.tolist())))
+        assert got == want
+
+
+def brute_collocations(docs, least, top):
+    counts, out = defaultdict(Counter), []
+    for text, lang in docs:
+        lower = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+        for piece in re.split(r"[.,;:!?\n-\r]", lower):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            for n in (1, 2, 3):
+                counts[lang if lang is not None else "und"].update(tuple(words[i:i + n]) for i in range(len(words) - n + 1))
+    for lang, f in counts.items():
+        n, found = sum(c for g, c in f.items() if len(g) == 1), []
+        longer = defaultdict(int)
+        for g, c in f.items():
+            if len(g) == 3 and c >= least:
+                for part in (g[:2], g[1:]):
+                    longer[part] = max(longer[part], c)
+        for g, a in f.items():
+            if len(g) > 1 and a >= least and not (longer[g] and 100 * longer[g] >= 50 * a):
+                cuts = [(10 ** 6 * a * a // (f[g[:k]] * f[g[k:]]), k) for k in range(1, len(g))]
+                score, k = min(cuts)
+                found.append((-score, -a, " ".join(g).encode(), f[g[:k]], f[g[k:]]))
+        out += [(lang, i + 1, p.decode(), -a, l, r, n, -s) for i, (s, a, p, l, r) in enumerate(sorted(found)[:top])]
+    return sorted(out)
+
+
+def test_collocations_against_brute_force(spark, monkeypatch):
+    rng = random.Random(4)
+    words = ["a", "B", "b", "Éa", "éa", "c d", "x_y", "#", "日本", "w-1"]
+    docs = [("".join(rng.choice(words) + rng.choice([" ", " ", " ", "  ", "\t", ", ", ".", "\n", "\x0b", ""]) for _ in range(rng.randint(0, 80))),
+             rng.choice(["en", "de", None, "und", ""])) for _ in range(150)]
+    docs += [(None, "en"), ("", None), ("   \n\t", "fr"), ("hot pair " * 5000, "en"), ("A b " * 300, "ja")] + [("same old text. " * 3, "en")] * 40
+    df = spark.createDataFrame([(i, t, lang, 1, "k") for i, (t, lang) in enumerate(docs)], "doc_id long, text string, lang string, f int, word string")
+    want = brute_collocations(docs, 10, 7)
+    assert rows(collocations.collocations(df, top=7)) == want and len(want) > 25
+    # filters and blocks so small that tasks give away many, in several levels of shards
+    monkeypatch.setattr(collocations, "HELD", 300)
+    monkeypatch.setattr(collocations, "BLOCK_BYTES", 2000)
+    monkeypatch.setattr(collocations, "LEVEL_BITS", 3)
+    assert rows(collocations.collocations(df.repartition(5), top=7)) == want
+    assert collocations.collocations(df.limit(0)).count() == 0
+    assert collocations.collocations(df.where("text = ''")).count() == 0
+
+
+def test_collocations_of_odd_rows(spark):
+    docs = odd_docs(spark)
+    plain = [(r.text, r.lang) for r in docs.collect()]
+    assert rows(collocations.collocations(docs, least=2)) == brute_collocations(plain, 2, 2000)
+
+
+# --------------------------------------------------------------------------- periodic runs
+
+def brute_runs(w):
+    out = []
+    for q in range(1, len(w) // 4 + 1):
+        i = 0
+        while i + q < len(w):
+            j = i
+            while j + q < len(w) and w[j] == w[j + q]:
+                j += 1
+            n = j - i + q
+            if j > i and n >= max(6, 4 * q) and not any(all(w[x] == w[x + p] for x in range(i, i + n - p)) for p in range(1, q)):
+                out.append((i, n, q))
+            i = j + 1
+    return sorted(out)
+
+
+def brute_row(key, text, plant):
+    w = re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode())
+    if plant and key is not None and w:
+        h = zlib.crc32(str(key).encode())
+        if h % 10 == 0:
+            g = h // 10
+            a = g % len(w)
+            p = 1 + (len(w) - a) // (3 + g % 8)
+            w = [w[i if i < a else a + (i - a) % p] for i in range(len(w))]
+    found = brute_runs(w)
+    gone = {i for s, n, q in found for i in range(s + q, s + n)}
+    best = min(found, key=lambda r: (-r[1] / r[2], r[0], r[2]), default=(None,) * 3)
+    lines = "".join(f"{s},{n},{q}\n" for s, n, q in found)
+    return (key, len(found), *best, 1000 * best[1] // best[2] if found else None, hashlib.sha256(lines.encode()).hexdigest(),
+            hashlib.sha256(b" ".join(x for i, x in enumerate(w) if i not in gone)).hexdigest())
+
+
+def test_runs_of_words_against_brute_force():
+    rng = random.Random(1)
+    for _ in range(600):
+        n, k = rng.randint(1, 60), rng.choice([1, 2, 3, 5])
+        w = [rng.randrange(k) for _ in range(n)]
+        if rng.random() < 0.6:
+            a, p = rng.randrange(n), rng.randint(1, 6)
+            w[a:] = [w[a + (i - a) % p] for i in range(a, n)]
+        want = brute_runs(w)
+        assert runs.runs_in(w) == want
+        parts = [[str(x).encode() for x in w], [b"x", b"y"] * rng.randint(0, 5), [], [str(x).encode() for x in w[::-1]]]
+        assert runs.texts_runs(parts) == [brute_runs(p) for p in parts]
+
+
+def test_periodic_runs_of_all_documents(spark):
+    small = {i: t for i, t in texts(spark).items() if len((t or "").split()) < 900}
+    got = {r.doc_id: tuple(r) for r in QUERIES["op13_periodic_runs"](spark, SF_SMALL).collect()}
+    assert got.keys() == texts(spark).keys()
+    want = {i: brute_row(i, t, True) for i, t in small.items()}
+    assert {i: got[i] for i in small} == want and sum(w[1] > 0 for w in want.values()) > 5
+
+
+def test_periodic_runs_of_odd_rows(spark):
+    docs = [(1, None), (2, ""), (3, " \n\t"), (4, "a " * 200_000), (4, "a " * 200_000), (None, "b c " * 9), (5, "x y z " * 7 + "tail"),
+            (6, "a a a a a a b a a a a a a b a a a a a a b a a a a a a b"), (-7, "é é\x0bé\x0cé é\r é")]
+    df = spark.createDataFrame([(i, t, 9, "s") for i, t in docs], "doc_id long, text string, period int, n_runs string")
+    for plant in (False, True):
+        got = sorted(map(tuple, runs.find_runs(df, plant=plant).collect()), key=repr)
+        short = [d for d in docs if d[0] != 4]
+        want = sorted((brute_row(i, t, plant) for i, t in short), key=repr)
+        assert [r for r in got if r[0] != 4] == want
+        long = [r for r in got if r[0] == 4]
+        assert len(long) == 2 and long[0] == long[1] and long[0][:6] == (4, 1, 0, 200_000, 1, 200_000_000)
+    assert runs.find_runs(df.limit(0)).count() == 0
