@@ -27,6 +27,8 @@ from quarry.llm.common import broadcast_if_small, by_bytes, saved
 BLOCK_BYTES, HELD = 16 << 20, 3 << 20
 # Bits of the permuted value by which an exchange tells shards apart at most; beyond it shards are split anew.
 LEVEL_BITS = 10
+# Parts of a language that are ranked before the whole, which then has at most that many times the best phrases.
+SALTS = 64
 # What ends a piece, what separates words, and capital letters as small ones.
 ENDS, SPACES = b".,;:!?\n\x0b\x0c\r", b"\t"
 TABLE = bytes(10 if b in ENDS else 32 if b in SPACES else b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -238,8 +240,11 @@ def collocations(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
         "lang", F.concat_ws(" ", "word1", "word2", "word3").alias("phrase"), F.col("f").alias("a"),
         F.when(early, F.col("f1")).otherwise(F.col("f12")).alias("l"), F.when(early, F.col("f23")).otherwise(F.col("f3")).alias("r"),
         F.least("s1", "s2").alias("score"))
-    order = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), F.col("phrase"))
-    ranked = pairs.union(triples).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    order = [F.col("score").desc(), F.col("a").desc(), F.col("phrase")]
+    first = F.row_number().over(Window.partitionBy("lang", "_salt").orderBy(*order))
+    phrases = (pairs.union(triples).withColumn("_salt", F.pmod(F.xxhash64("phrase"), F.lit(SALTS)))
+               .withColumn("_first", first).where(F.col("_first") <= top))
+    ranked = phrases.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= top)
     return ranked.join(totals, "lang").select(
         "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 
