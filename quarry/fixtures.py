@@ -25,6 +25,8 @@ STOPWORDS = ["The", "of", "and", "to", "in"]
 PRIORITY_DOMAINS = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 N_ITEMS = 500
 TARGET_USER = 21
+# Columns by which a line item is later than another.
+RATING_ORDER = ["l_orderkey", "l_linenumber", "l_partkey"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -56,13 +58,12 @@ def raw_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ordered_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``raw_ratings`` with ``at``, the place of the line item: order key, then line number."""
+    """``raw_ratings`` with the columns that order the line items, ``RATING_ORDER``."""
     li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_quantity", "l_linenumber")
     o = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey")
     return li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.col("o_custkey").cast("bigint").alias("user_id"), (F.col("l_partkey") % N_ITEMS).cast("bigint").alias("item_id"),
-        F.col("l_quantity").cast("bigint").alias("pref"),
-        (F.col("l_orderkey").cast("bigint") * 10 + F.col("l_linenumber")).alias("at"))
+        F.col("l_quantity").cast("bigint").alias("pref"), *RATING_ORDER)
 
 
 def wide_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:

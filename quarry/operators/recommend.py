@@ -9,51 +9,56 @@ Scale notes
 -----------
 * Items are cut into blocks of about ``BLOCK_ITEMS`` by a hash. One plan serves every catalogue size.
 * Co-occurrence is the Gram matrix RᵀR. A user's items are gathered per block, and each pair of a user's
-  blocks is one row, so the pairs of a heavy user are spread over many tasks. A task adds all its users'
-  incidence rows of a block pair into one Gram tile and emits its cells once; only one triangle is
-  computed, the other is its mirror.
-* Scores for all users are a blocked product: a task holds one slice of users times one block of items,
-  reads C and the ratings block by block, and emits finished scores, or the n best of each user in that
-  block. A row exists where the user rated an item that co-occurs, whatever the values.
+  blocks is one row, so the pairs of a heavy user are spread over many tasks. A task counts a pair of blocks
+  into a packed tile, whose memory follows the cells that exist; strips of a tile are added up in many tasks.
+  One triangle is computed, the other is its mirror.
+* Scores for all users are a blocked product over packed rows: a task holds the matrix columns of some target
+  items and streams slices of users past them. The copies of the matrix follow the number of tasks, not of
+  users. For the n best, groups of targets are skipped where a bound from their largest cells is below the
+  n-th score so far. A row exists where the user rated an item that co-occurs, whatever the values.
 * Scores for one user never build C: with w[v] = Σ_y R[v, y]·pref[u, y], score[i] = Σ_v R[v, i]·w[v],
   two joins and two aggregates with map-side combining.
-* Choosing the number of blocks takes one count of distinct items and users while the plan is built;
+* Choosing the number of blocks takes two small counts over the checkpointed ratings while the plan is built;
   every function takes the counts as arguments to avoid that.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Sequence
+from dataclasses import dataclass
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.operators import tiles
 from quarry.operators.common import broadcast_if_small
 from quarry.session import cut_lineage
 
-# Items of a block and users of a slice: a task holds a tile of at most about that size.
-BLOCK_ITEMS = 1024
-SLICE_USERS = 8192
+# Items of a block; cells of the matrix that a task of a product holds.
+BLOCK_ITEMS = 2048
+COLUMN_CELLS = 1 << 23
+# Ratings and users of a slice, on average.
+SLICE_RATINGS = 1 << 18
+SLICE_USERS = 1 << 16
 # Gathers (vectors) are cut into blocks of at most this many ids.
 DEFAULT_BLOCK = 1000
-# Cells of an incidence chunk (float32, exact as partial sums stay below 2**24) and of a product chunk.
-CHUNK_CELLS = 1 << 22
 
 
 # --------------------------------------------------------------------------- dedupe
 
-def dedupe_ratings(r: DataFrame, how: str = "sum", order_col: str | None = None) -> DataFrame:
-    """One row per (user, item). ``how``: sum | max | min | last (needs ``order_col``).
+def dedupe_ratings(r: DataFrame, how: str = "sum", order_col: str | Sequence[str] | None = None) -> DataFrame:
+    """One row per (user, item). ``how``: sum | max | min | last (needs ``order_col``, one or several).
 
-    ``last`` is the pref with the greatest order value; equal order values go to the greatest pref.
+    ``last`` is the pref with the greatest order value (compared column by column); equal order values go
+    to the greatest pref.
     """
     if how == "last":
-        if order_col is None:
+        if not order_col:
             raise ValueError("how='last' needs an order column; rows have no order in Spark")
-        agg = F.max(F.struct(F.col(order_col).alias("o"), F.col("pref").alias("pref")))["pref"]
+        order = [order_col] if isinstance(order_col, str) else list(order_col)
+        agg = F.max(F.struct(*(F.col(c).alias(f"o{i}") for i, c in enumerate(order)), F.col("pref").alias("pref")))["pref"]
     elif how in ("sum", "max", "min"):
         agg = getattr(F, how)("pref")
     else:
@@ -95,108 +100,88 @@ def item_vectors(s: DataFrame, block_size: int = DEFAULT_BLOCK) -> DataFrame:
 
 # --------------------------------------------------------------------------- blocks
 
-def item_blocks(r: DataFrame, n_items: int | None = None) -> int:
-    """Number of item blocks; counts the distinct items unless told."""
-    if n_items is None:
-        n_items = r.select("item_id").distinct().count()
-    return max(1, -(-n_items // BLOCK_ITEMS))
+@dataclass(frozen=True)
+class Sizes:
+    """What the number of blocks depends on: items, users, ratings and item pairs within users."""
+    items: int
+    users: int
+    ratings: int
+    pairs: float
 
+    @property
+    def block_items(self) -> int:
+        """Items of a block: more of them where pairs cannot fill a matrix of all items."""
+        return BLOCK_ITEMS if self.pairs * 16 >= float(self.items) ** 2 else 4 * BLOCK_ITEMS
 
-def _of(c: str, blocks: int) -> Column:
-    return F.pmod(F.xxhash64(F.col(c).cast("bigint")), F.lit(blocks)).cast("int")
+    @property
+    def blocks(self) -> int:
+        return max(1, -(-self.items // self.block_items))
 
+    @property
+    def subs(self) -> int:
+        """Parts of a block of target items, so that the cells of one part fit a task."""
+        return max(1, math.ceil(min(float(self.items) ** 2, self.pairs) / self.blocks / COLUMN_CELLS))
 
-def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[tuple, list[pa.RecordBatch]]]:
-    """(key, slices) of equal keys from sorted batches."""
-    held: list[pa.RecordBatch] = []
-    last: tuple | None = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        cols = [batch.column(k).to_numpy() for k in keys]
-        change = np.zeros(batch.num_rows - 1, bool)
-        for c in cols:
-            change |= c[1:] != c[:-1]
-        edges = [0, *(np.flatnonzero(change) + 1).tolist(), batch.num_rows]
-        for a, b in zip(edges, edges[1:]):
-            key = tuple(c[a].item() for c in cols)
-            if last is not None and key != last:
-                yield last, held
-                held = []
-            last = key
-            held.append(batch.slice(a, b - a))
-    if last is not None:
-        yield last, held
-
-
-def _column(parts: list[pa.RecordBatch], name: str) -> np.ndarray:
-    return np.concatenate([p.column(name).to_numpy(zero_copy_only=False) for p in parts])
 
+def measure(r: DataFrame, n_items: int | None = None, n_users: int | None = None) -> Sizes:
+    """Sizes of ratings by two small jobs; with both counts given by none, as if every user rated much."""
+    if n_items is not None and n_users is not None:
+        return Sizes(n_items, n_users, n_items * n_users, float(n_items) ** 2)
+    per_user = r.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+    users, ratings, pairs = per_user.agg(F.count(F.lit(1)), F.sum("n"), F.sum(F.col("n").cast("double") ** 2)).first()
+    items = r.select("item_id").distinct().count() if n_items is None else n_items
+    return Sizes(items, users, ratings or 0, pairs or 0.0)
 
-# --------------------------------------------------------------------------- co-occurrence
 
-def _gram_tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """mapInArrow kernel over (b1, b2, left, right) sorted by block pair → (item1, item2, n) cells.
+def _of(c: str, blocks: int) -> Column:
+    return F.pmod(F.xxhash64(F.col(c).cast("bigint")), F.lit(blocks)).cast("int")
+
 
-    ``left`` and ``right`` are one user's items in two blocks. One tile is held at a time, whatever the
-    number of users, and emitted once.
-    """
-    for (b1, b2), parts in _runs(batches, ["b1", "b2"]):
-        left = np.unique(np.concatenate([p.column("left").flatten().to_numpy() for p in parts]))
-        right = np.unique(np.concatenate([p.column("right").flatten().to_numpy() for p in parts]))
-        gram = np.zeros((left.size, right.size), np.int64)
-        step = max(1, min(CHUNK_CELLS // max(left.size, right.size), (1 << 24) - 1))
-        for part in parts:
-            for at in range(0, part.num_rows, step):
-                rows = part.slice(at, step)
-                inc = []
-                for name, ids in (("left", left), ("right", right)):
-                    col = rows.column(name)
-                    m = np.zeros((rows.num_rows, ids.size), np.float32)
-                    m[col.value_parent_indices().to_numpy(), np.searchsorted(ids, col.flatten().to_numpy())] = 1
-                    inc.append(m)
-                gram += (inc[0].T @ inc[1]).astype(np.int64)
-        if b1 == b2:
-            gram[left[:, None] > right[None, :]] = 0
-        i, j = np.nonzero(gram)
-        yield pa.RecordBatch.from_arrays([pa.array(left[i]), pa.array(right[j]), pa.array(gram[i, j])],
-                                         names=["item1", "item2", "n"])
+def _partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+# --------------------------------------------------------------------------- co-occurrence
+
 def block_pairs(r: DataFrame, blocks: int) -> DataFrame:
     """``b1, b2, part, left, right``: one row for each pair of a user's item blocks, dealt over ``part``.
 
-    The item sets are deduplicated before they are gathered and hold one block's items at most.
+    The item sets are deduplicated before they are gathered and hold one block's items at most. Within one
+    block ``right`` is empty: it is ``left``.
     """
-    parts = max(1, -(-int(r.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 2 // (blocks * (blocks + 1))))
+    parts = max(1, -(-_partitions(r) * 2 // (blocks * (blocks + 1))))
     mine = (r.where(F.col("user_id").isNotNull() & F.col("item_id").isNotNull())
             .groupBy("user_id", _of("item_id", blocks).alias("b"))
             .agg(F.collect_set(F.col("item_id").cast("bigint")).alias("items")))
-    if blocks == 1:
-        pairs = mine.select("user_id", F.col("b").alias("b1"), F.col("b").alias("b2"),
-                            F.col("items").alias("left"), F.col("items").alias("right"))
-    else:
+    left = mine.select("user_id", F.col("b").alias("b1"), F.col("items").alias("left"))
+    pairs = left.select("user_id", "b1", F.col("b1").alias("b2"), "left", F.array().cast("array<bigint>").alias("right"))
+    if blocks > 1:
         other = mine.select("user_id", F.col("b").alias("b2"), F.col("items").alias("right"))
-        pairs = mine.select("user_id", F.col("b").alias("b1"), F.col("items").alias("left")).join(other, "user_id") \
-            .where(F.col("b1") <= F.col("b2"))
+        pairs = left.join(other, "user_id").where(F.col("b1") <= F.col("b2")).select("user_id", "b1", "b2", "left", F.when(
+            F.col("b1") == F.col("b2"), F.array().cast("array<bigint>")).otherwise(F.col("right")).alias("right"))
     return pairs.select("b1", "b2", F.pmod(F.xxhash64("user_id"), F.lit(parts)).cast("int").alias("part"), "left", "right")
 
 
-def cooccurrence(r: DataFrame, n_items: int | None = None) -> DataFrame:
+def _strips(r: DataFrame, blocks: int) -> DataFrame:
+    """Packed parts of the counts (``tiles.CELLS``), brought together by strip of a pair of blocks."""
+    strips = max(1, -(-_partitions(r) * 2 // (blocks * (blocks + 1))))
+    keys = ["b1", "b2", "part"]
+    parts = block_pairs(r, blocks).repartition(*keys).sortWithinPartitions(*keys).drop("part").mapInArrow(
+        tiles.gram_strips(strips), tiles.CELLS)
+    keys = ["b1", "b2", "strip"]
+    return parts.repartition(*keys).sortWithinPartitions(*keys)
+
+
+def cooccurrence(r: DataFrame, n_items: int | None = None, sizes: Sizes | None = None) -> DataFrame:
     """``(item1, item2, n)``: users that rated both items, every ordered pair
     including i = j (the diagonal is the number of users of the item).
 
     ``r`` needs ``user_id, item_id``; duplicates and rows with a null user or item are left out.
     """
-    keys = ["b1", "b2", "part"]
-    pairs = block_pairs(r, item_blocks(r, n_items))
-    tiles = pairs.repartition(*keys).sortWithinPartitions(*keys).drop("part").mapInArrow(
-        _gram_tiles, "item1 bigint, item2 bigint, n bigint")
-    half = tiles.groupBy("item1", "item2").agg(F.sum("n").alias("n"))
-    there = F.struct("item1", "item2", "n")
-    back = F.struct(F.col("item2").alias("item1"), F.col("item1").alias("item2"), "n")
-    both = F.when(F.col("item1") == F.col("item2"), F.array(there)).otherwise(F.array(there, back))
-    return half.select(F.inline(both))
+    if sizes is None:
+        r = cut_lineage(r.select("user_id", "item_id"))
+        sizes = measure(r, n_items)
+    return _strips(r, sizes.blocks).mapInArrow(tiles.merged_strips(tiles.as_rows), "item1 bigint, item2 bigint, n bigint")
 
 
 # --------------------------------------------------------------------------- scores
@@ -215,165 +200,89 @@ def _pref(t: T.DataType) -> tuple[Column, str, Column]:
     return pref.cast("bigint"), "bigint", score
 
 
-def _product(c: np.ndarray, user: np.ndarray, item: np.ndarray, pref: np.ndarray, into: np.ndarray) -> None:
-    """into[u] += Σ pref · c[item], for ratings sorted by user."""
-    step = max(1, CHUNK_CELLS // max(1, c.shape[1]))
-    for a in range(0, user.size, step):
-        u = user[a:a + step]
-        first = np.flatnonzero(np.append(True, u[1:] != u[:-1]))
-        into[u[first]] += np.add.reduceat(c[item[a:a + step]] * pref[a:a + step, None], first, axis=0)
-
+def product_rows(r: DataFrame, raters: DataFrame, cooc: DataFrame | None, sizes: Sizes, kind_of: str) -> tuple[DataFrame, int]:
+    """``key`` plus ``tiles.TILE`` rows that meet in a product, and the number of keys.
 
-def _scored(top_n: int | None, exclude_seen: bool, integral: bool):
-    """mapInArrow kernel: finished scores of a slice of users and a block of items.
-
-    Rows come sorted by (slice, b1, b2, kind): the users, the items of b1, then for each block b2 the cells
-    of C and the slice's ratings.
+    A key is a part of the target items times a group of users. There are about as many keys as tasks, so the
+    copies of the matrix do not grow with the number of users; slices of a group's users stream past it.
     """
-    dtype = np.int64 if integral else np.float64
-
-    def run(batches):
-        at = users = items = score = hits = seen = shadow = c = ids2 = None
-        limit, positive = 0.0, True  # positive: so far every pref is, and a hit shows as a score
-
-        def out() -> Iterator[pa.RecordBatch]:
-            if at is None or users is None or items is None or not users.size or not items.size:
-                return
-            if shadow is not None and np.abs(shadow).max() >= 2.0 ** 63 * (1 - 1e-12):
-                raise OverflowError("a score exceeds 64 bits")
-            met_any = score > 0 if positive else hits
-            mask = met_any & ~seen if exclude_seen else met_any
-            if top_n is None:
-                u, i = np.nonzero(mask)
-            else:
-                low = np.iinfo(np.int64).min if integral else -np.inf
-                shown = np.where(mask, score, low)
-                k = min(top_n, items.size)
-                u, i = np.nonzero(mask & (shown >= np.partition(shown, items.size - k, axis=1)[:, [items.size - k]]))
-                value = score[u, i]
-                order = np.lexsort((i, ~value if integral else -value, u))
-                u, i = u[order], i[order]
-                place = np.arange(u.size) - np.searchsorted(u, u)
-                u, i = u[place < k], i[place < k]
-            for a in range(0, u.size, 1 << 18):
-                x, y = u[a:a + (1 << 18)], i[a:a + (1 << 18)]
-                yield pa.RecordBatch.from_arrays([pa.array(items[y]), pa.array(users[x]), pa.array(score[x, y])],
-                                                 names=["item_id", "user_id", "score"])
-
-        for (s, b1, b2, kind), parts in _runs(batches, ["slice", "b1", "b2", "kind"]):
-            x, y, v = (_column(parts, n) for n in ("x", "y", "v"))
-            if (s, b1) != at:
-                yield from out()
-                at, users, items, shadow, limit, c, positive = (s, b1), None, None, None, 0.0, None, True
-            if kind == 0:
-                users = np.unique(x)
-            elif kind == 1:
-                items = np.unique(x)
-                if users is not None:
-                    score = np.zeros((users.size, items.size), dtype)
-                    hits = np.zeros(score.shape, bool)
-                    seen = np.zeros(score.shape, bool)
-            elif kind == 2 and users is not None and items is not None:
-                ids2 = np.unique(y)
-                c = np.zeros((ids2.size, items.size), np.int64)
-                c[np.searchsorted(ids2, y), np.searchsorted(items, x)] = v
-                block = b2
-            elif kind == 3 and users is not None and items is not None:
-                order = np.argsort(x, kind="stable")
-                u, i, p = np.searchsorted(users, x[order]), y[order], v[order].astype(dtype)
-                if b2 == b1:
-                    at_item = np.minimum(np.searchsorted(items, i), items.size - 1)
-                    own = items[at_item] == i
-                    seen[u[own], at_item[own]] = True
-                if c is None or block != b2:
-                    continue
-                pos = np.minimum(np.searchsorted(ids2, i), ids2.size - 1)
-                known = ids2[pos] == i
-                u, pos, p = u[known], pos[known], p[known]
-                if not u.size:
-                    continue
-                if integral:
-                    limit += float(c.max()) * float(np.bincount(u, weights=np.abs(p.astype(np.float64))).max())
-                    if limit >= 2.0 ** 62:  # only then can a sum wrap; a double beside it tells
-                        if shadow is None:
-                            shadow = score.astype(np.float64)
-                        _product(c.astype(np.float64), u, pos, p.astype(np.float64), shadow)
-                if positive and not (p > 0).all():
-                    hits, positive = score > 0, False
-                if not positive:
-                    met = np.zeros(score.shape, np.int64)
-                    _product((c > 0).astype(np.int64), u, pos, np.ones(p.size, np.int64), met)
-                    hits |= met > 0
-                _product(c if integral else c.astype(np.float64), u, pos, p, score)
-        yield from out()
-
-    return run
+    blocks, subs = sizes.blocks, sizes.subs
+    targets = blocks * subs
+    groups = max(1, min(-(-_partitions(r) // targets), sizes.users))
+    slices = groups * max(1, -(-sizes.ratings // (groups * SLICE_RATINGS)), -(-sizes.users // (groups * SLICE_USERS)))
+    if cooc is None:
+        held = _strips(raters, blocks).mapInArrow(tiles.merged_strips(tiles.as_targets(subs)), tiles.TILE)
+    else:
+        cells = cooc.select("item1", "item2", F.col("n").cast("bigint").alias("n"), _of("item1", blocks).alias("b1"), _of("item2", blocks).alias("b2"))
+        held = cells.repartition("b1", "b2").sortWithinPartitions("b1", "b2").mapInArrow(tiles.cell_tiles(subs), tiles.TILE)
+    packed = (r.select("user_id", "item_id", F.col("pref").cast(kind_of).alias("v"), _of("user_id", slices).alias("slice"))
+              .repartition("slice").sortWithinPartitions("slice", "user_id", "item_id")
+              .mapInArrow(tiles.rating_slices, "slice int, " + tiles.TILE.replace("target int, kind int, ", "")))
+    fields = [f.split()[0] for f in tiles.TILE.split(", ")[1:]]
+    every_group = F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))
+    every_target = F.explode(F.sequence(F.lit(0), F.lit(targets - 1)))
+    of_tiles = held.select("*", every_group.alias("g")).select((F.col("target") * groups + F.col("g")).alias("key"), *fields)
+    of_slices = packed.select("*", every_target.alias("target"), F.lit(1).alias("kind")).select(
+        (F.col("target") * groups + F.col("slice") % groups).alias("key"), *fields)
+    return of_tiles.union(of_slices), targets * groups
 
 
 def _all_scores(r: DataFrame, cooc: DataFrame | None, top_n: int | None, exclude_seen: bool,
-                n_items: int | None, n_users: int | None, catalogue: DataFrame | None = None) -> DataFrame:
-    listed = (r if catalogue is None else catalogue).where(F.col("item_id").isNotNull()).select(
-        F.col("item_id").cast("bigint").alias("item_id")).distinct()
+                n_items: int | None, n_users: int | None, raters: DataFrame | None = None) -> DataFrame:
     pref, kind_of, final = _pref(r.schema["pref"].dataType)
+    own = raters is None
     r = r.where(F.col("user_id").isNotNull() & F.col("item_id").isNotNull()).select(
         F.col("user_id").cast("bigint").alias("user_id"), F.col("item_id").cast("bigint").alias("item_id"), pref.alias("pref"))
-    n_items = listed.count() if n_items is None else n_items
-    n_users = r.select("user_id").distinct().count() if n_users is None else n_users
-    blocks = item_blocks(r, n_items)
-    wanted = -(-int(r.sparkSession.conf.get("spark.sql.shuffle.partitions")) // blocks)
-    slices = max(1, -(-n_users // SLICE_USERS), min(wanted, -(-n_users // 256)))
-    c = cooccurrence(r, n_items) if cooc is None else cooc
-    every_slice = F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("slice")
-    every_block = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("b1")
-    zero, own_slice = F.lit(0).cast(kind_of).alias("v"), _of("user_id", slices).alias("slice")
-
-    def rows(df: DataFrame, b2: Column, kind: int, x: str, y: str | None, v: Column) -> DataFrame:
-        y_col = F.col(y) if y else F.lit(0).cast("bigint")
-        return df.select("slice", "b1", b2.alias("b2"), F.lit(kind).alias("kind"), F.col(x).alias("x"), y_col.alias("y"), v)
-
-    c = c.select("item1", "item2", "n", _of("item1", blocks).alias("b1"), _of("item2", blocks).alias("b2"))
-    tiles = (rows(r.select("user_id").distinct().select("user_id", own_slice, every_block), F.lit(-2), 0, "user_id", None, zero)
-             .union(rows(listed.select("item_id", _of("item_id", blocks).alias("b1"), every_slice),
-                         F.lit(-1), 1, "item_id", None, zero))
-             .union(rows(c.select("*", every_slice), F.col("b2"), 2, "item1", "item2", F.col("n").cast(kind_of).alias("v")))
-             .union(rows(r.select("user_id", "item_id", "pref", own_slice, _of("item_id", blocks).alias("b2"), every_block),
-                         F.col("b2"), 3, "user_id", "item_id", F.col("pref").alias("v"))))
-    keys = ["slice", "b1", "b2", "kind"]
-    got = tiles.repartition("slice", "b1").sortWithinPartitions(*keys).mapInArrow(
-        _scored(top_n, exclude_seen, kind_of == "bigint"), f"item_id bigint, user_id bigint, score {kind_of}")
+    if n_items is None or n_users is None:
+        r = cut_lineage(r)  # read by the counts, the matrix and the product
+    if own:
+        raters = r
+    elif n_items is None or n_users is None:
+        raters = cut_lineage(raters.select("user_id", "item_id"))
+    sizes = measure(raters, n_items, n_users)
+    keyed, keys = product_rows(r, raters, cooc, sizes, kind_of)
+    got = keyed.repartitionById(keys, "key").sortWithinPartitions("key", "kind").mapInArrow(
+        tiles.product(top_n, exclude_seen, kind_of == "bigint"), f"item_id bigint, user_id bigint, score {kind_of}")
     return got.select("item_id", "user_id", final.alias("score"))
 
 
 def scores(r: DataFrame, cooc: DataFrame | None = None, user_id: int | None = None, n_items: int | None = None,
-           n_users: int | None = None, zero_fill: bool = False, catalogue: DataFrame | None = None) -> DataFrame:
+           n_users: int | None = None, zero_fill: bool = False, raters: DataFrame | None = None) -> DataFrame:
     """``(item_id, user_id, score)`` with score = Σ_y C[item, y] · pref[user, y].
 
     ``r`` must be deduplicated (one row per user and item). A row exists where the user rated an item
     that co-occurs with the row's item, also if the score is 0; ``zero_fill`` adds the other items of
     the catalogue with 0. Integer prefs give exact 64-bit scores and fail beyond, decimals keep their
     scale, float and double give doubles; a null pref counts as 0. If ``r`` holds some users' ratings
-    only, ``cooc`` is the matrix of all and ``catalogue`` has all items.
+    only, ``raters`` are the ratings of all, which C and the catalogue come from; or ``cooc`` is C.
 
     With ``user_id`` the one-user form is used, which never builds C.
     """
     if user_id is None:
-        s = _all_scores(r, cooc, None, False, n_items, n_users, catalogue)
+        s = _all_scores(r, cooc, None, False, n_items, n_users, raters)
     else:
         s = _one_user(r, user_id)
     if not zero_fill:
         return s
     users = (r.select("user_id").distinct() if user_id is None else r.sparkSession.range(1).select(F.lit(user_id).alias("user_id")))
-    slots = _catalogue(r if catalogue is None else catalogue, users.select(F.col("user_id").cast("bigint").alias("user_id")))
+    slots = catalogue_slots(r if raters is None else raters, users.select(F.col("user_id").cast("bigint").alias("user_id")))
     zero = F.lit(0).cast(s.schema["score"].dataType)
     return slots.join(s, ["item_id", "user_id"], "left").select("item_id", "user_id", F.coalesce("score", zero).alias("score"))
 
 
-def _catalogue(r: DataFrame, users: DataFrame) -> DataFrame:
-    """Every (item, user): the catalogue, gathered in blocks, is dealt to each user."""
-    listed = r.where(F.col("item_id").isNotNull()).groupBy(_block("item_id", DEFAULT_BLOCK).alias("block")).agg(
-        F.collect_set(F.col("item_id").cast("bigint")).alias("items"))
-    keyed = users.where(F.col("user_id").isNotNull()).withColumn("_all", F.lit(1))
-    return keyed.join(listed.withColumn("_all", F.lit(1)), "_all").select(F.explode("items").alias("item_id"), "user_id")
+def catalogue_slots(r: DataFrame, users: DataFrame) -> DataFrame:
+    """Every ``item_id, user_id``: each user is dealt the numbers of all blocks of the catalogue, and joined with them.
+
+    The key is (block, part of the users), so a catalogue of one block is joined by many tasks too.
+    """
+    listed = r.where(F.col("item_id").isNotNull()).select(F.col("item_id").cast("bigint").alias("item_id")).distinct()
+    blocks = max(1, -(-listed.count() // DEFAULT_BLOCK))
+    parts = max(1, -(-_partitions(r) * 2 // blocks))
+    listed = listed.groupBy(_of("item_id", blocks).alias("block")).agg(F.collect_list("item_id").alias("items"))
+    listed = listed.select("block", "items", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"))
+    wanted = users.where(F.col("user_id").isNotNull()).select(
+        "user_id", _of("user_id", parts).alias("part"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
+    return wanted.join(listed, ["block", "part"]).select(F.explode("items").alias("item_id"), "user_id")
 
 
 def _one_user(r: DataFrame, user_id: int) -> DataFrame:
@@ -406,21 +315,28 @@ def dense_scores(r: DataFrame, n_items: int, out_of_range: str = "error") -> Dat
     with 0 where the user has no rating. An item outside the range fails the job, or is left out
     with ``out_of_range="drop"``.
 
-    ``r`` must be deduplicated. No cross join: each user's in-range ratings
-    (at most ``n_items``) become a map, and the catalogue is generated per user.
+    ``r`` must be deduplicated. No cross join: each user is dealt the numbers of all blocks of the catalogue,
+    one row per user and block gathers the ratings there (at most ``DEFAULT_BLOCK``), and its items are
+    generated beside them, so no row holds more of the catalogue than a block.
     """
     in_range = F.col("item_id").between(0, n_items - 1)
     if out_of_range == "error":
         in_range = F.when(in_range, True).otherwise(F.raise_error(F.lit(f"item outside 0..{n_items - 1}")))
     elif out_of_range != "drop":
         raise ValueError(f"unknown out_of_range {out_of_range!r}")
-    per_user = r.groupBy("user_id").agg(
-        F.map_from_entries(F.collect_list(F.when(in_range, F.struct("item_id", "pref")))).alias("_m"))
+    entry = F.struct(F.col("item_id").cast("bigint").alias("k"), F.col("pref").alias("v"))
+    last = F.lit((n_items - 1) // DEFAULT_BLOCK).cast("bigint")
+    # an out-of-range item that is dropped still names its user
+    rated = r.select("user_id", F.when(in_range, _block("item_id", DEFAULT_BLOCK)).alias("block"), F.when(in_range, entry).alias("entry"))
+    slots = r.select("user_id").distinct().select("user_id", F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("block"),
+                                                  F.lit(None).cast(rated.schema["entry"].dataType).alias("entry"))
+    rows = rated.where("block IS NOT NULL").union(slots).groupBy("user_id", "block").agg(
+        F.map_from_entries(F.collect_list("entry")).alias("_m"))
     zero = F.lit(0).cast(r.schema["pref"].dataType)
-    row = F.transform(F.sequence(F.lit(0).cast("bigint"), F.lit(n_items - 1).cast("bigint")),
-                      lambda i: F.coalesce(F.try_element_at(F.col("_m"), i), zero))
-    return per_user.select("user_id", F.posexplode(row).alias("item_id", "score")) \
-        .select("user_id", F.col("item_id").cast("bigint").alias("item_id"), "score")
+    first = F.col("block") * DEFAULT_BLOCK
+    items = F.sequence(first, F.least(first + DEFAULT_BLOCK, F.lit(n_items).cast("bigint")) - 1)
+    return rows.select("user_id", "_m", F.explode(items).alias("item_id")).select(
+        "user_id", "item_id", F.coalesce(F.try_element_at("_m", F.col("item_id")), zero).alias("score"))
 
 
 # --------------------------------------------------------------------------- ranking
@@ -442,14 +358,15 @@ def rank_one(s: DataFrame, n: int | None = None, seen: DataFrame | None = None)
     """The ranking of one user's ``(item_id, user_id, score)``: the first ``n``, or all, spread over many tasks.
 
     For all, the scores are dealt into ranges and ranked inside them; each range is then moved on by the number
-    of rows before it. The dealt rows are checkpointed, so both steps see the same ranges.
+    of rows before it. The scores are checkpointed, as finding the ranges reads them once more, and so are the
+    dealt rows, as both steps must see the same ranges.
     """
     if seen is not None:
         s = s.join(seen.select("user_id", "item_id"), ["user_id", "item_id"], "left_anti")
     order = [F.col("score").desc(), F.col("item_id").asc()]
     if n is not None:
         return rank(s.orderBy(*order).limit(n))
-    dealt = cut_lineage(s.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
+    dealt = cut_lineage(cut_lineage(s).repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
     before = Window.partitionBy(F.lit(0)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     sizes = dealt.groupBy("_part").count().withColumn("_before", F.coalesce(F.sum("count").over(before), F.lit(0)))
     ranked = dealt.withColumn("_rank", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))

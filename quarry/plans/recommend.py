@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +16,7 @@ from quarry.sources.text import write_lines
 
 def recommend_job(ratings: DataFrame, user_id: int | None = None, n: int | None = None,
                   exclude_seen: bool = False, dedupe: str = "sum", shaped: bool = True,
-                  order_col: str | None = None, zero_fill: bool = False) -> DataFrame:
+                  order_col: str | Sequence[str] | None = None, zero_fill: bool = False) -> DataFrame:
     """Ratings → ranked items ``(user_id, item_id, score, rank)``.
 
     With ``user_id`` only that user is ranked; ``shaped=True`` then uses the
@@ -31,7 +33,7 @@ def recommend_job(ratings: DataFrame, user_id: int | None = None, n: int | None
     if shaped:
         s = R.scores(r, user_id=user_id, zero_fill=zero_fill)
     else:  # the product keeps all raters in C, but only this user's ratings on its other side
-        s = R.scores(R.for_user(r, user_id), cooc=R.cooccurrence(r), zero_fill=zero_fill, catalogue=r)
+        s = R.scores(R.for_user(r, user_id), raters=r, zero_fill=zero_fill)
     seen = R.for_user(r, user_id) if exclude_seen else None
     return R.rank_one(s, n=n, seen=seen)
 
@@ -60,8 +62,8 @@ def ratings_parsed_double(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ratings_last(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One rating per user and item: that of the last line item (order key, line number)."""
-    return R.dedupe_ratings(fx.ordered_ratings(spark, sf_dir), "last", order_col="at")
+    """One rating per user and item: that of the last line item (order key, line number, part key, then pref)."""
+    return R.dedupe_ratings(fx.ordered_ratings(spark, sf_dir), "last", order_col=fx.RATING_ORDER)
 
 
 def _wide(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,6 +83,13 @@ def scores_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     F.min("score").alias("lowest"))
 
 
+def scores_zero_filled_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all users over every part key, the whole catalogue for each of them, summed up per user."""
+    s = R.scores(_wide(spark, sf_dir), zero_fill=True)
+    return s.groupBy("user_id").agg(F.count("*").alias("items"), F.sum((F.col("score") == 0).cast("bigint")).alias("zeros"),
+                                    F.sum(F.col("score") * F.col("item_id")).alias("check_sum"))
+
+
 def recommend_topn_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The three best of every part key for every user, with zero and negative prefs."""
     return R.top_scores(_wide(spark, sf_dir), 3)
@@ -141,6 +150,7 @@ QUERIES = {
     "ratings_last": ratings_last,
     "cooccurrence_wide": cooccurrence_wide,
     "scores_wide": scores_wide,
+    "scores_zero_filled_wide": scores_zero_filled_wide,
     "recommend_topn_wide": recommend_topn_wide,
     "recommend_topn_unseen_wide": recommend_topn_unseen_wide,
     "ratings_deduped": ratings_deduped,
@@ -185,12 +195,16 @@ SQL = {
     "ratings_parsed": f"WITH {_RAW} SELECT * FROM raw",
     "ratings_parsed_double": f"WITH {_RAW} SELECT user_id, item_id, CAST(pref AS DOUBLE) / 4 AS pref FROM raw",
     "ratings_last": """SELECT CAST(o_custkey AS BIGINT) AS user_id, CAST(l_partkey % 500 AS BIGINT) AS item_id,
-        CAST(arg_max(trunc(l_quantity), CAST(l_orderkey AS BIGINT) * 10 + l_linenumber) AS BIGINT) AS pref
+        CAST(max(struct_pack(a := l_orderkey, b := l_linenumber, c := l_partkey, p := trunc(l_quantity))).p AS BIGINT) AS pref
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2""",
     "cooccurrence_wide": f"""WITH {_WIDE}, {_R}, {_C} SELECT item1, CAST(count(*) AS BIGINT) AS cells, CAST(sum(n) AS BIGINT) AS n,
         CAST(sum(item2 * n) AS BIGINT) AS check_sum FROM c GROUP BY 1""",
     "scores_wide": f"""{_WW} SELECT user_id, CAST(count(*) AS BIGINT) AS items, CAST(sum(score) AS BIGINT) AS score,
         CAST(sum(score * item_id) AS BIGINT) AS check_sum, min(score) AS lowest FROM s GROUP BY 1""",
+    "scores_zero_filled_wide": f"""{_WW}, items AS (SELECT DISTINCT item_id FROM r), users AS (SELECT DISTINCT user_id FROM r)
+        SELECT u.user_id, CAST(count(*) AS BIGINT) AS items, CAST(sum(CASE WHEN coalesce(s.score, 0) = 0 THEN 1 ELSE 0 END) AS BIGINT) AS zeros,
+        CAST(sum(coalesce(s.score, 0) * i.item_id) AS BIGINT) AS check_sum
+        FROM users u CROSS JOIN items i LEFT JOIN s ON s.user_id = u.user_id AND s.item_id = i.item_id GROUP BY 1""",
     "recommend_topn_wide": _ranked(n=3, ctes=_WW),
     "recommend_topn_unseen_wide": _ranked(seen=True, n=3, ctes=_WW),
     "ratings_deduped": f"WITH {_RAW}, {_R} SELECT * FROM r",
