@@ -97,7 +97,7 @@ def nearest_kernel(centroids: Sequence[tuple[int, int]], x: str = "x", y: str =
     return run
 
 
-def _exact_sums(v: np.ndarray, w: np.ndarray, groups: np.ndarray, k: int) -> list[int]:
+def exact_sums(v: np.ndarray, w: np.ndarray, groups: np.ndarray, k: int) -> list[int]:
     """Σ v·w per group as Python ints; beyond 64 bits by 32-bit parts of v."""
     if v.size == 0:
         return [0] * k
@@ -133,7 +133,7 @@ def step_kernel(centroids: Sequence[tuple[int, int]]):
             py = pdf["y"].to_numpy(dtype=np.int64)
             w = pdf["w"].to_numpy(dtype=np.int64)
             idx, hi, lo = _nearest_arrays(cents, rows, px, py)
-            sx, sy = _exact_sums(px, w, idx, k), _exact_sums(py, w, idx, k)
+            sx, sy = exact_sums(px, w, idx, k), exact_sums(py, w, idx, k)
             size = _int_bincount(idx, w, k)
             res = np.bincount(idx, weights=_root(hi, lo) * w, minlength=k)
             hit = np.nonzero(size)[0]

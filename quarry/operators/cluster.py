@@ -14,14 +14,19 @@ Scale notes
   numbers as the raw points while every iteration scans only distinct points.
   The weighted points are checkpointed to the shared folder, so iterations
   survive executor loss and re-plan from a short lineage.
-* Each step is one aggregate job whose result (at most k rows) is the only
-  thing collected; the (at most k) centroids reach the executors inside the
-  nearest-centroid kernel, a vectorized numpy arg-min per Arrow batch
-  (``mapInPandas``). A k-way expression in whole-stage codegen grows into one
-  huge method the JIT will not compile: a step took 4-13 s instead of
-  0.6 s at k = 45 on sf0.1.
-* The median is an exact distributed selection (bucket refinement): no
-  cluster's values are ever gathered into one task or the driver.
+* Where x takes few values (``lines_of``), the points are sorted once into lines
+  with running sums: a step only looks up the sums at the ends of the centroids'
+  intervals, and all seeds are found in a few jobs. See ``operators.lines``.
+* Otherwise, and where distances themselves are summed (residual), a step is one
+  aggregate job whose result (at most k rows) is the only thing collected; the
+  (at most k) centroids reach the executors inside the nearest-centroid kernel, a
+  vectorized numpy arg-min per Arrow batch (``mapInPandas``). A k-way expression
+  in whole-stage codegen grows into one huge method the JIT will not compile: a
+  step took 4-13 s instead of 0.6 s at k = 45 on sf0.1.
+* The median is an exact distributed selection: a table of value ranges, one a
+  cluster and rank, is joined with the values and narrowed until each range is
+  one value. No cluster's values are gathered into one task, and the driver
+  only learns how many ranges are still open.
 """
 
 from __future__ import annotations
@@ -30,12 +35,14 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.functions.geometry import (REFERENCE_SPREAD, STEP_SCHEMA, encode_domain, nearest_kernel,
                                       nearest_schema, step_kernel)
+from quarry.operators.common import broadcast_if_small
+from quarry.operators.lines import Lines
 from quarry.session import cut_lineage
 
 DEC = T.DecimalType(38, 0)
@@ -50,15 +57,30 @@ def split_postings(p: DataFrame) -> tuple[DataFrame, DataFrame]:
     return p.where(F.col("posting_type") == 1), p.where(F.col("posting_type") == 2)
 
 
-def answers_with_questions(p: DataFrame) -> DataFrame:
+# Answers of one question from which its answers are dealt over several tasks, and into how many parts.
+HOT_ANSWERS, HOT_PARTS = 100_000, 64
+
+
+def answers_with_questions(p: DataFrame, hot_answers: int = HOT_ANSWERS) -> DataFrame:
     """``(question_id, score, tag)``: each answer with its question's tag.
 
     Inner join on parent = id: orphan answers and unanswered questions drop;
-    null parents never match. AQE splits a skewed question's partition.
+    null parents never match. Questions with at least ``hot_answers`` answers
+    are counted first (their number is at most all answers by that many) and
+    joined on one of ``HOT_PARTS`` parts as well, which the answers are dealt over.
     """
     q, a = split_postings(p)
-    return a.select(F.col("parent_id").alias("question_id"), "score").join(
-        q.select(F.col("id").alias("question_id"), "tag"), "question_id")
+    a = a.where(F.col("parent_id").isNotNull()).select(F.col("parent_id").alias("question_id"), "score")
+    q = q.select(F.col("id").alias("question_id"), "tag")
+    hot = a.groupBy("question_id").count().where(F.col("count") >= hot_answers).select("question_id", F.lit(HOT_PARTS).alias("parts"))
+    hot = broadcast_if_small(cut_lineage(hot))
+    if hot.isEmpty():
+        return a.join(q, "question_id")
+    part = F.pmod(F.monotonically_increasing_id(), F.coalesce("parts", F.lit(1))).cast("int").alias("part")
+    every = F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)).alias("part")
+    a = a.join(hot, "question_id", "left").select("question_id", "score", part)
+    q = q.join(hot, "question_id", "left").select("question_id", "tag", every)
+    return a.join(q, ["question_id", "part"]).select("question_id", "score", "tag")
 
 
 def best_answer(p: DataFrame) -> DataFrame:
@@ -102,6 +124,16 @@ def weighted_points(vectors: DataFrame, checkpoint: bool = True) -> DataFrame:
     return cut_lineage(pts) if checkpoint else pts
 
 
+# Most distinct x of points that are kept as lines.
+MOST_LINES = 256
+
+
+def lines_of(points: DataFrame) -> Lines | None:
+    """Weighted points sorted into lines; None where there are none, or more lines than pay."""
+    n, n_lines = points.agg(F.count(F.lit(1)), F.countDistinct("x")).first()
+    return Lines(points, n) if 0 < n_lines <= MOST_LINES else None
+
+
 def _weighted(points: DataFrame) -> DataFrame:
     return points if "w" in points.columns else points.withColumn("w", F.lit(1).cast("bigint"))
 
@@ -115,11 +147,11 @@ def assign(points: DataFrame, centroids: Sequence[tuple[int, int]]) -> DataFrame
 
 @dataclass
 class Step:
-    """One Lloyd update: old centroid → new centroid, with its weight and residual."""
+    """One Lloyd update: old centroid → new centroid, with its weight and residual (None if not measured)."""
     old: tuple[int, int]
     new: tuple[int, int]
     size: int
-    residual: float
+    residual: float | None
 
 
 def step_frame(points: DataFrame, centroids: Sequence[tuple[int, int]]) -> DataFrame:
@@ -144,14 +176,23 @@ def lloyd_step(points: DataFrame, centroids: Sequence[tuple[int, int]]) -> list[
     return [Step((r.cx, r.cy), (r.nx, r.ny), r.size, r.residual) for r in rows]
 
 
+def _towards_zero(a: int, b: int) -> int:
+    return abs(a) // b * (1 if a >= 0 else -1)
+
+
+def line_step(lines: Lines, centroids: Sequence[tuple[int, int]]) -> list[Step]:
+    """The same update from running sums, without the residual."""
+    return [Step(c, (_towards_zero(sx, w), _towards_zero(sy, w)), w, None) for c, (w, sx, sy) in lines.step(centroids).items()]
+
+
 def recenter(steps: Sequence[Step]) -> list[tuple[int, int]]:
     """New centroids, distinct and sorted (two clusters may truncate to one point)."""
     return sorted({s.new for s in steps})
 
 
-def residual(steps: Sequence[Step]) -> float:
-    """Σ over points of the distance to the nearest (old) centroid."""
-    return math.fsum(s.residual for s in steps)
+def residual(steps: Sequence[Step]) -> float | None:
+    """Σ over points of the distance to the nearest (old) centroid; None if the steps did not measure it."""
+    return None if any(s.residual is None for s in steps) else math.fsum(s.residual for s in steps)
 
 
 def movement(steps: Sequence[Step]) -> float:
@@ -180,18 +221,21 @@ def first_point(points: DataFrame, seed: str | None = None) -> tuple[int, int] |
 SEED_ROUNDS = 8
 
 
-def farthest_first(points: DataFrame, k: int, seed: str | None = None) -> list[tuple[int, int]]:
+def farthest_first(points: DataFrame, k: int, seed: str | None = None, lines: Lines | None = None) -> list[tuple[int, int]]:
     """k seeds: a first point, then repeatedly the point farthest from its nearest seed.
 
     Ties go to the smallest (x, y). Stops early when every point is a seed
-    (largest distance 0). Each point carries its distance to the nearest seed
-    so far, so a round measures the newest seed only: one column expression
-    and one global aggregate. The distances are checkpointed every few rounds.
-    They are decimals where a 64-bit square could overflow; seeds are the same.
+    (largest distance 0). With ``lines`` a few look-ups find all seeds. Without,
+    each point carries its distance to the nearest seed so far, so a round
+    measures the newest seed only: one column expression and one global
+    aggregate. The distances are checkpointed every few rounds. They are
+    decimals where a 64-bit square could overflow; seeds are the same.
     """
     start = first_point(points, seed)
     if start is None:
         return []
+    if lines is not None:
+        return lines.farthest_first(start, k)
     most = points.agg(F.max(F.greatest(F.abs(F.col("x").cast(DEC)), F.abs(F.col("y").cast(DEC))))).first()[0]
     kind = "bigint" if most < 1 << 30 else "decimal(38,0)"
 
@@ -230,8 +274,8 @@ class KMeansResult:
 
 
 def lloyd(points: DataFrame, seeds: Sequence[tuple[int, int]], max_updates: int = 121,
-          eta: float = 20.0, stop: str | None = "movement", skip_cycles: bool = True) -> KMeansResult:
-    """Lloyd iterations from ``seeds``.
+          eta: float = 20.0, stop: str | None = "movement", skip_cycles: bool = True, lines: Lines | None = None) -> KMeansResult:
+    """Lloyd iterations from ``seeds``; over ``lines`` unless residuals decide (``last_residual`` is None then).
 
     ``stop="movement"``: stop after an update whose total centroid movement is
     below ``eta``. ``stop="residual"``: before each update, stop if the summed
@@ -252,7 +296,7 @@ def lloyd(points: DataFrame, seeds: Sequence[tuple[int, int]], max_updates: int
     resids: list[float | None] = [None]         # residual of the state before that update
     n = 0
     while n < max_updates and cents:
-        steps = lloyd_step(points, cents)
+        steps = lloyd_step(points, cents) if lines is None or stop == "residual" else line_step(lines, cents)
         res = residual(steps)
         if stop == "residual" and res < eta:
             return KMeansResult(cents, n, moves[-1], res, True)
@@ -275,51 +319,32 @@ def lloyd(points: DataFrame, seeds: Sequence[tuple[int, int]], max_updates: int
 
 # --------------------------------------------------------------------------- summary
 
-def _order_statistics(data: DataFrame, targets: dict) -> dict:
-    """Exact weighted order statistics per group by bucket refinement.
+def order_statistics(data: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``cx, cy, rank, value``: exact weighted order statistics per group.
 
-    ``data``: (cx, cy, y, w). ``targets``: {(cx, cy, rank0): (lo, hi)} with
-    the value range of the group. Returns {(cx, cy, rank0): value}. Each pass
-    counts the weights of ``MEDIAN_BUCKETS`` equal-width buckets inside every
-    open range (one small broadcast join and one aggregate; at most
-    2k·buckets rows come back) and narrows the range to the bucket holding
-    the rank, so a value range R needs about log_buckets(R) passes.
+    ``data``: (cx, cy, y, w). ``wanted``: (cx, cy, rank, lo, hi), ranks from 0
+    and the range of the group's values. Every pass joins the ranges that are
+    still open with the values, sums the weights in ``MEDIAN_BUCKETS`` equal
+    buckets of each and narrows it to the bucket that holds the rank, so a
+    range R needs about log_buckets(R) passes. The ranges are a checkpointed
+    table; the driver sees the number of open ones.
     """
-    spark = data.sparkSession
-    state = {key: [lo, hi, 0] for key, (lo, hi) in targets.items()}   # lo, hi, weight below lo
-    done: dict = {}
+    state = cut_lineage(wanted.select("cx", "cy", "rank", "lo", "hi", F.lit(0).cast(DEC).alias("below")))
     while True:
-        open_ = {k: v for k, v in state.items() if v[0] < v[1]}
-        for k, v in state.items():
-            if v[0] == v[1]:
-                done[k] = v[0]
-        if not open_:
-            return done
-        rows = []
-        for i, (key, (lo, hi, _)) in enumerate(open_.items()):
-            width = -(-(hi - lo + 1) // MEDIAN_BUCKETS)
-            rows.append((i, key[0], key[1], lo, hi, width))
-        ranges = spark.createDataFrame(
-            rows, "_t int, _cx bigint, _cy bigint, _lo bigint, _hi bigint, _width bigint")
-        hist = (data.join(F.broadcast(ranges), (F.col("cx") == F.col("_cx")) & (F.col("cy") == F.col("_cy")))
-                .where(F.col("y").between(F.col("_lo"), F.col("_hi")))
-                .groupBy("_t", F.expr("(y - _lo) div _width").alias("_b"))
-                .agg(F.sum("w").alias("_n")).collect())
-        buckets: dict = {}
-        for r in hist:
-            buckets.setdefault(r._t, []).append((r._b, r._n))
-        keys = list(open_)
-        for i, key in enumerate(keys):
-            lo, hi, below = state[key]
-            width = rows[i][5]
-            acc = below
-            for b, cnt in sorted(buckets.get(i, [])):
-                if acc + cnt > key[2]:
-                    state[key] = [lo + b * width, min(hi, lo + (b + 1) * width - 1), acc]
-                    break
-                acc += cnt
-            else:
-                raise RuntimeError("rank outside its group; data changed during the run?")
+        open_ = state.where("lo < hi")
+        if not open_.limit(1).count():
+            return state.select("cx", "cy", "rank", F.col("lo").alias("value"))
+        width = F.expr(f"CAST((CAST(hi AS DECIMAL(38,0)) - lo) div {MEDIAN_BUCKETS} AS BIGINT) + 1")
+        ranges = broadcast_if_small(open_.withColumn("width", width))
+        buckets = (data.join(ranges, ["cx", "cy"]).where("y BETWEEN lo AND hi")
+                   .groupBy("cx", "cy", "rank", "lo", "hi", "below", "width", F.expr("CAST((CAST(y AS DECIMAL(38,0)) - lo) div width AS BIGINT)").alias("b"))
+                   .agg(F.sum(F.col("w").cast(DEC)).alias("n")))
+        before = Window.partitionBy("cx", "cy", "rank").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+        buckets = buckets.withColumn("under", F.col("below") + F.coalesce(F.sum("n").over(before), F.lit(0).cast(DEC)))
+        found = buckets.where("rank >= under AND rank < under + n").select(
+            "cx", "cy", "rank", F.expr("lo + b * width").alias("lo"),
+            F.expr("CAST(least(CAST(hi AS DECIMAL(38,0)), CAST(lo AS DECIMAL(38,0)) + (b + 1) * width - 1) AS BIGINT)").alias("hi"), F.col("under").cast(DEC).alias("below"))
+        state = cut_lineage(state.where("lo = hi").union(found))
 
 
 def summary(points: DataFrame, centroids: Sequence[tuple[int, int]]) -> DataFrame:
@@ -331,24 +356,14 @@ def summary(points: DataFrame, centroids: Sequence[tuple[int, int]]) -> DataFram
     # assigned once: the passes of the median read the checkpointed distinct values
     a = cut_lineage(assign(_weighted(points), centroids).groupBy("cx", "cy", "y").agg(F.sum("w").alias("w")))
     w = F.col("w").cast(DEC)
-    stats = a.groupBy("cx", "cy").agg(
-        F.sum("w").alias("size"), F.sum(F.col("y").cast(DEC) * w).alias("_sy"),
-        F.min("y").alias("_lo"), F.max("y").alias("_hi")).collect()
-    targets = {}
-    for r in stats:
-        for rank0 in {(r.size - 1) // 2, r.size // 2}:
-            targets[(r.cx, r.cy, rank0)] = (r._lo, r._hi)
-    values = _order_statistics(a, targets)
-    out = []
-    for r in stats:
-        lo_v, hi_v = values[(r.cx, r.cy, (r.size - 1) // 2)], values[(r.cx, r.cy, r.size // 2)]
-        s = lo_v + hi_v
-        median = abs(s) // 2 * (1 if s >= 0 else -1)
-        sy = int(r._sy)
-        average = abs(sy) // r.size * (1 if sy >= 0 else -1)
-        out.append((r.cx, r.cy, r.size, average, median))
-    spark = points.sparkSession
-    return spark.createDataFrame(out, "cx bigint, cy bigint, size bigint, average bigint, median bigint")
+    stats = cut_lineage(a.groupBy("cx", "cy").agg(
+        F.sum("w").alias("size"), F.sum(F.col("y").cast(DEC) * w).alias("sy"), F.min("y").alias("lo"), F.max("y").alias("hi")))
+    ranks = F.explode(F.array_distinct(F.array(F.expr("(size - 1) div 2"), F.expr("size div 2")))).alias("rank")
+    values = order_statistics(a, stats.select("cx", "cy", ranks, "lo", "hi"))
+    middle = values.groupBy("cx", "cy").agg(F.min("value").alias("low"), F.max("value").alias("high"))
+    return stats.join(middle, ["cx", "cy"]).select(
+        "cx", "cy", "size", F.expr("CAST(sy div size AS BIGINT)").alias("average"),
+        F.expr("CAST((CAST(low AS DECIMAL(38,0)) + high) div 2 AS BIGINT)").alias("median"))
 
 
 def centroid_frame(spark, centroids: Sequence[tuple[int, int]]) -> DataFrame:

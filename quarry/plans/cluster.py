@@ -28,13 +28,14 @@ def cluster_job(postings: DataFrame, k: int = 45, domains: Sequence[str] = REFER
     """
     vectors = C.tag_vectors(C.best_answer(postings), domains, spread, on_missing)
     points = C.weighted_points(vectors)
+    lines = C.lines_of(points)
     if seeding == "farthest":
-        seeds = C.farthest_first(points, k, seed)
+        seeds = C.farthest_first(points, k, seed, lines)
     elif seeding == "random":
         seeds = [(r.x, r.y) for r in C.random_seeds(points, k, seed or "0").collect()]
     else:
         raise ValueError(f"unknown seeding {seeding!r}")
-    result = C.lloyd(points, seeds, max_updates=max_updates, eta=eta, stop=stop)
+    result = C.lloyd(points, seeds, max_updates=max_updates, eta=eta, stop=stop, lines=lines)
     return C.summary(points, result.centroids).withColumn("updates", F.lit(result.updates)) \
         .withColumn("converged", F.lit(result.converged))
 
@@ -57,7 +58,7 @@ def _points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _seeds(spark: SparkSession, sf_dir: str):
     pts = _points(spark, sf_dir)
-    return pts, C.farthest_first(pts, K_SMALL)
+    return pts, C.farthest_first(pts, K_SMALL, lines=C.lines_of(pts))
 
 
 def postings_parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,13 +81,14 @@ def tag_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def farthest_first_8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, seeds = _seeds(spark, sf_dir)
+    seeds = C.farthest_first(_points(spark, sf_dir), K_SMALL)  # by a scan a seed
     return C.centroid_frame(spark, seeds).select(F.col("cx").alias("x"), F.col("cy").alias("y"))
 
 
 def farthest_first_seeded_8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Farthest-first from the point with the smallest md5('x,y,0') instead of the smallest point."""
-    seeds = C.farthest_first(_points(spark, sf_dir), K_SMALL, seed="0")
+    pts = _points(spark, sf_dir)
+    seeds = C.farthest_first(pts, K_SMALL, seed="0", lines=C.lines_of(pts))
     return C.centroid_frame(spark, seeds).select(F.col("cx").alias("x"), F.col("cy").alias("y"))
 
 
@@ -116,8 +118,9 @@ def centroid_movement(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _kmeans_small(spark: SparkSession, sf_dir: str):
-    pts, seeds = _seeds(spark, sf_dir)
-    return pts, C.lloyd(pts, seeds, max_updates=UPDATES_SMALL, stop=None)
+    pts = _points(spark, sf_dir)
+    lines = C.lines_of(pts)
+    return pts, C.lloyd(pts, C.farthest_first(pts, K_SMALL, lines=lines), max_updates=UPDATES_SMALL, stop=None, lines=lines)
 
 
 def kmeans_8x5(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -275,7 +278,8 @@ SQL = {
     "kmeans_residual_stop": _with(_BASE, _SEEDS, _residual_ctes(_S, UPDATES_RESIDUAL, RESIDUAL_MEAN)) + (
         f"SELECT x AS cx, y AS cy, n AS updates, (n < {UPDATES_RESIDUAL}) AS converged FROM c{UPDATES_RESIDUAL}"),
     "postings_parsed": _with(_BASE) + "SELECT * FROM p",
-    "answers_with_questions": _with(_BASE) + "SELECT * FROM awq",
+    "answers_with_questions": """SELECT CAST(l_orderkey AS BIGINT) AS question_id, CAST(floor(l_extendedprice) AS BIGINT) AS score,
+        o_orderpriority AS tag FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
     "best_answer": _with(_BASE) + "SELECT question_id, score, tag FROM best",
     "tag_vectors": _with(_BASE) + "SELECT * FROM v",
     "farthest_first_8": _with(_BASE, _SEEDS) + f"SELECT x, y FROM {_S}",

@@ -1,4 +1,5 @@
 import math
+import random
 
 import pytest
 
@@ -6,6 +7,7 @@ from tests.conftest import SF_SMALL, rows
 from quarry import fixtures as fx
 from quarry.functions.geometry import REFERENCE_DOMAINS, encode_domain
 from quarry.operators import cluster as C
+from quarry.operators import lines as L
 from quarry.plans.cluster import cluster_job
 from quarry.sources.records import parse_postings
 
@@ -214,3 +216,89 @@ def test_job_tells_whether_it_converged(spark):
     assert not capped.converged and capped.updates == 1
     with pytest.raises(ValueError):
         cluster_job(p, seeding="other")
+
+
+# --------------------------------------------------------------------------- lines
+
+def _random_points(seed, n, xs, far=4000):
+    rnd = random.Random(seed)
+    return sorted({(rnd.choice(xs), rnd.randint(-far, far)): rnd.randint(1, 5) for _ in range(n)}.items())
+
+
+@pytest.mark.parametrize("block, window", [(1024, 32), (16, 2), (1, 1)])
+def test_lines_give_the_steps_and_seeds_of_a_scan(spark, monkeypatch, block, window):
+    monkeypatch.setattr(L, "BLOCK_POINTS", block)
+    monkeypatch.setattr(L, "WINDOW", window)
+    rnd = random.Random(2)
+    for xs in ([0], [-50, 0, 50, 100], [-3000, 10, 2500]):
+        rows_ = [(x, y, w) for (x, y), w in _random_points(len(xs), 300, xs)]
+        p = C.cut_lineage(spark.createDataFrame(rows_, "x bigint, y bigint, w bigint").repartition(5))
+        lines = C.lines_of(p)
+        assert sum(b.n for bs in lines.lines.values() for b in bs) == len(rows_)
+        for k in (1, 2, 9, 400):
+            assert C.farthest_first(p, k, lines=lines) == _brute_farthest(rows_, k)
+        cents = sorted({(rnd.choice(xs) + rnd.randint(-9, 9), rnd.randint(-4000, 4000)) for _ in range(12)})
+        by_scan = {s.old: (s.new, s.size) for s in C.lloyd_step(p, cents)}
+        assert {s.old: (s.new, s.size) for s in C.line_step(lines, cents)} == by_scan
+
+
+def _brute_farthest(points, k):
+    seeds = [min((x, y) for x, y, _ in points)]
+    while len(seeds) < k:
+        d2, x, y = max((min((x - a) ** 2 + (y - b) ** 2 for a, b in seeds), -x, -y) for x, y, _ in points)
+        if d2 == 0:
+            break
+        seeds.append((-x, -y))
+    return seeds
+
+
+def test_seeding_by_lines_takes_few_jobs(spark, monkeypatch):
+    rows_ = [(x, y, w) for (x, y), w in _random_points(5, 6000, [0, 500, 1000, 1500], far=60000)]
+    p = C.cut_lineage(spark.createDataFrame(rows_, "x bigint, y bigint, w bigint"))
+    monkeypatch.setattr(L, "BLOCK_POINTS", 200)
+    lines, jobs = C.lines_of(p), []
+    fetch = lines._fetch
+    monkeypatch.setattr(lines, "_fetch", lambda missing: jobs.append(len(missing)) or fetch(missing))
+    assert lines.farthest_first(C.first_point(p), 45) == _brute_farthest(rows_, 45)
+    assert len(jobs) <= 3, jobs
+
+
+def test_sums_beyond_64_bits_on_lines(spark):
+    top = (1 << 31) - 1
+    p = C.cut_lineage(spark.createDataFrame([(0, top - i, 1 << 40) for i in range(40)] + [(7, -top, 3)], "x bigint, y bigint, w bigint"))
+    steps = {s.old: s for s in C.line_step(C.lines_of(p), [(0, 0), (7, -top)])}
+    assert steps[0, 0].new == (0, sum(top - i for i in range(40)) // 40) and steps[0, 0].size == 40 << 40
+    assert steps[7, -top].new == (7, -top)
+
+
+def test_many_lines_are_not_kept(spark, monkeypatch):
+    monkeypatch.setattr(C, "MOST_LINES", 3)
+    p = C.cut_lineage(spark.createDataFrame([(x, 0, 1) for x in range(4)], "x bigint, y bigint, w bigint"))
+    assert C.lines_of(p) is None and C.lines_of(p.where("x < 3")) is not None and C.lines_of(p.limit(0)) is None
+
+
+def test_medians_of_many_skewed_clusters(spark):
+    """10,000 clusters, one with a third of all values: nothing but a count of open ranges comes to the driver."""
+    rnd = random.Random(9)
+    data = {}
+    for _ in range(40_000):
+        c = 0 if rnd.random() < 0.33 else rnd.randrange(1, 10_000)
+        key = (c, -c, int(rnd.paretovariate(0.3)) % (1 << 50) * rnd.choice([1, -1]))
+        data[key] = data.get(key, 0) + rnd.randint(1, 4)
+    values, want = {}, {}
+    for (cx, cy, y), w in sorted(data.items()):
+        values.setdefault((cx, cy), []).extend([y] * w)
+    df = spark.createDataFrame([(*k, w) for k, w in data.items()], "cx bigint, cy bigint, y bigint, w bigint")
+    ranks = [(*c, (len(v) - 1) // 2, v[0], v[-1]) for c, v in values.items()]
+    got = C.order_statistics(df, spark.createDataFrame(ranks, "cx bigint, cy bigint, rank bigint, lo bigint, hi bigint"))
+    want = sorted((*c, (len(v) - 1) // 2, v[(len(v) - 1) // 2]) for c, v in values.items())
+    assert rows(got) == want
+
+
+@pytest.mark.parametrize("limit", [10, 1000])
+def test_answers_of_a_hot_question(spark, limit):
+    q = [(1, i, None, 0, f"t{i}") for i in range(30)] + [(1, 3, None, 0, "second of that id")]
+    a = [(2, 100 + j, 7 if j % 2 else j % 40, j, None) for j in range(800)] + [(2, 5, None, 9, None)]
+    p = spark.createDataFrame(q + a, "posting_type int, id bigint, parent_id bigint, score bigint, tag string")
+    want = sorted((parent, score, tag) for _, _, parent, score, _ in a for _, i, _, _, tag in q if i == parent)
+    assert rows(C.answers_with_questions(p.repartition(6), hot_answers=limit)) == want
