@@ -13,7 +13,6 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
-from itertools import chain
 from zlib import crc32
 
 import numpy as np
@@ -33,8 +32,6 @@ SCHEMA = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id
 END_ID = 1
 # Fixed value: the pre-token pattern of byte-level BPE.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-# Distinct space-free chunks a task remembers; beyond it the memory starts anew (speed only).
-MEMORY = 150_000
 
 
 def spread_into(sizes: list[int], k: int) -> list[list[int]]:
@@ -83,52 +80,23 @@ def balanced(sizes: list[int], capacity: int) -> list[list[int]]:
 
 
 class Ids:
-    """Ids of the byte-level BPE, as little-endian unsigned 32-bit bytes.
+    """Ids of the byte-level BPE, as unsigned 32-bit integers.
 
-    The pattern starts a pre-token at any single space that has no white space beside it, so a text without
-    adjoining white space is the concatenation of its space-led chunks. These are memorised; the unknown
-    ones of many texts are encoded together in one call and told apart by their lengths in bytes. Any other
-    text, and one with a special string, is encoded as a whole. The ranks come from the tokenizer's own
-    file; tests hold the ids against the tokenizer itself.
+    The ranks come from the tokenizer's own file; tests hold the ids against the tokenizer itself.
     """
 
     def __init__(self, path: str):
         tok = Tokenizer.from_file(path)
         letters = byte_letters()
-        self.special = {t.content: i for i, t in tok.get_added_tokens_decoder().items()}
+        special = {t.content: i for i, t in tok.get_added_tokens_decoder().items()}
         ranks = {bytes(letters[c] for c in entry): i
-                 for entry, i in tok.get_vocab(with_added_tokens=False).items() if entry not in self.special}
-        self.coder = tiktoken.Encoding("bytes", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=self.special)
-        self.bytes_of = np.zeros(max(ranks.values()) + 1, np.int64)
-        self.bytes_of[list(ranks.values())] = list(map(len, ranks))
-        self.known: dict[str, bytes] = {}
-
-    def learn(self, chunks: set[str]) -> set[str]:
-        """Memorise the ids of ``" " + chunk``; gives back the chunks for which that must not be done."""
-        loose = {c for c in chunks if not c or c[0].isspace() or c[-1].isspace() or any(x in c for x in self.special)}
-        if len(self.known) > MEMORY:
-            self.known.clear()
-        new = list(chunks - self.known.keys() - loose)
-        if new:
-            ids = self.coder.encode_to_numpy(" " + " ".join(new)).astype("<u4")
-            ends = np.cumsum(self.bytes_of[ids])
-            stops = np.searchsorted(ends, np.cumsum([len(c.encode()) + 1 for c in new])) + 1
-            data, start = ids.tobytes(), 0
-            for c, stop in zip(new, stops.tolist(), strict=True):
-                self.known[c] = data[4 * start:4 * stop]
-                start = stop
-        return loose
+                 for entry, i in tok.get_vocab(with_added_tokens=False).items() if entry not in special}
+        self.coder = tiktoken.Encoding("bytes", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
 
     def of(self, texts: list[str]) -> Iterator[np.ndarray]:
         """The ids of each text."""
-        split = [t.split(" ") for t in texts]
-        loose = self.learn(set(chain.from_iterable(split)))
-        for text, chunks in zip(texts, split, strict=True):
-            if loose.isdisjoint(chunks):
-                head = self.coder.encode_to_numpy(chunks[0]).astype("<u4").tobytes()
-                yield np.frombuffer(b"".join([head, *map(self.known.__getitem__, chunks[1:])]), "<u4")
-            else:
-                yield self.coder.encode_to_numpy(text, allowed_special="all").astype("<u4")
+        for text in texts:
+            yield self.coder.encode_to_numpy(text, allowed_special="all").astype("<u4", copy=False)
 
 
 def cuts(n: int, capacity: int, piece: int) -> list[tuple[int, int]]:
