@@ -7,7 +7,7 @@ import __spark_entry__ as entry
 import corpus_pipeline as pipeline
 from quarry.llm.queries import QUERIES, SQL
 from tests.conftest import SF_SMALL
-from tests.llm.test_groups import brute_lines, components, fingerprint
+from tests.llm.test_groups import brute_lines, check_lines, components, fingerprint
 from tests.llm.test_rows import brute_quality, odd_docs
 
 
@@ -31,11 +31,8 @@ def test_stages(spark, tmp_path):
     kept = {r.doc_id for r in after}
     assert kept <= {r.doc_id for r in before if not brute_quality(r.text)[-1]} and len(kept) > 0.75 * len(before)
     before, after = seen[1]
-    removed = {(r.doc_id, r.text) for r in after}
-    assert len(after) == len(before) and len(removed) == len(before)
-    gone = brute_lines(sorted((r.doc_id, r.text) for r in before))
-    for r in before:
-        assert (r.doc_id, "\n".join(x for n, x in enumerate(r.text.split("\n")) if (r.doc_id, n) not in gone)) in removed
+    assert len(after) == len(before)
+    check_lines({r.doc_id: r.text for r in before}, {r.doc_id: r.text for r in after}, brute_lines(sorted((r.doc_id, r.text) for r in before)))
     before, after = seen[2]
     fps = {r.doc_id: fingerprint(r.text) for r in before}
     groups = components(fps, [(a, b) for a in fps for b in fps if a < b and (fps[a] ^ fps[b]).bit_count() <= 3])
