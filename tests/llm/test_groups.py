@@ -239,15 +239,34 @@ def test_line_dedup_finds_lines_with_typos_all_over(spark, every):
     assert min(recall.values()) >= 0.9, recall
 
 
-def test_line_simhash_is_the_majority_of_the_longest_words(spark):
+def test_line_words_and_their_simhash(spark):
     lines = [" ".join("x" * (i % 9 + 1) + str(i) for i in range(n)) for n in (1, 2, 7, 8, 63, 300)] + ["same same same same"]
-    df = spark.createDataFrame([(x,) for x in lines], "line string")
-    top = line_dedup.longest(F.split("line", " "))
-    for r in df.select("line", top.alias("top"), line_dedup.simhash(top).alias("fp")).collect():
-        words = sorted(((min(len(w), 127) << 56) | (xxhash.xxh64_intdigest(w, 42) & (1 << 56) - 1) for w in set(r.line.split(" "))), reverse=True)[:7]
-        assert r.top == words
-        hashes = [xxhash.xxh64_intdigest((words[i] if i < len(words) else i).to_bytes(8, "little"), 42) for i in range(7)]
+    df = line_dedup.with_words(spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "i long, line string"))
+    shapes = set()
+    for r in df.withColumn("fp", line_dedup.simhash(F.col("top"))).collect():
+        words, top = lines[r.i].split(" "), [None] * line_dedup.CLASSES
+        for at, w in enumerate(words):
+            h = xxhash.xxh64_intdigest(w, 42)
+            c = h % line_dedup.CLASSES
+            top[c] = max(top[c] or 0, (len(w) << 56) | (h >> 24 << 16) | at)
+        assert (r.n_words, r.top) == (len(words), top)
+        hashes = [xxhash.xxh64_intdigest((i if top[i] is None else top[i] >> 16).to_bytes(8, "little"), 42) for i in range(7)]
         assert r.fp == simhash.signed(sum((2 * sum(h >> b & 1 for h in hashes) > 7) << b for b in range(64)))
+        shapes.add(r.shape)
+    assert len(shapes) == len(lines)
+
+
+def test_lines_are_compared_without_what_they_share(spark):
+    rng = random.Random(6)
+    cases = [([rng.choice("abc") for _ in range(rng.randint(1, 6))], [rng.choice("abc") for _ in range(rng.randint(1, 6))]) for _ in range(300)]
+    df = spark.createDataFrame([(i, i, 9, u, v) for i, (u, v) in enumerate(cases)], "a long, b long, most int, u array<string>, v array<string>")
+    for r in line_dedup.apart(df).collect():
+        u, v = cases[r.a]
+        while u and v and u[0] == v[0]:
+            u, v = u[1:], v[1:]
+        while u and v and u[-1] == v[-1]:
+            u, v = u[:-1], v[:-1]
+        assert (r.u, r.v) == (u, v)
 
 
 # --------------------------------------------------------------------------- mixing
