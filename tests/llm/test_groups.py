@@ -256,6 +256,20 @@ def test_line_words_and_their_simhash(spark):
     assert len(shapes) == len(lines)
 
 
+def test_lines_are_compared_without_what_they_share(spark):
+    rng = random.Random(6)
+    cases = [([rng.choice("abc") for _ in range(rng.randint(1, 6))], [rng.choice("abc") for _ in range(rng.randint(1, 6))]) for _ in range(300)]
+    df = spark.createDataFrame([(i, i, 9, u, v) for i, (u, v) in enumerate(cases)], "a long, b long, most int, u array<string>, v array<string>")
+    for r in line_dedup.apart(df).collect():
+        u, v = cases[r.a]
+        assert r.anew == (sum(x != y for x, y in zip(u, v)) if len(u) == len(v) else None)
+        while u and v and u[0] == v[0]:
+            u, v = u[1:], v[1:]
+        while u and v and u[-1] == v[-1]:
+            u, v = u[:-1], v[:-1]
+        assert (r.u, r.v) == (u, v)
+
+
 # --------------------------------------------------------------------------- mixing
 
 def test_mixing_matches_its_sql(spark):
