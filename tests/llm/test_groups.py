@@ -259,15 +259,17 @@ def test_line_words_and_their_simhash(spark):
 def test_lines_are_compared_without_what_they_share(spark):
     rng = random.Random(6)
     cases = [([rng.choice("abc") for _ in range(rng.randint(1, 6))], [rng.choice("abc") for _ in range(rng.randint(1, 6))]) for _ in range(300)]
-    df = spark.createDataFrame([(i, i, 9, u, v) for i, (u, v) in enumerate(cases)], "a long, b long, most int, u array<string>, v array<string>")
-    for r in line_dedup.apart(df).collect():
-        u, v = cases[r.a]
-        assert r.anew == (sum(x != y for x, y in zip(u, v)) if len(u) == len(v) else None)
+    df = spark.createDataFrame([(i, u, v, " ".join(u), " ".join(v)) for i, (u, v) in enumerate(cases)], "i int, u array<string>, v array<string>, a string, b string")
+    got = df.select("i", line_dedup.apart(F.col("u"), F.col("v")).alias("s"), *(line_dedup.near(F.col("a"), F.col("b"), F.lit(n)).alias(f"n{n}") for n in range(5)),
+                    F.levenshtein("a", "b").alias("edits"))
+    for r in got.collect():
+        u, v = cases[r.i]
         while u and v and u[0] == v[0]:
             u, v = u[1:], v[1:]
         while u and v and u[-1] == v[-1]:
             u, v = u[:-1], v[:-1]
-        assert (r.u, r.v) == (u, v)
+        assert (r.s.u, r.s.v) == (u, v)
+        assert [r[f"n{n}"] for n in range(5)] == [r.edits <= n for n in range(5)]
 
 
 # --------------------------------------------------------------------------- mixing
