@@ -112,14 +112,17 @@ def similar(a, b):
     return before[-1] <= math.floor(max(len(a), len(b)) * (1 - line_dedup.SIMILARITY) + 1e-9)
 
 
+def norm(line):
+    return regex.sub(r"[^\p{L}\p{M}\p{N}]+", " ", line).strip().lower() or " ".join(line.split()).lower()
+
+
 def brute_lines(docs):
     """docs: (key, text) in order of key. Removed (key, line) by edit similarity alone, over all pairs."""
     occurrences = defaultdict(list)
     for key, text in docs:
         for n, line in enumerate((text or "").split("\n")):
-            norm = regex.sub(r"[^\p{L}\p{M}\p{N}]+", " ", line).strip().lower() or " ".join(line.split()).lower()
-            if norm:
-                occurrences[norm].append((key, n))
+            if norm(line):
+                occurrences[norm(line)].append((key, n))
     lines, edges = sorted(occurrences), []
     bags = [Counter(x) for x in lines]
     for i, a in enumerate(lines):
