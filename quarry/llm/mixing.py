@@ -1,10 +1,15 @@
 """Mixing sources to target weights by Pareto order sampling.
 
 A source's documents are first taken whole as often as its target holds its size: certain copies. The
-rest of the target is drawn: each document gets a fixed random number u, ranked by the odds u / (1 - u)
-over the odds of its inclusion, and the first ranks are taken until the rest is used up. A document too
-large for what is left gives way to the next ones that fit, in further passes; at last one more document
-is taken if that brings the source nearer to its target.
+rest of the target is drawn with unequal odds: longer documents are more worth a copy, so the odds of
+inclusion rise by size class, at a level of the source that makes the expected words those of the rest.
+Each document gets a fixed random number x; its Pareto rank is the odds x / (1 - x) over the odds of its
+inclusion, and the first ranks are taken until the rest is used up. A document too large for what is left
+gives way to the next ones that fit, in further passes; at last one more document is taken if that brings
+the source nearer to its target.
+
+The level of a source scales all its ranks alike and leaves their order, so ranks are compared on a common
+scale of whole numbers: position = rank / (1 + rank) at level 1, in 52 bits.
 
 The outcome is a handful of numbers per source: a document is taken in pass p if its size fits the gap
 and its rank is at most the cut of that pass. So texts are never shuffled, and running sums are taken in
@@ -20,8 +25,12 @@ from quarry.llm.common import WORD, broadcast_if_small, saved
 
 MOST_COPIES = 3
 PASSES = 4
-# u has 52 bits; the leading 12 are its bin.
+# Random numbers and positions have 52 bits; the leading 12 are the bin.
 BITS, BIN_BITS = 52, 40
+# Least size of a class of documents, and its odds of inclusion against those of the first class.
+CLASSES = ((0, 1.0), (50, 2.0), (250, 4.0))
+# Halvings of the logarithm of a source's level, from 2^-LEVELS to 2^LEVELS.
+HALVINGS, LEVELS = 60, 64
 
 
 def word_count(text: Column) -> Column:
@@ -35,6 +44,39 @@ def drawn(key: Column, text: Column, seed: str) -> Column:
     return F.conv(F.substring(F.md5(F.concat_ws("|", *parts).cast("binary")), 1, BITS // 4), 16, 10).cast("long")
 
 
+def odds_of(size: Column, classes: tuple[tuple[int, float], ...]) -> Column:
+    """Odds of inclusion of a document of this size, at level 1; ``classes`` rise by least size, the first from 0."""
+    odds = F.lit(float(classes[0][1]))
+    for least, of in classes[1:]:
+        odds = F.when(size >= least, float(of)).otherwise(odds)
+    return odds
+
+
+def position(random: Column, odds: Column) -> Column:
+    """Place of a Pareto rank among all possible ones: a whole number that rises with it, below 2^BITS."""
+    x, rest = (random + 0.5) / float(1 << BITS), (float(1 << BITS) - random - 0.5) / float(1 << BITS)
+    return F.least(F.floor(x / (x + odds * rest) * float(1 << BITS)), F.lit((1 << BITS) - 1)).cast("long")
+
+
+def level_of(gap: Column, parts: Column) -> Column:
+    """The level at which ``parts`` (``odds, words`` of the classes) give ``gap`` words on average; 0 for no gap.
+
+    The expected words rise with the level, so its logarithm is found by halving.
+    """
+    def words(level: Column) -> Column:
+        return F.aggregate(parts, F.lit(0.0), lambda total, p: total + p["words"] * (
+            level * p["odds"] / (1.0 + level * p["odds"])))
+
+    def step(state: Column, _: Column) -> Column:
+        half = (state["low"] + state["high"]) / 2.0
+        enough = words(F.pow(F.lit(2.0), half)) >= gap
+        return F.struct(F.when(enough, state["low"]).otherwise(half).alias("low"), F.when(enough, half).otherwise(state["high"]).alias("high"))
+
+    start = F.struct(F.lit(-float(LEVELS)).alias("low"), F.lit(float(LEVELS)).alias("high"))
+    found = F.aggregate(F.sequence(F.lit(1), F.lit(HALVINGS)), start, step, lambda state: F.pow(F.lit(2.0), state["high"]))
+    return F.when(gap > 0, found).otherwise(0.0)
+
+
 def targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3)) -> DataFrame:
     """``source, source_size, target`` of every source.
 
@@ -106,27 +148,37 @@ def taken_in(passes: Column, size: Column, u: Column) -> Column:
     return (size > 0) & F.exists(passes, lambda p: (size <= p["gap"]) & u.between(p["low"], p["cut"]))
 
 
-def _decided(df: DataFrame, key: str, text_col: str, source_col: str, weights: tuple[int, ...], seed: str) -> DataFrame:
+def _decided(df: DataFrame, key: str, text_col: str, source_col: str, weights: tuple[int, ...], seed: str,
+             classes: tuple[tuple[int, float], ...]) -> DataFrame:
     """``row`` (all columns of ``df``), ``size, source_size, target, copies, inclusion, rank`` of every row."""
     rows = df.select(F.struct(*df.columns).alias("row"), df[source_col].cast("string").alias("source"),
-                     word_count(df[text_col]).alias("size"), drawn(df[key], df[text_col], seed).alias("u"))
-    narrow = saved(rows.select("source", "size", "u"))
+                     word_count(df[text_col]).alias("size"), drawn(df[key], df[text_col], seed).alias("random"))
+    rows = rows.withColumn("odds", odds_of(F.col("size"), classes))
+    rows = rows.withColumn("u", position(F.col("random"), F.col("odds")))
+    narrow = saved(rows.select("source", "size", "odds", "u"))
     plan = saved(targets(narrow, weights))
     plan = plan.join(cuts(narrow, plan).withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of"))).drop("of")
-    plan = broadcast_if_small(saved(plan.withColumnRenamed("source", "of")), ("of",))
-    random = (F.col("u") + 0.5) / float(1 << BITS)
-    inclusion = F.try_divide("target", "source_size") - F.col("whole")
+    parts = narrow.groupBy("source", "odds").agg(F.sum("size").cast("double").alias("words")).groupBy(F.col("source").alias("of")).agg(
+        F.sort_array(F.collect_list(F.struct("odds", "words"))).alias("parts"))
+    plan = plan.join(parts, F.col("source").eqNullSafe(F.col("of"))).drop("of")
+    level = level_of(F.col("target") - F.col("whole") * F.col("source_size"), F.col("parts"))
+    plan = broadcast_if_small(saved(plan.withColumn("level", level).drop("parts").withColumnRenamed("source", "of")), ("of",))
+    random = (F.col("random") + 0.5) / float(1 << BITS)
+    inclusion = F.col("level") * F.col("odds") / (1.0 + F.col("level") * F.col("odds"))
     extra = taken_in(F.col("passes"), F.col("size"), F.col("u")).cast("long")
     return (rows.join(plan, F.col("source").eqNullSafe(F.col("of"))).withColumn("inclusion", inclusion)
             .select("row", "size", "source_size", "target", (F.col("whole") + extra).alias("copies"), "inclusion",
-                    F.when(F.col("inclusion").between(1e-12, 1 - 1e-12), (random / (1 - random)) / (
-                        F.col("inclusion") / (1 - F.col("inclusion")))).alias("rank")))
+                    F.try_divide(random / (1 - random), F.col("level") * F.col("odds")).alias("rank")))
 
 
 def mix(df: DataFrame, key: str = "doc_id", text_col: str = "text", source_col: str = "source",
-        weights: tuple[int, ...] = (1, 2, 3), seed: str = "mix") -> DataFrame:
+        weights: tuple[int, ...] = (1, 2, 3), seed: str = "mix", classes: tuple[tuple[int, float], ...] = CLASSES) -> DataFrame:
     """``key, size, source_size, target, taken, copies, inclusion, rank`` of every row.
 
+    ``inclusion`` is the odds-driven probability of a copy beyond the certain ones, ``rank`` the Pareto rank
+    (null where no such copy is drawn). Documents that fill the gap a larger one left are taken beyond these
+    odds, about one document's worth of words a source. ``classes`` are least sizes, rising from 0, with their odds.
+
     ``taken`` is ``size`` times ``copies``, at most three times the size. Documents are taken whole, so the
     words taken of a source may miss its target by a part of one document. A null text has
     size 0 and is never taken, as is any text without words; null is a source of its own, last in order.
@@ -134,20 +186,22 @@ def mix(df: DataFrame, key: str = "doc_id", text_col: str = "text", source_col:
     rows decides alike, however they are partitioned. Other columns are not read; an empty table gives
     an empty result.
     """
-    got = _decided(df, key, text_col, source_col, weights, seed)
+    got = _decided(df, key, text_col, source_col, weights, seed, classes)
     return got.select(F.col("row")[key].alias(key), "size", "source_size", "target",
                       (F.col("size") * F.col("copies")).alias("taken"), "copies", "inclusion", "rank")
 
 
 def mixed(df: DataFrame, key: str = "doc_id", text_col: str = "text", source_col: str = "source",
-          weights: tuple[int, ...] = (1, 2, 3), seed: str = "mix") -> DataFrame:
+          weights: tuple[int, ...] = (1, 2, 3), seed: str = "mix", classes: tuple[tuple[int, float], ...] = CLASSES) -> DataFrame:
     """The rows of the mix itself, all columns of ``df``, each as often as it is taken."""
-    got = _decided(df, key, text_col, source_col, weights, seed).where((F.col("copies") > 0) & (F.col("size") > 0))
+    got = _decided(df, key, text_col, source_col, weights, seed, classes).where((F.col("copies") > 0) & (F.col("size") > 0))
     return got.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("row.*")
 
 
-def oracle_sql(weights: tuple[int, ...] = (1, 2, 3), seed: str = "mix") -> str:
+def oracle_sql(weights: tuple[int, ...] = (1, 2, 3), seed: str = "mix", classes: tuple[tuple[int, float], ...] = CLASSES) -> str:
     """The query in DuckDB SQL, over ``documents``."""
+    scale = f"{1 << BITS}::DOUBLE"
+    odds = "".join(f" WHEN size >= {least} THEN {of}::DOUBLE" for least, of in sorted(classes, reverse=True))
     passes = "".join(f"""
     , run{p} AS (SELECT *, size > 0 AND size <= gap{p} AND NOT extra AS fits,
         sum(CASE WHEN size > 0 AND size <= gap{p} AND NOT extra THEN size ELSE 0 END) OVER (PARTITION BY source ORDER BY u) AS upto
@@ -156,9 +210,12 @@ def oracle_sql(weights: tuple[int, ...] = (1, 2, 3), seed: str = "mix") -> str:
         gap{p} - sum(CASE WHEN fits AND upto <= gap{p} THEN size ELSE 0 END) OVER (PARTITION BY source) AS gap{p + 1} FROM run{p})
     , state{p + 1} AS (SELECT * EXCLUDE (gap{p}) FROM took{p})""" for p in range(PASSES))
     return f"""
-    WITH docs AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-        ('0x' || substr(md5('{seed}|' || coalesce(doc_id::VARCHAR, '') || '|' || md5(coalesce(text, ''))), 1, {BITS // 4}))::BIGINT AS u
+    WITH drawn AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+        ('0x' || substr(md5('{seed}|' || coalesce(doc_id::VARCHAR, '') || '|' || md5(coalesce(text, ''))), 1, {BITS // 4}))::BIGINT AS random
       FROM documents)
+    , odds AS (SELECT *, CASE{odds} END AS odds, (random + 0.5::DOUBLE) / {scale} AS x,
+        ({scale} - random - 0.5::DOUBLE) / {scale} AS rest FROM drawn)
+    , docs AS (SELECT doc_id, source, size, least(floor(x / (x + odds * rest) * {scale})::BIGINT, {(1 << BITS) - 1}) AS u FROM odds)
     , totals AS (SELECT source, sum(size)::BIGINT AS source_size,
         [{', '.join(map(str, weights))}][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(weights)} + 1] AS w
       FROM docs GROUP BY source)

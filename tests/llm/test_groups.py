@@ -295,6 +295,40 @@ def test_mixing_nears_its_targets_and_reruns_agree(spark):
     assert rows(other) == rows(got, "doc_id", "taken")
 
 
+def test_mixing_includes_by_the_stated_odds(spark):
+    # sources of three size classes: a class is included as often as the odds of its documents say, but for the small
+    # documents that fill up the gap a larger one left, about one document's worth of words a source
+    rng = random.Random(4)
+    docs = spark.createDataFrame([(1000 * s + i, " ".join(["w"] * rng.choice([20, 20, 60, 60, 300])), f"{s:02}") for s in range(8) for i in range(600)],
+                                 "doc_id long, text string, source string")
+    hits, odds, n = Counter(), defaultdict(float), Counter()
+    for r in mixing.mix(docs).collect():
+        n[r.size] += 1
+        odds[r.size] += r.inclusion
+        hits[r.size] += r.copies - int(r.target // r.source_size)
+        assert 0 <= r.inclusion <= 1
+    assert odds[20] / n[20] < odds[60] / n[60] < odds[300] / n[300]
+    assert all(abs(hits[k] - odds[k]) < 0.07 * n[k] for k in n), (hits, odds, n)
+
+
+def test_mixing_selects_the_first_pareto_ranks(spark):
+    docs = table(spark, SF_SMALL, "documents")
+    got = mixing.mix(docs).join(docs.select("doc_id", "source"), "doc_id").collect()
+    by_source = defaultdict(list)
+    for r in got:
+        if r.size and r["rank"] is not None:
+            by_source[r.source].append((r["rank"], r.size, r.copies - int(r.target // r.source_size), r.target % r.source_size))
+    for members in by_source.values():
+        used = 0
+        for _, size, extra, gap in sorted(members):
+            if size > gap:
+                continue
+            used += size
+            if used > gap:
+                break
+            assert extra == 1
+
+
 def test_mixing_of_odd_sources(spark):
     docs = odd_docs(spark).union(spark.createDataFrame([(50 + i, "one two three", None, s, 1, "k", 2) for i, s in enumerate(["a", "a", None, "Z", "é"])],
                                                        odd_docs(spark).schema))
