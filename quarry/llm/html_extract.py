@@ -38,10 +38,19 @@ BOILERPLATE_WORDS = frozenset(
     "outbrain overlay pager pagination paywall popup promo promoted promotion recommendations recommended related replies "
     "respond search share sharing sidebar sidenav signup skip social sponsor sponsored subscribe subscription taboola tags "
     "toc toolbar topbar tracking widget widgets".split())
+# Of these, words that name what never is the layout around a text, alone or before a word for a part, and words that
+# are also used for text itself.
+NEVER_LAYOUT = frozenset("ad adbox ads advert advertisement advertising adverts comment commentlist comments discussion disqus footer "
+                         "menu menubar nav navbar navigation replies respond sidenav".split())
+PARTS = frozenset("area block body box container content inner item items list main section thread wrap wrapper".split())
+SOFT_WORDS = frozenset("related search share sharing social tags".split())
 # Elements that no name makes boilerplate, and boilerplate elements that may stand around the whole page.
 NEVER_NAMED, AROUND = frozenset("html body main article".split()), frozenset("form fieldset".split())
-# Why an element counts as boilerplate; by its name or as a form it does not if it holds the page's text.
-BY_NAME, AS_FORM, ALWAYS = 1, 2, 3
+# Why an element counts as boilerplate; by its name or as a form it does not if it holds the page's text, softly by its
+# name not if it is running text with few links.
+SOFTLY, BY_NAME, AS_FORM, ALWAYS = 1, 2, 3, 4
+# A running sentence: its least length, and the characters it may end with.
+SENTENCE, ENDS = 80, ".!?\u2026\"'\u201d\u2019)"
 # Elements that do not end the text block they stand in.
 WITHIN = INLINE | UNSEEN
 NEGATED = frozenset("has with no without".split())
@@ -70,19 +79,27 @@ class Page(HTMLParser):
 
     def settle(self) -> None:
         """Which elements are boilerplate. A mark on one that holds more than half of the page's running text, and
-        over three times what is outside all marks, names the layout around the main text and is dropped.
+        over three times what is outside all marks, names the layout around the main text and is dropped. So is a
+        soft mark on an element of few links that is a sentence of the article or holds a third of the running text.
         """
-        held, marked = [0] * len(self.tag), [False] * len(self.tag)
+        held, tied, marked = [0] * len(self.tag), [0] * len(self.tag), [False] * len(self.tag)
+        within, sentence = [False] * len(self.tag), [False] * len(self.tag)
         for element, text, linked in self.blocks:
             held[element] += len(text) - linked
+            tied[element] += linked
+            sentence[element] = sentence[element] or (len(text) >= SENTENCE and text[-1] in ENDS)
         for e in range(1, len(held)):
             marked[e] = self.mark[e] > 0 or marked[self.parent[e]]
         total, free = sum(held), sum(n for n, m in zip(held, marked, strict=True) if not m)
         for e in range(len(held) - 1, 0, -1):
             held[self.parent[e]] += held[e]
+            tied[self.parent[e]] += tied[e]
         for e in range(1, len(held)):
+            within[e] = within[self.parent[e]] or self.tag[e] in ("article", "main")
             layout = self.mark[e] < ALWAYS and 2 * held[e] > total and held[e] > 3 * free
-            self.bad[e] = self.bad[self.parent[e]] or (self.mark[e] > 0 and not layout)
+            running = self.mark[e] == SOFTLY and held[e] > 4 * tied[e] and (
+                3 * held[e] >= total or (self.tag[e] == "p" and sentence[e] and within[e]))
+            self.bad[e] = self.bad[self.parent[e]] or (self.mark[e] > 0 and not layout and not running)
 
     def flush(self) -> None:
         text = " ".join("".join(self.text).split())
@@ -131,8 +148,8 @@ class Page(HTMLParser):
         self.path.append(xxhash.xxh64_intdigest(step) >> 1 if block else self.path[here])
         hidden = "hidden" in names or names.get("aria-hidden") == "true" or "display:none" in names.get("style", "").replace(" ", "")
         bad = AS_FORM if tag in AROUND and not hidden else ALWAYS if hidden or tag in BOILERPLATE_TAGS else 0
-        if not bad and self.names and tag not in NEVER_NAMED and self.named_bad(names):
-            bad = BY_NAME
+        if not bad and self.names and tag not in NEVER_NAMED:
+            bad = self.mark_by_name(names)
         self.mark.append(bad)
         self.bad.append(False)
         if tag in ("article", "main") or names.get("role") == "main" or names.get("itemprop") == "articleBody":
@@ -144,10 +161,16 @@ class Page(HTMLParser):
             self.lists[new] = [0, 0, 0]
 
     @staticmethod
-    def named_bad(names: dict[str, str]) -> bool:
-        words = re.split(r"[^a-z]+", " ".join((names.get("class", ""), names.get("id", ""), names.get("role", "")))
-                         .lower())
-        return any(w in BOILERPLATE_WORDS and (i == 0 or words[i - 1] not in NEGATED) for i, w in enumerate(words))
+    def mark_by_name(names: dict[str, str]) -> int:
+        """What the class, id and role of an element say of it; 0 for nothing."""
+        mark = 0
+        for name in " ".join((names.get("class", ""), names.get("id", ""), names.get("role", ""))).lower().split():
+            words = [w for w in re.split(r"[^a-z]+", name) if w]
+            for i, w in enumerate(words):
+                if w in BOILERPLATE_WORDS and (i == 0 or words[i - 1] not in NEGATED):
+                    never = w in NEVER_LAYOUT and PARTS.issuperset(words[i + 1:])
+                    mark = max(mark, ALWAYS if never else SOFTLY if w in SOFT_WORDS else BY_NAME)
+        return mark
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
@@ -288,8 +311,8 @@ def host_votes(df: DataFrame, url_col: str, html_col: str) -> DataFrame:
                 [pa.array([k[i] for k in keys], t) for i, t in enumerate((pa.string(), pa.int64(), pa.int32(), pa.bool_()))]
                 + [pa.array(n, pa.int64())], names=["host", "path", "depth", "named", "votes"])
 
-        for batch in batches:
-            for url, html in zip(batch.column("u").to_pylist(), batch.column("h").to_pylist(), strict=True):
+        for part in (part for batch in batches for part in by_bytes(batch, "h")):
+            for url, html in zip(part.column("u").to_pylist(), part.column("h").to_pylist(), strict=True):
                 if html and (host := host_of(url)):
                     for (path, depth, named), n in page_of(html).votes().items():
                         total[host, path, depth, named] += n

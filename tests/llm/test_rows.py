@@ -260,6 +260,31 @@ def test_names_of_the_layout_do_not_empty_a_page():
     assert small.main_text(None) == body.strip()
 
 
+def test_comments_are_never_the_main_text(spark):
+    story = "".join(f"<p>Sentence {k} of the story tells a little more.</p>" for k in range(4))
+    want = " ".join(f"Sentence {k} of the story tells a little more." for k in range(4))
+    pages = []
+    for k, (box, name) in enumerate([("div", "class=comments"), ("section", "id=comment-list"), ("ul", "class='post-comments x1'"),
+                                     ("div", "class='ads'"), ("div", "id=footer-content"), ("div", "class=main-menu")]):
+        for n, many in enumerate((0, 10, 40, 40)):
+            said = "".join(f"<div><p>Reader {j} has quite something to say about this story.</p></div>" for j in range(many))
+            for m, body in enumerate((f"<div class=post>{story}</div>", f"<article>{story}</article>")):
+                pages.append((100 * k + 10 * m + n, f"https://c{k}{m}.example/{n}", f"<body>{body}<{box} {name}>{said}</{box}></body>"))
+    got = {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert set(got.values()) == {want}
+
+
+def test_soft_names_do_not_take_text_away(spark):
+    body = "A long running text about the thing that goes on for a while, and then on. "
+    page = ("<body><article><p>{b}</p><p class=social>{b}</p><div class=related><a href=x>Other {n}</a> <a href=y>More</a></div>"
+            "<p class=share>Share this</p></article></body>")
+    results = "<body><div class=content><p>{b}</p></div><div class=search-results><p>{b}</p><p>{b}</p></div></body>"
+    pages = [(10 * k + n, f"https://s{k}.example/{n}", t.format(b=body * 2, n=n)) for k, t in enumerate((page, results)) for n in range(3)]
+    got = {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert all(got[n] == (body * 4).strip() for n in range(3))
+    assert all(got[10 + n] == (body * 6).strip() for n in range(3))
+
+
 # --------------------------------------------------------------------------- chats
 
 def test_roles_of_all_conversations(spark):
