@@ -7,6 +7,7 @@ them. The best path over a text's words, paying a penalty for each switch, label
 
 from __future__ import annotations
 
+import math
 import sys
 from collections import defaultdict
 from collections.abc import Iterator
@@ -19,9 +20,14 @@ from pyspark.sql import functions as F
 
 from quarry.llm.common import by_bytes
 
-# Buckets of the hashed n-grams of each order: with MAX_LANGS this bounds the model, whatever the corpus.
+# Buckets of the hashed n-grams of each order, and the most cells of a model's table of either order: neighbouring
+# buckets are added up where more languages than MODEL_CELLS / BUCKETS would go beyond it.
 BUCKETS = 1 << 15
-MAX_LANGS = 200
+MODEL_CELLS = 200 * BUCKETS
+# Most cells of the table of word scores over several texts; a longer text stands alone.
+SCORE_CELLS = 8 << 20
+# Languages whose counts a task holds at once.
+HELD = 64
 # Cost of a switch of language, in nats.
 SWITCH = 12.0
 # A language is a candidate for a script that holds at least this share of its letters.
@@ -110,6 +116,12 @@ def counts(df: DataFrame, text_col: str, lang_col: str) -> DataFrame:
                     found = np.concatenate([np.bincount(w.grams[0], minlength=BUCKETS), np.bincount(w.grams[1], minlength=BUCKETS),
                                             np.bincount(w.script, weights=w.letters, minlength=len(SCRIPTS) + 1).astype(np.int64)])
                     total[lang] += found
+                    if len(total) >= HELD:
+                        yield from rows(total)
+                        total.clear()
+        yield from rows(total)
+
+    def rows(total: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
         for lang, n in total.items():
             seen = np.flatnonzero(n)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(seen), pa.string()), pa.array(seen.astype(np.int32)),
@@ -127,20 +139,28 @@ class Model:
     allowed: np.ndarray  # (scripts, languages)
 
 
+def fold_of(n_langs: int) -> int:
+    """How many times buckets are halved, so that the tables of this many languages stay within MODEL_CELLS."""
+    return min(max(0, math.ceil(math.log2(max(1, n_langs * BUCKETS / MODEL_CELLS)))), BUCKETS.bit_length() - 1)
+
+
 def train(df: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Model:
-    """Fit on every given row; the driver gets at most MAX_LANGS times the number of features."""
+    """Fit on every given row, for any number of languages; the driver gets at most 2 * MODEL_CELLS counts."""
     found = counts(df, text_col, lang_col).cache()
-    langs = sorted(r.lang for r in found.select("lang").distinct().limit(MAX_LANGS + 1).collect())
-    if len(langs) > MAX_LANGS:
-        raise ValueError(f"more than {MAX_LANGS} languages")
-    n = np.zeros((len(langs), 2 * BUCKETS + len(SCRIPTS) + 1))
-    rows = found.toArrow()
+    langs = sorted(r.lang for r in found.select("lang").distinct().collect())
+    fold = fold_of(len(langs))
+    buckets = BUCKETS >> fold
+    # a bigram's bucket, a trigram's (behind BUCKETS) and a script keep their order when buckets are halved
+    feature = F.when(F.col("feature") < 2 * BUCKETS, F.shiftright("feature", fold)).otherwise(
+        F.col("feature") - 2 * BUCKETS + 2 * buckets)
+    rows = found.groupBy("lang", feature.alias("feature")).agg(F.sum("n").alias("n")).toArrow()
     found.unpersist()
+    n = np.zeros((len(langs), 2 * buckets + len(SCRIPTS) + 1))
     index = {lang: i for i, lang in enumerate(langs)}
     n[[index[x] for x in rows["lang"].to_pylist()], rows["feature"].to_numpy()] = rows["n"].to_numpy()
-    grams = n[:, :2 * BUCKETS].reshape(len(langs), 2, BUCKETS) + 0.5
+    grams = n[:, :2 * buckets].reshape(len(langs), 2, buckets) + 0.5
     log_p = np.log(grams / grams.sum(axis=2, keepdims=True)).transpose(1, 0, 2) / 2
-    scripts = n[:, 2 * BUCKETS:]
+    scripts = n[:, 2 * buckets:]
     allowed = scripts >= np.maximum(SCRIPT_SHARE * scripts.sum(axis=1, keepdims=True), 1)
     return Model(langs, log_p.astype(np.float32), allowed.T)
 
@@ -150,8 +170,10 @@ def word_scores(w: Words, model: Model) -> np.ndarray:
     out = np.zeros((len(w.first), len(model.langs)))
     if not len(w.first):
         return out
+    fold = (BUCKETS // model.log_p.shape[2]).bit_length() - 1
+    two, three = (g >> fold for g in w.grams)
     for i in range(len(model.langs)):
-        out[:, i] = np.add.reduceat(model.log_p[0, i][w.grams[0]] + model.log_p[1, i][w.grams[1]], w.first)
+        out[:, i] = np.add.reduceat(model.log_p[0, i][two] + model.log_p[1, i][three], w.first)
     allowed = model.allowed[w.script]
     known = allowed.any(axis=1)
     return np.where(known[:, None], np.where(allowed, out, -1000.0), 0.0)
@@ -187,7 +209,7 @@ def best_paths(scores: np.ndarray, per_text: np.ndarray, switch: float = SWITCH)
     if not len(mixed):
         return path
     first, steps = start[mixed], n[mixed]
-    came = np.zeros(scores.shape, np.uint8)
+    came = np.zeros(scores.shape, np.min_scalar_type(scores.shape[1]))
     reach = scores[first].copy()
     live = np.searchsorted(-steps, -np.arange(1, steps[0]), side="left")  # texts longer than t words
     for t in range(1, steps[0]):
@@ -217,14 +239,15 @@ def predict(df: DataFrame, model: Model, text_col: str = "text", keep: tuple[str
     """
     keep = list(keep)
     source = df.select(*keep, df[text_col].alias("__text"))
-    # bounded by MAX_LANGS and BUCKETS; plain values, as executors may lack this package
+    # bounded by MODEL_CELLS; plain values, as executors may lack this package
     shared = df.sparkSession.sparkContext.broadcast((model.langs, model.log_p, model.allowed))
     span = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32()), ("lang", pa.string())]))
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables, m = Letters(), Model(*shared.value)
+        limit = min(4 << 20, SCORE_CELLS * 6 // max(1, len(m.langs)))  # a word takes about six bytes
         for batch in batches:
-            for part in by_bytes(batch, "__text"):
+            for part in by_bytes(batch, "__text", limit):
                 texts = [t or "" for t in part.column("__text").to_pylist()]
                 w = words_of(texts, tables)
                 langs, scores, spans = [UNKNOWN] * len(texts), [0.0] * len(texts), [[] for _ in texts]

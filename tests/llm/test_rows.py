@@ -174,6 +174,29 @@ def test_viterbi_against_all_paths():
             at += n
 
 
+def test_any_number_of_languages(spark, monkeypatch):
+    # 300 languages, each of ten words of its own letters: the tables stay within their bound, nothing fails
+    monkeypatch.setattr(langid, "MODEL_CELLS", 100 << 15)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+
+    def words(i):
+        rng = np.random.default_rng(i)
+        return " ".join("".join(letters[c] for c in rng.choice(26, size=7)) for _ in range(10))
+    learn = [(i, words(i), f"l{i:03d}") for i in range(300)]
+    df = spark.createDataFrame(learn, "doc_id long, text string, lang string")
+    model = langid.train(df)
+    assert len(model.langs) == 300 and model.log_p[0].size <= langid.MODEL_CELLS
+    got = {r.doc_id: r for r in langid.predict(df.repartition(3), model).collect()}
+    assert sum(got[i].lang_pred == lang for i, _, lang in learn) >= 0.98 * len(learn)
+    scores = np.random.default_rng(1).normal(size=(40, 300)) * 20
+    path = langid.best_paths(scores, np.array([40]), 3.0)
+    reach = scores[0].copy()
+    for row in scores[1:]:
+        reach = row + np.maximum(reach, reach.max() - 3.0)
+    value = scores[np.arange(40), path].sum() - 3.0 * (path[1:] != path[:-1]).sum()
+    assert abs(value - reach.max()) < 1e-6
+
+
 def test_language_of_odd_and_mixed_texts(spark):
     learn = spark.createDataFrame([("the cat sat on the mat with another thing " * 5, "en"), ("кошка сидела на окне и смотрела " * 5, "ru"),
                                    ("die katze sitzt auf der matte und schläft " * 5, "de"), (None, "de"), ("x", None)], "text string, lang string")
