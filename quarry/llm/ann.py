@@ -28,39 +28,57 @@ from quarry.llm.common import broadcast_if_small, saved
 DEGREE, CELL, GROUP = 32, 512, 128
 # Starting rounds, each with its own hyperplanes.
 STARTS = 2
-# Descent ends when less than this share of the edges is fresh, or after so many rounds.
-FRESH, ROUNDS = 0.12, 12
-# Best nodes a search keeps, all of them scored on their original vectors, and rounds it takes at most.
-BEAM, HOPS = 160, 16
+# Descent ends when less than this share of the edges is fresh.
+FRESH = 0.12
+# Best nodes a search keeps, all of them scored on their original vectors.
+BEAM = 160
 SEED = 11
 
 
 def usable(df: DataFrame, key: str, vec: str) -> DataFrame:
-    """``id, vec`` (doubles) of the rows that take part, one per id (the least vector of a repeated one)."""
+    """``id, vec`` (doubles) of the rows that take part."""
     v = F.col(vec).cast("array<double>")
     fine = ~F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists(v, lambda x: x != 0)
-    rows = df.select(F.col(key).cast("long").alias("id"), v.alias("vec")).where(F.col("id").isNotNull() & fine)
-    rows = saved(rows.groupBy("id").agg(F.min("vec").alias("vec")))
-    size = rows.groupBy(F.size("vec").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    return rows.where(F.size("vec") == size.d) if size else rows
+    return df.select(F.col(key).cast("long").alias("id"), v.alias("vec")).where(fine)
 
 
 def dot(a: Column, b: Column) -> Column:
-    """Inner product in double precision, summed in order."""
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+    """Inner product in double precision, summed in order; components that the shorter one lacks count as 0."""
+    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + F.coalesce(x, F.lit(0.0)))
 
 
-def coded(nodes: DataFrame, dim: int, norm: float) -> DataFrame:
-    """``node, code``: the lengthened vector as bytes of single-precision numbers."""
+def largest(vec: Column) -> Column:
+    """Largest absolute value of a vector's components."""
+    return F.aggregate(vec, F.lit(0.0), lambda s, x: F.greatest(s, F.abs(x)))
+
+
+def scaled(vec: Column, by: Column) -> Column:
+    """The vector divided by ``by``."""
+    return F.transform(vec, lambda x: x / by)
+
+
+def matrix(column: pa.Array, dim: int) -> np.ndarray:
+    """Rows of vectors, shorter ones filled up with zeros."""
+    out = np.zeros((len(column), dim))
+    sizes = column.value_lengths().to_numpy()
+    out[np.arange(dim) < sizes[:, None]] = column.flatten().to_numpy(zero_copy_only=False)
+    return out
+
+
+def coded(nodes: DataFrame, dim: int, scale: float, norm: float) -> DataFrame:
+    """``node, code, q_code``: bytes of single-precision numbers, for a place in the graph the vector over ``scale``,
+    lengthened to ``norm``, and for a query the vector over its own largest component, not lengthened."""
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = batch.column("vec").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, dim)
+            whole = matrix(batch.column("vec"), dim)
+            x = whole / scale
             last = np.sqrt(np.maximum(norm * norm - (x * x).sum(axis=1), 0))
             code = (np.column_stack([x, last]) / norm).astype(np.float32)  # by the norm: no overflow
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), pa.array([r.tobytes() for r in code], pa.binary())], names=["node", "code"])
+            own = np.column_stack([whole / np.abs(whole).max(axis=1, keepdims=True), np.zeros(len(x))]).astype(np.float32)
+            yield pa.RecordBatch.from_arrays([batch.column("node"), *(pa.array([r.tobytes() for r in c], pa.binary()) for c in (code, own))],
+                                             names=["node", "code", "q_code"])
 
-    return nodes.select("node", "vec").mapInArrow(kernel, "node long, code binary")
+    return nodes.select("node", "vec").mapInArrow(kernel, "node long, code binary, q_code binary")
 
 
 def decoded(column: pa.Array) -> np.ndarray:
@@ -183,13 +201,12 @@ def introduced(graph: DataFrame, codes: DataFrame) -> DataFrame:
 def graph_of(codes: DataFrame, dim: int, n: int) -> DataFrame:
     """``node, nbr, score, fresh``: the graph after its descent."""
     graph = saved(started(codes, dim, n))
-    for _ in range(ROUNDS):
+    while True:  # every round makes lists of edges better, so it ends
         old = graph.withColumn("fresh", F.lit(False))
         graph = saved(kept(old.union(introduced(graph, codes).select(*old.columns))))
         edges, fresh = graph.agg(F.count("*"), F.count_if("fresh")).first()
         if fresh <= FRESH * edges:
-            break
-    return graph
+            return graph
 
 
 def searched(queries: DataFrame, graph: DataFrame, codes: DataFrame) -> DataFrame:
@@ -197,14 +214,11 @@ def searched(queries: DataFrame, graph: DataFrame, codes: DataFrame) -> DataFram
     both = graph.select("node", "nbr").union(graph.select(F.col("nbr").alias("node"), F.col("node").alias("nbr"))).distinct()
     near = codes.select(F.col("node").alias("nbr"), "code")
     around = both.join(broadcast_if_small(near, ("code",)), "nbr").repartition("node").persist()
-    codes_of = broadcast_if_small(saved(queries.join(codes, F.col("query") == F.col("node")).select(
-        "query", F.col("code").alias("q_code"))), ("q_code",))
+    codes_of = broadcast_if_small(saved(queries.join(codes, F.col("query") == F.col("node")).select("query", "q_code")), ("q_code",))
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a = decoded(batch.column("q_code")).copy()
-            a[:, -1] = 0  # the lengthening is no part of a query
-            score = (a * decoded(batch.column("code"))).sum(axis=1)
+            score = (decoded(batch.column("q_code")) * decoded(batch.column("code"))).sum(axis=1)
             good = score > batch.column("bound").to_numpy()
             yield pa.RecordBatch.from_arrays(
                 [batch.column("query").filter(pa.array(good)), batch.column("nbr").filter(pa.array(good)),
@@ -213,7 +227,7 @@ def searched(queries: DataFrame, graph: DataFrame, codes: DataFrame) -> DataFram
     best = Window.partitionBy("query").orderBy(F.desc("score"), "node")
     state = saved(queries.select("query", F.col("query").alias("node"), F.lit(float("inf")).cast("float").alias("score"),
                                  F.lit(False).alias("visited")))
-    for _ in range(HOPS):
+    while True:  # a node that left a list is below its bound and does not come back, so it ends
         bounds = state.groupBy("query").agg(F.when(F.count("*") >= BEAM, F.min("score")).otherwise(float("-inf")).cast("double").alias("bound"))
         ahead = state.where(~F.col("visited")).join(bounds, "query").select("query", "node", "bound")
         pairs = ahead.join(around, "node").join(codes_of, "query")
@@ -223,37 +237,52 @@ def searched(queries: DataFrame, graph: DataFrame, codes: DataFrame) -> DataFram
             F.max("score").alias("score"), F.max("visited").alias("visited"))
         state = saved(merged.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= BEAM).drop("rank"))
         if state.where(~F.col("visited")).isEmpty():
-            break
-    around.unpersist()
-    return state.select("query", "node", "score")
+            around.unpersist()
+            return state.select("query", "node", "score")
 
 
 def nearest(df: DataFrame, is_query: Column, key: str = "vec_id", vec: str = "embedding", k: int = 20) -> DataFrame:
     """``query_id, rank, vec_id, score``: the k nearest found of every query among all other rows.
 
     ``is_query`` is a condition on the column ``id``. Scores are inner products of the original vectors in
-    double precision; ties go to the smaller id. Null ids, vectors that are null, empty or zero, hold null
-    or non-finite components, or have not the most frequent length (the shortest of several) take no part.
-    A repeated id counts once, with its least vector. Equal vectors share a node, of which the k + 1 least
-    ids can be among the nearest. With fewer candidates all of them are returned; an empty table, or one
-    without queries, gives an empty result. Further columns are not read.
+    double precision, components that a shorter vector lacks counting as 0; ties go to the smaller id, a null id
+    last. Where doubles cannot hold a product (infinite, or 0 by underflow), the inner products of the vectors
+    over powers of two near their largest components decide first. Vectors that are null, empty or zero, or hold
+    null or non-finite components, take no part. Each row counts, also one that repeats an id or a whole row: rows
+    that are equal find each other, and each query row has its own list. Equal vectors share a node, of which the
+    k + 1 least rows can be among the nearest. With fewer candidates all of them are returned; an empty table, or
+    one without queries, gives an empty result. Further columns are not read.
     """
-    rows = usable(df, key, vec)
-    nodes = saved(rows.groupBy("vec").agg(F.min("id").alias("node")).select("node", "vec"))
-    ids = saved(rows.join(nodes, "vec").select("id", "node"))
-    n, dim, norm = nodes.agg(F.count("*"), F.max(F.size("vec")), F.max(dot(F.col("vec"), F.col("vec")))).first()
+    rows = saved(usable(df, key, vec).groupBy("vec", "id").agg(F.count("*").alias("copies")))
+    nodes = saved(rows.select("vec").distinct().sortWithinPartitions("vec").select(F.monotonically_increasing_id().alias("node"), "vec"))
+    ids = saved(rows.join(nodes, "vec").select("id", "node", "copies"))
+    top = nodes.agg(F.max(largest(F.col("vec")))).first()[0]
+    scale = 2.0 ** (math.frexp(top)[1] - 1) if top else 1.0
+    over = scaled(F.col("vec"), F.lit(scale))
+    n, dim, norm = nodes.agg(F.count("*"), F.max(F.size("vec")), F.max(dot(over, over))).first()
     if not n:
         return rows.select(F.col("id").alias("query_id"), F.lit(1).alias("rank"), F.col("id").alias("vec_id"), F.lit(0.0).alias("score"))
-    codes = saved(coded(nodes, dim, math.sqrt(norm)))
-    graph = graph_of(codes, dim, n)
-    queries = ids.where(is_query).select(F.col("id").alias("query_id"), F.col("node").alias("query"))
+    codes = saved(coded(nodes, dim, scale, math.sqrt(norm)))
+    graph = graph_of(codes.select("node", "code"), dim, n)
+    # the copies of a query row are rows of their own
+    queries = ids.where(is_query).select(F.col("id").alias("query_id"), F.col("node").alias("query"),
+                                         F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("query_copy"))
     found = searched(queries.select("query").distinct(), graph, codes).select("query", "node")
+    least = Window.partitionBy("node").orderBy(F.asc_nulls_last("id"), "copy")
+    members = (ids.select("node", F.col("id"), F.explode(F.sequence(F.lit(1), F.least("copies", F.lit(k + 1)))).alias("copy"))
+               .withColumn("place", F.row_number().over(least)).where(F.col("place") <= k + 1)
+               .select("node", F.col("id").alias("vec_id"), "copy"))
     vecs = nodes.select(F.col("node").alias("of"), F.col("vec").alias("q_vec"))
-    scored = (found.join(nodes, "node").join(vecs, F.col("query") == F.col("of"))
-              .select("query", "node", dot(F.col("q_vec"), F.col("vec")).alias("score")))
-    least = Window.partitionBy("node").orderBy("id")
-    members = ids.withColumn("place", F.row_number().over(least)).where(F.col("place") <= k + 1).select("node", F.col("id").alias("vec_id"))
-    all_found = queries.join(scored.join(members, "node"), "query").where("vec_id <> query_id")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (all_found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    pairs = found.join(nodes, "node").join(vecs, F.col("query") == F.col("of"))
+    own = F.pow(F.lit(2.0), F.floor(F.log2(largest(F.col("q_vec")))))
+    near = dot(scaled(F.col("q_vec"), own), scaled(F.col("vec"), F.lit(scale)))
+    exact = dot(F.col("q_vec"), F.col("vec"))
+    scored = pairs.select("query", "node", near.alias("near"), F.when(F.isnan(exact), near * float("inf")).otherwise(exact).alias("score"))
+    # of a query node as many as any row of it can return; then the rows themselves
+    best = [F.desc("score"), F.desc("near"), F.asc_nulls_last("vec_id")]
+    lists = (scored.join(members, "node").withColumn("place", F.row_number().over(Window.partitionBy("query").orderBy(*best, "node", "copy")))
+             .where(F.col("place") <= k + 1))
+    itself = (F.col("node") == F.col("query")) & F.col("vec_id").eqNullSafe(F.col("query_id")) & (F.col("copy") == F.col("query_copy"))
+    order = Window.partitionBy("query_id", "query", "query_copy").orderBy("place")
+    return (queries.join(lists, "query").where(~itself).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))

@@ -344,14 +344,16 @@ def test_mixing_of_odd_sources(spark):
 # --------------------------------------------------------------------------- neighbours
 
 def nearest(vectors, k=20):
-    ids = np.array([i for i, _ in vectors])
-    x = np.array([v for _, v in vectors], float)
+    """Every query row's list over all other rows, by id; shorter vectors are filled up with zeros."""
+    dim = max(len(v) for _, v in vectors)
+    x = np.array([[*v, *[0.0] * (dim - len(v))] for _, v in vectors], float)
     out = {}
-    for i, v in vectors:
-        if i % 20 == 0:
-            score = x @ np.array(v, float)
-            order = [j for j in np.lexsort((ids, -score)) if ids[j] != i][:k]
-            out[i] = [(int(ids[j]), float(score[j])) for j in order]
+    for at, (i, _) in enumerate(vectors):
+        if i is not None and i % 20 == 0:
+            score = x @ x[at]
+            order = sorted((j for j in range(len(vectors)) if j != at),
+                           key=lambda j: (-score[j], vectors[j][0] is None, vectors[j][0] or 0))[:k]
+            out[i] = [(vectors[j][0], float(score[j])) for j in order]
     return out
 
 
@@ -376,9 +378,10 @@ def test_neighbours_of_all_embeddings(spark):
 def test_neighbours_of_odd_vectors(spark):
     rng = np.random.default_rng(2)
     vectors = [(i, rng.normal(size=4).tolist()) for i in range(30)] + [(100 + i, [1.0, 2.0, 3.0, 4.0]) for i in range(40)]
+    vectors += [(240, [1.0, 2.0]), (None, [1.0] * 4), (280, [3.0, -1.0, 0.5, 0.25, 7.0]), (7, [9.0, 0.0, 0.0, 1.0])]
     bad = [(40, None), (60, [0.0] * 4), (80, [1.0, None, 2.0, 3.0]), (200, [float("nan")] + [1.0] * 3), (220, [float("inf")] + [1.0] * 3),
-           (240, [1.0, 2.0]), (None, [1.0] * 4), (260, [])]
-    df = spark.createDataFrame([(i, v, 1) for i, v in [*vectors, *bad, vectors[0]]], "vec_id long, embedding array<double>, rank int")
+           (260, [])]
+    df = spark.createDataFrame([(i, v, 1) for i, v in [*vectors, *bad]], "vec_id long, embedding array<double>, rank int")
     got, want = lists(ann.nearest(df, F.col("id") % 20 == 0)), nearest(vectors)
     assert got.keys() == want.keys()
     for q in want:
@@ -388,6 +391,30 @@ def test_neighbours_of_odd_vectors(spark):
     assert {q: len(x) for q, x in few.items()} == {0: 2}
     assert ann.nearest(df.limit(0), F.col("id") % 20 == 0).count() == 0
     assert ann.nearest(df.where("vec_id = 1"), F.col("id") % 20 == 0).count() == 0
+    zero = df.where("vec_id = 0")
+    twice = sorted(map(tuple, ann.nearest(zero.union(zero), F.col("id") % 20 == 0).select("query_id", "rank", "vec_id").collect()))
+    assert twice == [(0, 1, 0), (0, 1, 0)]  # each of two equal rows finds the other
+
+
+@pytest.mark.parametrize("size", [1e155, 1e-170, 1e300])
+def test_neighbours_beyond_the_range_of_doubles(spark, size):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(400, 6))
+    df = spark.createDataFrame([(i, (v * size).tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got, want = lists(ann.nearest(df, F.col("id") % 20 == 0)), nearest(list(enumerate(x.tolist())))
+    assert got.keys() == want.keys()
+    assert sum(len({i for i, _ in want[q]} & {i for i, _ in got[q]}) for q in want) >= 0.9 * 20 * len(want)
+    assert {s for found in got.values() for _, s in found} <= ({0.0} if size < 1 else {float("inf")})
+
+
+def test_neighbours_of_a_tiny_query_among_large_vectors(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(300, 5))
+    x[::20] *= 1e-60
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got, want = lists(ann.nearest(df, F.col("id") % 20 == 0)), nearest(list(enumerate(x.tolist())))
+    assert got.keys() == want.keys()
+    assert sum(len({i for i, _ in want[q]} & {i for i, _ in got[q]}) for q in want) >= 0.9 * 20 * len(want)
 
 
 def test_neighbours_within_a_group_of_near_copies(spark):
