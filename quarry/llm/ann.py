@@ -272,12 +272,14 @@ def nearest(df: DataFrame, is_query: Column, key: str = "vec_id", vec: str = "em
     members = (ids.select("node", F.col("id"), F.explode(F.sequence(F.lit(1), F.least("copies", F.lit(k + 1)))).alias("copy"))
                .withColumn("place", F.row_number().over(least)).where(F.col("place") <= k + 1)
                .select("node", F.col("id").alias("vec_id"), "copy"))
-    vecs = nodes.select(F.col("node").alias("of"), F.col("vec").alias("q_vec"))
-    pairs = found.join(nodes, "node").join(vecs, F.col("query") == F.col("of"))
-    own = F.pow(F.lit(2.0), F.floor(F.log2(largest(F.col("q_vec")))))
-    near = dot(scaled(F.col("q_vec"), own), scaled(F.col("vec"), F.lit(scale)))
-    exact = dot(F.col("q_vec"), F.col("vec"))
-    scored = pairs.select("query", "node", near.alias("near"), F.when(F.isnan(exact), near * float("inf")).otherwise(exact).alias("score"))
+    size = F.pow(F.lit(2.0), F.floor(F.log2(largest(F.col("vec")))))
+    vecs = saved(found.select("query").distinct().join(nodes, F.col("query") == F.col("node")).select(
+        "query", F.col("vec").alias("q_vec"), size.alias("q_size")))
+    pairs = found.join(nodes, "node").join(vecs, "query").withColumn("exact", dot(F.col("q_vec"), F.col("vec")))
+    held = (F.abs("exact") < float("inf")) & (F.col("exact") != 0)  # false for NaN, the sum of opposite infinities
+    near = F.when(held, 0.0).otherwise(dot(scaled(F.col("q_vec"), F.col("q_size")), scaled(F.col("vec"), F.lit(scale))))
+    scored = pairs.select("query", "node", "exact", near.alias("near")).select(
+        "query", "node", "near", F.when(F.isnan("exact"), F.nanvl(F.col("near") * float("inf"), F.lit(0.0))).otherwise(F.col("exact")).alias("score"))
     # of a query node as many as any row of it can return; then the rows themselves
     best = [F.desc("score"), F.desc("near"), F.asc_nulls_last("vec_id")]
     lists = (scored.join(members, "node").withColumn("place", F.row_number().over(Window.partitionBy("query").orderBy(*best, "node", "copy")))
