@@ -332,3 +332,72 @@ def test_last_rating_matches_its_sql_where_places_tie(spark):
     sf = "/root/testdata/sf0.01"
     r = compare(spark, duck(sf), "ratings_last", sf, plans.QUERIES, plans.SQL)
     assert r["cols_ok"] and r["hash_ok"], r
+
+
+def _sparse(monkeypatch, step=1 << 20, cells=1 << 25):
+    """Whole lists meet parts of the items from the smallest catalogue on; steps and parts as small as given."""
+    monkeypatch.setattr(R.Sizes, "listed", property(lambda sizes: True))
+    monkeypatch.setattr(R, "PART_PAIRS", 100)
+    monkeypatch.setattr(R, "TARGET_CELLS", cells)
+    monkeypatch.setattr(R, "SLICE_RATINGS", 40)
+    monkeypatch.setattr(tiles, "LIST_RATINGS", 20)
+    monkeypatch.setattr(tiles, "PART_RATINGS", 1)
+    monkeypatch.setattr(tiles, "STEP_CELLS", step)
+
+
+@pytest.mark.parametrize("step, spread, dense_sums", [(1 << 20, 1, 1000), (30, 10 ** 15, 0)])
+def test_few_pairs_among_many_items(spark, monkeypatch, step, spread, dense_sums):
+    """Lists and parts give what brute force gives: scores, the best, zeros, with null users and items among the ratings."""
+    _sparse(monkeypatch, step, 60)
+    monkeypatch.setattr(tiles, "DENSE_SUMS", dense_sums)
+    triples = [(u, i * spread, p) for (u, i), p in _random_ratings(5, 25, 400, 90)]
+    triples += [(77, i * spread, 2) for i in range(0, 400, 9)]  # one user with many items
+    r = ratings(spark, triples)
+    assert {(a, b): n for a, b, n in rows(R.cooccurrence(r.union(r)))} == _brute_cooc(triples)
+    want = _brute_scores(triples)
+    assert {(i, u): v for i, u, v in rows(R.scores(r))} == want
+    odd = r.union(spark.createDataFrame([(None, 5 * spread + 1, 3), (500, None, 4), (None, None, 1)], r.schema))
+    items, users = {i for _, i, _ in triples} | {5 * spread + 1}, {u for u, _, _ in triples} | {500}
+    full = {(i, u): v for i, u, v in rows(R.scores(odd, zero_fill=True))}
+    assert full == {(i, u): want.get((i, u), 0) for i in items for u in users}
+    seen = {(i, u) for u, i, _ in triples}
+    for unseen in (False, True):
+        best = []
+        for u0 in {u for u, _, _ in triples}:
+            mine = sorted((-v, i) for (i, u), v in want.items() if u == u0 and not (unseen and (i, u) in seen))[:3]
+            best += [(u0, i, -v, k + 1) for k, (v, i) in enumerate(mine)]
+        assert rows(R.top_scores(r, 3, exclude_seen=unseen)) == sorted(best)
+
+
+def test_few_pairs_keep_64_bits(spark, monkeypatch):
+    _sparse(monkeypatch)
+    big = [(u, 100 * u + k, (1 << 62) // (k + 1)) for u in range(40) for k in range(2)]
+    r = ratings(spark, big[:2] + [(u, i, 1) for u, i, _ in big[2:]])
+    assert max(v for _, _, v in rows(R.scores(r))) == (1 << 62) + (1 << 61)
+    with pytest.raises(Exception, match="64 bits"):
+        R.scores(ratings(spark, [(u, i, 1 << 62) for u, i, _ in big])).collect()
+
+
+def test_ratings_are_copied_to_few_targets_and_cells_to_none(spark):
+    """What meets in a product grows with ratings and cells: no row for each pair of blocks, no 16 bytes a rating."""
+    r = spark.range(24_000).select((F.col("id") % 800).alias("user_id"), (F.xxhash64("id") % 40_000).alias("item_id"),
+                                   (F.col("id") % 50).alias("pref")).distinct()
+    sizes = R.measure(r)
+    assert sizes.listed
+    keyed, keys = R.product_rows(r, r, None, sizes, "bigint")
+    assert keys == spark.sparkContext.defaultParallelism
+    assert keyed.where("kind = 1").agg(F.sum(F.length("b") + F.length("n"))).first()[0] < 6 * sizes.ratings * keys
+    lists = R._lists(r, 64)
+    assert lists.count() <= 64 * r.select("user_id").repartition("user_id").rdd.getNumPartitions()
+    for v in ([], [5], [-1 << 63, (1 << 63) - 1], list(range(-3, 70_000, 7))):
+        v = np.array(v, np.int64)
+        assert (tiles.uncrammed(tiles.crammed(v)) == v).all()
+
+
+def test_sums_of_dense_counts_take_no_more_room_with_more_users():
+    cells = tiles._Cells(np.arange(100), np.arange(100))
+    most = 0
+    for _ in range(60):
+        cells.add(np.arange(10_000), np.ones(10_000, np.int64))
+        most = max(most, cells.size)
+    assert most <= max(tiles.CHUNK_CELLS >> 4, 30_000) and (cells.taken()[2] == 60).all()
