@@ -275,6 +275,34 @@ def test_lines_are_compared_without_what_they_share(spark):
         assert [r[f"n{n}"] for n in range(5)] == [r.edits <= n for n in range(5)]
 
 
+def test_pairs_of_a_large_bucket_do_not_grow_with_its_square(spark, monkeypatch):
+    """Lines that share six long words but stay unconnected: the last step compares a few with each, not all pairs."""
+    rng = random.Random(8)
+    common = ["".join(rng.choices("abcdefghij", k=12)) for _ in range(6)]
+    lines = [" ".join(common + ["".join(rng.choices("klmnopqrst", k=5)) for _ in range(8)]) for _ in range(200)]
+    df = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    met = []
+
+    def none_similar(pairs, *_):
+        met.append(pairs.count())
+        return pairs.limit(0)
+    monkeypatch.setattr(line_dedup, "verified", none_similar)
+    line_dedup.dedup(df).count()
+    assert len(lines) < met[-1] <= 2 * line_dedup.NEXT * len(lines), met
+
+
+def test_neighbours_in_small_and_large_buckets(spark):
+    near, words = line_dedup.NEXT, [[c << 16 for c in range(line_dedup.CLASSES)] for _ in range(60)]
+    words[10][3] = words[50][3] = 99 << 16  # in the large bucket these two alone have a word more in common
+    small = [(1, i, i // 2, 100 + i, near, [None] * line_dedup.CLASSES) for i in range(near)]
+    large = [(2, 100 + i, 100 + i, 1000 + i, 60, w) for i, w in enumerate(words)]
+    df = spark.createDataFrame(small + large, "bucket long, id long, label long, n int, members long, top array<long>")
+    got = {tuple(r) for r in line_dedup.neighbours(df).collect()}
+    assert {(a, b) for a, b in got if a < 100} == {(a, b) for a in range(near) for b in range(a) if a // 2 != b // 2}
+    assert (150, 110) in got and all((101 + i, 100 + i) in got for i in range(59))
+    assert len(got) <= near * (line_dedup.CLASSES + 1) * (len(small) + len(large))
+
+
 # --------------------------------------------------------------------------- mixing
 
 def test_mixing_matches_its_sql(spark):
