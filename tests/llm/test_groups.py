@@ -303,6 +303,23 @@ def test_neighbours_in_small_and_large_buckets(spark):
     assert len(got) <= near * (line_dedup.CLASSES + 1) * (len(small) + len(large))
 
 
+def test_neighbours_leave_out_only_pairs_that_are_not_alike(spark):
+    """What the last step writes is what may be alike: all pairs that are, and hardly any other."""
+    rng = random.Random(5)
+    common = ["".join(rng.choices("abcdefghij", k=12)) for _ in range(3)]
+    lines = [" ".join([*common[:rng.randint(0, 3)], *("".join(rng.choices("klmnopqrst", k=9)) for _ in range(rng.randint(8, 12)))]) for _ in range(300)]
+    df = spark.createDataFrame([(7, i, i, 300, len(x), x) for i, x in enumerate(lines)], "bucket long, id long, label long, members long, n int, line string")
+    known = ("n", "n_words", "shape", "sketch")
+    rest = line_dedup.with_words(df).withColumn("sketch", line_dedup.sketch(F.col("top"))).cache()
+    every, some = (line_dedup.neighbours(rest, *extra) for extra in ((), (known, line_dedup.maybe_alike)))
+    both = every
+    for x in "ab":
+        both = both.join(rest.select(F.col("id").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in ("n", "n_words", "shape", "top"))), x)
+    alike = {tuple(r) for r in both.where((F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * line_dedup.SIMILARITY) & line_dedup.alike()).select("a", "b").collect()}
+    some = {tuple(r) for r in some.collect()}
+    assert alike and alike <= some and len(some) <= 1.05 * len(alike) < 0.8 * every.count(), (len(alike), len(some), every.count())
+
+
 # --------------------------------------------------------------------------- mixing
 
 def test_mixing_matches_its_sql(spark):
