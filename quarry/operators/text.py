@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.functions.tokenize import space_tokens, whitespace_tokens
+from quarry.functions.tokenize import counted, space_tokens, text_lines, whitespace_tokens
 from quarry.operators.common import broadcast_if_small
 from quarry.sources.text import tagged_union
 
@@ -82,6 +82,33 @@ def word_count(tokens: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     return tokens.groupBy(*by, "word").agg(F.count(F.lit(1)).alias("n"))
 
 
+def word_count_by_text(docs: DataFrame, key: str, mode: str = "whitespace", lower: bool = False,
+                       col: str = "text") -> DataFrame:
+    """``(key, word, n)``: :func:`word_count` of the tokens of all lines of the texts, by ``key``.
+
+    Words are counted inside each text; only texts whose key stands at several rows are then added up by a
+    shuffle, so that the words of all others are never held or moved. Keys may repeat or be null.
+    """
+    lines = text_lines(F.col(col))
+    if mode == "whitespace":
+        tokens = whitespace_tokens(F.col(col))  # line breaks are delimiters too
+    elif mode == "space":
+        tokens = F.flatten(F.transform(lines, lambda line: space_tokens(line)))
+    else:
+        raise ValueError(f"unknown tokenizer mode {mode!r}")
+    if lower:
+        tokens = F.transform(tokens, lambda x: F.lower(x))
+    repeated = docs.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1").select("_key")
+    repeated = broadcast_if_small(repeated)
+    same = F.col(key).eqNullSafe(F.col("_key"))
+
+    def counts(rows: DataFrame) -> DataFrame:
+        return rows.select(key, F.inline(counted(tokens)))
+
+    several = counts(docs.join(repeated, same, "left_semi")).groupBy(key, "word").agg(F.sum("n").alias("n"))
+    return counts(docs.join(repeated, same, "left_anti")).unionByName(several)
+
+
 def common_words(a: DataFrame, b: DataFrame, strategy: str = "join") -> DataFrame:
     """Words counted in both ``a`` and ``b`` with the smaller count: ``(word, n)``.
 

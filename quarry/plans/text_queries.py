@@ -13,13 +13,13 @@ from quarry.sources import text as io
 
 
 def tokens_whitespace(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = fx.corpus_a(spark, sf_dir)
-    return T.word_count(T.tokenize(lines, "whitespace", keep=("doc_id",)), by=("doc_id",))
+    docs = fx.table(spark, sf_dir, "documents", "doc_id", "text")
+    return T.word_count_by_text(docs, "doc_id", "whitespace")
 
 
 def tokens_space(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = fx.corpus_a(spark, sf_dir)
-    return T.word_count(T.tokenize(lines, "space", lower=True, keep=("doc_id",)), by=("doc_id",))
+    docs = fx.table(spark, sf_dir, "documents", "doc_id", "text")
+    return T.word_count_by_text(docs, "doc_id", "space", lower=True)
 
 
 def _stop_file(spark: SparkSession, fold: bool) -> DataFrame:

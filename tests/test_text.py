@@ -1,5 +1,8 @@
 import random
+import re
+from collections import Counter
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -137,3 +140,24 @@ def test_space_tokens_can_leave_empty_ones_out(spark):
     from quarry.operators import text as T
     lines = spark.createDataFrame([(" a  b ",), ("",)], "value string")
     assert rows(T.tokenize(lines, "space", drop_empty=True)) == [("a",), ("b",)]
+
+
+@pytest.mark.parametrize("mode", ["whitespace", "space"])
+def test_word_count_by_text_is_the_count_of_all_tokens(spark, mode):
+    """Texts with a key of their own are counted without a shuffle of words; repeated and null keys are added up."""
+    texts = ["b a  b\nB\r\n\r\na ", "", "\n", " \n  x", None, "a\tb\x0ba\x0c\r\rb", "\u03a3\u0391\u03a3 \u03c3", "end\r\n", "x\n\r", "\u00a0 \u00a0"]
+    data = [(i, t) for i, t in enumerate(texts)] + [(0, texts[0]), (3, "x y"), (None, "n a"), (None, "a")]
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    want = Counter()
+    for key, text in data:
+        lines = [] if not text else re.split("\r\n|\r|\n", re.sub("(\r\n|\r|\n)\\Z", "", text))
+        for line in lines:
+            if mode == "whitespace":
+                words = [w for w in re.split("[ \t\n\r\f]+", line) if w]
+            else:
+                words = [""] if line == "" else [w.lower() for w in line.rstrip(" ").split(" ")] if line.strip(" ") else []
+            want.update((key, w) for w in words)
+    got = T.word_count_by_text(df, "doc_id", mode, lower=mode == "space")
+    assert Counter({(r.doc_id, r.word): r.n for r in got.collect()}) == want and got.count() == len(want)
+    own = T.word_count_by_text(df.where("doc_id > 3"), "doc_id", mode)
+    assert [f.dataType.simpleString() for f in own.schema] == ["bigint", "string", "bigint"]
