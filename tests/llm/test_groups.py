@@ -291,6 +291,24 @@ def test_pairs_of_a_large_bucket_do_not_grow_with_its_square(spark, monkeypatch)
     assert len(lines) < met[-1] <= 2 * line_dedup.NEXT * len(lines), met
 
 
+def test_buckets_of_the_same_lines_are_held_once(spark):
+    """Near copies share most of their keys: one bucket of the same lines is kept, and every bucket of other ones."""
+    buckets = {1: (5, 6, 7), 2: (5, 6, 7), 3: (5, 6, 8), 4: (5, 6, 7, 8), 5: (6, 7, 8), 6: (5, 6, 7)}
+    held = spark.createDataFrame([(b, min(x), i) for b, x in buckets.items() for i in x], "bucket long, first long, id long")
+    left = defaultdict(list)
+    for r in line_dedup.different(held).collect():
+        left[r.bucket].append(r.id)
+    assert sorted(tuple(sorted(x)) for x in left.values()) == sorted(set(buckets.values()))
+
+
+def test_a_first_limit_of_edits_changes_no_verdict(spark):
+    rng = random.Random(9)
+    cases = [(" ".join(rng.choice("abc") for _ in range(rng.randint(1, 6))), " ".join(rng.choice("abc") for _ in range(rng.randint(1, 6)))) for _ in range(100)]
+    df = spark.createDataFrame(cases, "a string, b string")
+    got = df.select(F.levenshtein("a", "b").alias("edits"), *(line_dedup.near(F.col("a"), F.col("b"), F.lit(3), F.lit(n)).alias(f"n{n}") for n in (0, 2, 9)))
+    assert all(r[f"n{n}"] == (r.edits <= 3) for r in got.collect() for n in (0, 2, 9))
+
+
 def test_neighbours_in_small_and_large_buckets(spark):
     near, words = line_dedup.NEXT, [[c << 16 for c in range(line_dedup.CLASSES)] for _ in range(60)]
     words[10][3] = words[50][3] = 99 << 16  # in the large bucket these two alone have a word more in common
