@@ -338,6 +338,49 @@ def test_neighbours_leave_out_only_pairs_that_are_not_alike(spark):
     assert alike and alike <= some and len(some) <= 1.05 * len(alike) < 0.8 * every.count(), (len(alike), len(some), every.count())
 
 
+def test_all_lines_of_a_large_bucket_meet_across_its_groups(spark, monkeypatch):
+    """In cells and in turns: every pair of lines of different groups that is alike, once, and no other."""
+    monkeypatch.setattr(line_dedup, "CELL", 40)
+    rng = random.Random(12)
+    common = ["".join(rng.choices("abcdefghij", k=12)) for _ in range(4)]
+    lines = [" ".join([*common[:rng.randint(1, 4)], *("".join(rng.choices("klmnopqrst", k=9)) for _ in range(rng.randint(6, 14)))]) for _ in range(300)]
+    rows = [(7 + i % 2, i, i // 3, 150, len(x), x) for i, x in enumerate(lines)]
+    df = line_dedup.with_words(spark.createDataFrame(rows, "bucket long, id long, label long, members long, n int, line string"))
+    df = df.withColumn("sketch", line_dedup.sketch(F.col("top"))).cache()
+    sides = [df.select("bucket", *(F.col(c).alias(f"{c}_{x}") for c in ("id", "label", "n", "n_words", "shape", "top"))) for x in "ab"]
+    want = sides[0].join(sides[1], "bucket").where("id_a > id_b AND label_a <> label_b").where(
+        (F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * line_dedup.SIMILARITY) & line_dedup.alike()).select("id_a", "id_b")
+    want = {tuple(r) for r in want.collect()}
+    turns = [[tuple(r) for r in line_dedup.all_across(df, turn, 3).collect()] for turn in range(3)]
+    assert all(turns) and len(want) > 1000 and sorted(sum(turns, [])) == sorted(want) == sorted(tuple(r) for r in line_dedup.all_across(df).collect())
+
+
+def test_line_dedup_links_lines_far_apart_in_a_large_bucket(spark):
+    """Lines that share six long words; those that are near each other have nothing more in common, and many stand between them."""
+    rng = random.Random(14)
+    common = ["".join(rng.choices("abcdefghij", k=12)) for _ in range(6)]
+    lines = [[*common, *("".join(rng.choices("klmnopqrstuvwxyz", k=6)) for _ in range(14))] for _ in range(150)]
+    near = [[*x[:6], *(w[:c] + rng.choice("0123456789") + w[c + 1:] for w in x[6:] for c in [rng.randrange(6)])] for x in lines[:30]]
+    docs = [(i, " ".join(x)) for i, x in enumerate(lines + near)]
+    gone = {r.doc_id for r in line_dedup.dedup(spark.createDataFrame(docs, "doc_id long, text string")).where("n_removed > 0").select("row.doc_id").collect()}
+    assert gone == set(range(150, 180))
+
+
+def test_edits_by_words_are_enough(spark):
+    """What the alignment of words says is never less than the edits, and little more for lines that lost and got words."""
+    rng = random.Random(15)
+    cases = [([rng.choice("abcd") * rng.randint(1, 4) for _ in range(rng.randint(0, 9))], [rng.choice("abcd") * rng.randint(1, 4) for _ in range(rng.randint(0, 9))]) for _ in range(300)]
+    for _ in range(50):
+        u = ["".join(rng.choices("abcdefghij", k=rng.randint(2, 9))) for _ in range(60)]
+        v = [x for i, w in enumerate(u) for x in ([] if i % 20 == 3 else ["new", w] if i % 20 == 9 else ["other"] if i % 20 == 15 else [w])]
+        cases.append((u, v))
+    spelt = lambda words: "".join(f" {w}" for w in words)
+    df = spark.createDataFrame([(i, u, v, spelt(u), spelt(v)) for i, (u, v) in enumerate(cases)], "i int, u array<string>, v array<string>, a string, b string")
+    got = df.select("i", line_dedup.by_words(F.struct("u", "v")).alias("enough"), F.levenshtein("a", "b").alias("edits")).collect()
+    assert len(got) == len(cases) and all(r.enough >= r.edits for r in got)
+    assert all(r.enough <= 80 for r in got if r.i >= 300) and sum(r.enough for r in got) < 2 * sum(r.edits for r in got)
+
+
 # --------------------------------------------------------------------------- mixing
 
 def test_mixing_matches_its_sql(spark):
