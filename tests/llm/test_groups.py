@@ -381,6 +381,23 @@ def test_edits_by_words_are_enough(spark):
     assert all(r.enough <= 80 for r in got if r.i >= 300) and sum(r.enough for r in got) < 2 * sum(r.edits for r in got)
 
 
+def test_lines_are_read_and_removed_without_a_broadcast(spark, monkeypatch):
+    """Beyond the limit of a broadcast texts are shuffled, of which only those that are asked for; the rows are the same."""
+    rng = random.Random(16)
+    lines = [" ".join("".join(rng.choices("abcdefghij", k=6)) for _ in range(12)) for _ in range(40)]
+    docs = [(i if i % 7 else None, "\n".join(rng.choices(lines, k=3)) + ("x" if i % 3 else "")) for i in range(60)] + [(None, None)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    want = Counter(tuple(r) for r in line_dedup.dedup(df).select("row.*", "n_removed").collect())
+    places = spark.createDataFrame([(i, i) for i in range(20)], "doc long, id long")
+    texts = spark.createDataFrame([(i, str(i)) for i in range(90)], "text_is long, text string")
+    for limit in (1000, 0):
+        monkeypatch.setattr(line_dedup, "BROADCAST", limit)
+        assert line_dedup.with_only(texts, places).count() == (20 if limit else 90)
+    plan = texts.join(line_dedup.beside(places), F.col("text_is") == F.col("doc"))._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan
+    assert Counter(tuple(r) for r in line_dedup.dedup(df).select("row.*", "n_removed").collect()) == want
+
+
 # --------------------------------------------------------------------------- mixing
 
 def test_mixing_matches_its_sql(spark):
